@@ -53,44 +53,43 @@ def score_threshold(value: object = None) -> float:
     return score
 
 
+def in_utc(moment: datetime) -> datetime:
+    """``moment`` without a zone, in UTC. Naive values are UTC already."""
+    return moment if moment.tzinfo is None else moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def moment_like(df: DataFrame, column: str, moment: datetime) -> Column:
     """``moment`` as a literal of exactly the column's timestamp type.
 
     A literal of the other timestamp type would wrap the column in a cast, which
     keeps the comparison out of the Parquet scan. Naive values mean UTC.
     """
-    if moment.tzinfo is not None:
-        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
-    text = moment.isoformat(sep=" ", timespec="microseconds")
+    text = in_utc(moment).isoformat(sep=" ", timespec="microseconds")
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
         return F.lit(text).cast("timestamp_ntz")
     return F.lit(text + "Z").cast("timestamp")
 
 
-def since(df: DataFrame, as_of: datetime, hours: object = None, column: str = "timestamp") -> DataFrame:
-    """Rows of the last ``hours`` before ``as_of`` (a lower bound only).
+def _from(df: DataFrame, lower: datetime, column: str) -> DataFrame:
+    """Rows from ``lower`` on.
 
     Where the table has an ``event_date`` the implied date bound is added, since
     partitions are pruned by that column alone.
     """
-    lower = as_of - timedelta(hours=look_back_hours(hours))
     kept = df.filter(F.col(column) >= moment_like(df, column, lower))
     if "event_date" in df.columns:
-        if lower.tzinfo is not None:
-            lower = lower.astimezone(timezone.utc)
-        kept = kept.filter(F.col("event_date") >= F.lit(lower.date()))
+        kept = kept.filter(F.col("event_date") >= F.lit(in_utc(lower).date()))
     return kept
 
 
+def since(df: DataFrame, as_of: datetime, hours: object = None, column: str = "timestamp") -> DataFrame:
+    """Rows of the last ``hours`` before ``as_of`` (a lower bound only)."""
+    return _from(df, as_of - timedelta(hours=look_back_hours(hours)), column)
+
+
 def since_minutes(df: DataFrame, as_of: datetime, minutes: int, column: str = "timestamp") -> DataFrame:
     """Like :func:`since` for windows shorter than an hour."""
-    lower = as_of - timedelta(minutes=_whole("minutes", minutes, 1, MAX_HOURS * 60))
-    kept = df.filter(F.col(column) >= moment_like(df, column, lower))
-    if "event_date" in df.columns:
-        if lower.tzinfo is not None:
-            lower = lower.astimezone(timezone.utc)
-        kept = kept.filter(F.col("event_date") >= F.lit(lower.date()))
-    return kept
+    return _from(df, as_of - timedelta(minutes=_whole("minutes", minutes, 1, MAX_HOURS * 60)), column)
 
 
 def since_date(df: DataFrame, day: date, days: object) -> DataFrame:

@@ -8,13 +8,14 @@ changes nothing.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.params import moment_like
+from ledgerlens.functions.params import in_utc, moment_like
 from ledgerlens.session import scratch_path
 
 
@@ -23,6 +24,12 @@ def read_watermark(target: DataFrame, column: str | None) -> DataFrame:
     return target.agg(F.max(column).alias("high_water_mark"))
 
 
+def watermark_value(target: DataFrame, column: str | None) -> datetime | None:
+    """:func:`read_watermark` as a UTC value, whatever the zone of the driver machine."""
+    seen = read_watermark(target, column).select(F.unix_micros(F.col("high_water_mark").cast("timestamp"))).first()[0]
+    return None if seen is None else datetime(1970, 1, 1) + timedelta(microseconds=seen)
+
+
 def incremental(df: DataFrame, column: str, watermark: datetime | None) -> DataFrame:
     """Rows changed after the watermark; all rows where there is none."""
     return df if watermark is None else df.filter(F.col(column) > moment_like(df, column, watermark))
@@ -35,7 +42,7 @@ def lookback(df: DataFrame, watermark: datetime | None, days: int) -> DataFrame:
     """
     if watermark is None:
         return df
-    return df.filter(F.col("event_date") >= F.lit((watermark - timedelta(days=days)).date()))
+    return df.filter(F.col("event_date") >= F.lit((in_utc(watermark) - timedelta(days=days)).date()))
 
 
 def has_keys(keys: Iterable[str]) -> Column:
@@ -134,6 +141,18 @@ def _location(spark: SparkSession, table: str) -> str:
     return described.filter("col_name = 'Location'").first()["data_type"]
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite only partitions that receive rows. ``insertInto`` takes this from the session alone."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> None:
     """Make ``rows`` the content of ``table``, or of the partitions they fall into.
 
@@ -154,5 +173,6 @@ def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequ
         staging = scratch_path(spark, f"publish-{table.rpartition('.')[2]}")
         arranged.write.parquet(staging)
         staged = spark.read.schema(arranged.schema).parquet(staging).hint("rebalance", *partition_by)
-        staged.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        with _dynamic_overwrite(spark):
+            staged.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.params import in_utc
 from ledgerlens.schemas import CUSTOMER_MASTER
 
 
 def timestamp_text(moment: datetime) -> str:
     """A watermark for an SQL predicate: UTC, milliseconds. Naive values are UTC."""
-    if moment.tzinfo is not None:
-        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
-    return moment.isoformat(sep=" ", timespec="milliseconds")
+    return in_utc(moment).isoformat(sep=" ", timespec="milliseconds")
 
 
 def jdbc_options(options: Mapping[str, str], sql: str, num_partitions: int = 1, shard_sql: str | None = None) -> dict[str, str]:

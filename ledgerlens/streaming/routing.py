@@ -44,7 +44,9 @@ def batch_writer(root: str, routes: Mapping[str, Route] = ROUTES) -> Callable[[D
 
     A batch's rows live in folders named after the batch, which a replay replaces:
     after a failure the same micro-batch comes again and must not count twice.
-    The batch is read once per route, so it is kept, with spilling to disk.
+    The batch is read once per route, so it is kept, with spilling to disk, and
+    each part is rebalanced, which keeps the number of files per partition low
+    without putting a large partition into one task.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -53,7 +55,8 @@ def batch_writer(root: str, routes: Mapping[str, Route] = ROUTES) -> Callable[[D
             for table, wanted in routes.items():
                 part = route(batch, table, routes).withColumn("stream_batch", F.lit(batch_id))
                 (
-                    part.write.mode("overwrite")
+                    part.hint("rebalance", *wanted.partition_by)
+                    .write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
                     .partitionBy("stream_batch", *wanted.partition_by)
                     .parquet(f"{root}/{table}")
