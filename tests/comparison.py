@@ -46,7 +46,7 @@ def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: s
     wrong = []
     for name, kind in result.dtypes:
         wanted = TYPE_NAMES.get(kind, kind.upper())
-        if wanted.replace(",", "").replace(" ", "") != kinds[name].replace(",", "").replace(" ", "") and kinds[name] not in ("INTEGER",):
+        if wanted.replace(",", "").replace(" ", "") != kinds[name].replace(",", "").replace(" ", ""):
             wrong.append(f"{name}: {kind} != {kinds[name]}")
     got = _rows(result.columns, [tuple(r) for r in result.collect()])
     want = _rows(columns, expected_rows)
