@@ -78,3 +78,13 @@ def shard_of(key: Column, shards: int) -> Column:
 def start_of(unit: str, column: str, kind: str) -> Column:
     """``date_trunc`` that keeps the column's own timestamp type."""
     return F.date_trunc(unit, F.col(column)).cast(kind)
+
+
+def desc(*columns: str) -> list[Column]:
+    """Descending sort keys, NULLs last."""
+    return [F.col(c).desc_nulls_last() for c in columns]
+
+
+def asc(*columns: str) -> list[Column]:
+    """Ascending sort keys, NULLs last (Spark's own default is first)."""
+    return [F.col(c).asc_nulls_last() for c in columns]

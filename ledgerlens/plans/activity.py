@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import (
     SCORE_SCALE,
+    asc,
+    desc,
     exact_mean,
     exact_sum,
     exact_total,
@@ -32,17 +34,9 @@ OUTCOMES = ("BLOCK_AND_ALERT", "FLAG_REVIEW", "STEP_UP_AUTH")
 ALERT_COLUMNS = ("timestamp", "account_id", "fraud_type", "ml_score", "action", "case_id", "event_id")
 
 
-def _desc(*columns: str) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in columns]
-
-
-def _asc(*columns: str) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in columns]
-
-
 def _counted_by(df: DataFrame, key: str, measure: str, limit: object) -> DataFrame:
     counted = df.groupBy(key).agg(F.count("*").alias(measure))
-    return counted.orderBy(*_desc(measure), *_asc(key)).limit(row_limit(limit))
+    return counted.orderBy(*desc(measure), *asc(key)).limit(row_limit(limit))
 
 
 def fraud_count_last_hour(alerts: DataFrame, *, as_of: datetime) -> DataFrame:
@@ -74,7 +68,7 @@ def with_share(counts: DataFrame, measure: str, name: str = "share_pct") -> Data
 def fraud_type_share(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
     counts = since(alerts, as_of, hours).groupBy("fraud_type").agg(F.count("*").alias("alert_count"))
     shares = with_share(counts, "alert_count")
-    return shares.orderBy(*_desc("alert_count"), *_asc("fraud_type")).limit(row_limit(limit))
+    return shares.orderBy(*desc("alert_count"), *asc("fraud_type")).limit(row_limit(limit))
 
 
 def top_accounts(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -83,12 +77,12 @@ def top_accounts(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None)
         .groupBy("account_id")
         .agg(F.max("ml_score").alias("max_ml_score"), F.count("*").alias("alert_count"))
     )
-    return peaks.orderBy(*_desc("max_ml_score", "alert_count"), *_asc("account_id")).limit(row_limit(limit, 20))
+    return peaks.orderBy(*desc("max_ml_score", "alert_count"), *asc("account_id")).limit(row_limit(limit, 20))
 
 
 def latest_high_risk(alerts: DataFrame, *, as_of: datetime, hours=None, score=None, limit=None) -> DataFrame:
     risky = since(alerts, as_of, hours).filter(F.col("ml_score") >= score_threshold(score))
-    return risky.select(*ALERT_COLUMNS).orderBy(*_desc("timestamp", "event_id")).limit(row_limit(limit))
+    return risky.select(*ALERT_COLUMNS).orderBy(*desc("timestamp", "event_id")).limit(row_limit(limit))
 
 
 def avg_score_by_type(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -97,7 +91,7 @@ def avg_score_by_type(alerts: DataFrame, *, as_of: datetime, hours=None, limit=N
         .groupBy("fraud_type")
         .agg(exact_mean("ml_score", SCORE_SCALE).alias("avg_ml_score"), F.count("*").alias("alert_count"))
     )
-    return scores.orderBy(*_desc("avg_ml_score"), *_asc("fraud_type")).limit(row_limit(limit))
+    return scores.orderBy(*desc("avg_ml_score"), *asc("fraud_type")).limit(row_limit(limit))
 
 
 def fraud_trend_by_hour(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -107,11 +101,11 @@ def fraud_trend_by_hour(alerts: DataFrame, *, as_of: datetime, hours=None, limit
         .groupBy(start_of("hour", "timestamp", kind).alias("alert_hour"))
         .agg(F.count("*").alias("alert_count"), exact_mean("ml_score", SCORE_SCALE).alias("avg_ml_score"))
     )
-    return hourly.orderBy(*_asc("alert_hour")).limit(row_limit(limit))
+    return hourly.orderBy(*asc("alert_hour")).limit(row_limit(limit))
 
 
 def recent_alerts(alerts: DataFrame, *, limit=None) -> DataFrame:
-    return alerts.select(*ALERT_COLUMNS).orderBy(*_desc("timestamp", "event_id")).limit(row_limit(limit, 10))
+    return alerts.select(*ALERT_COLUMNS).orderBy(*desc("timestamp", "event_id")).limit(row_limit(limit, 10))
 
 
 def aml_by_risk_band(aml: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -120,7 +114,7 @@ def aml_by_risk_band(aml: DataFrame, *, as_of: datetime, hours=None, limit=None)
         .groupBy("risk_band")
         .agg(F.count("*").alias("alert_count"), exact_mean("total_amount_7d").alias("avg_amount_7d"))
     )
-    return bands.orderBy(*_desc("alert_count"), *_asc("risk_band")).limit(row_limit(limit))
+    return bands.orderBy(*desc("alert_count"), *asc("risk_band")).limit(row_limit(limit))
 
 
 def login_outcomes(events: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -145,7 +139,7 @@ def approval_rate(payments: DataFrame, *, as_of: datetime, minutes: int = 5) ->
             rounded(exact_mean("risk_score", SCORE_SCALE), 4).alias("avg_risk"),
         )
     )
-    return rates.orderBy(*_desc("total_txns"), *_asc("channel"))
+    return rates.orderBy(*desc("total_txns"), *asc("channel"))
 
 
 def top_merchant_categories(payments: DataFrame, *, day: date) -> DataFrame:
@@ -159,7 +153,7 @@ def top_merchant_categories(payments: DataFrame, *, day: date) -> DataFrame:
             rounded(exact_mean("amount"), 2).alias("avg_txn_value"),
         )
     )
-    return spend.orderBy(*_desc("total_spend"), *_asc("merchant_category"))
+    return spend.orderBy(*desc("total_spend"), *asc("merchant_category"))
 
 
 def fraud_by_type_action(alerts: DataFrame, *, as_of: datetime, hours=1) -> DataFrame:
@@ -168,13 +162,13 @@ def fraud_by_type_action(alerts: DataFrame, *, as_of: datetime, hours=1) -> Data
         .groupBy("fraud_type", "action")
         .agg(F.count("*").alias("alert_count"), rounded(exact_mean("ml_score", SCORE_SCALE), 3).alias("avg_ml_score"))
     )
-    return pairs.orderBy(*_desc("alert_count"), *_asc("fraud_type", "action"))
+    return pairs.orderBy(*desc("alert_count"), *asc("fraud_type", "action"))
 
 
 def sar_cases(aml: DataFrame, *, day: date) -> DataFrame:
     """HIGH cases of one day that need a suspicious-activity report."""
     cases = on_day(aml, day).filter(F.col("sar_required") & (F.col("risk_band") == "HIGH"))
-    return cases.orderBy(*_desc("total_amount_7d"), *_asc("event_id")).select(
+    return cases.orderBy(*desc("total_amount_7d"), *asc("event_id")).select(
         "account_id", "alert_type", "risk_band", "total_amount_7d", "timestamp"
     )
 
@@ -191,7 +185,7 @@ def failed_logins(events: DataFrame, *, as_of: datetime, hours=1, at_least: int
         )
     )
     repeated = failures.filter(F.col("failed_logins") >= at_least)
-    return repeated.orderBy(*_desc("failed_logins"), *_asc("account_id"))
+    return repeated.orderBy(*desc("failed_logins"), *asc("account_id"))
 
 
 def freshness(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -219,7 +213,7 @@ def account_format_check(master: DataFrame) -> DataFrame:
 
 def tier_risk_distribution(master: DataFrame) -> DataFrame:
     counts = master.groupBy("customer_tier", "risk_rating").agg(F.count("*").alias("customers"))
-    return counts.orderBy(*_desc("customers"), *_asc("customer_tier", "risk_rating"))
+    return counts.orderBy(*desc("customers"), *asc("customer_tier", "risk_rating"))
 
 
 def daily_rollup_measures() -> list[Column]:

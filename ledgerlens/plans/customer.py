@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.expressions import (
     ACCOUNT_IN_TEXT,
     SCORE_SCALE,
-    exact_mean,
+    asc,
+    desc,
     exact_total,
     money,
     rounded,
@@ -33,14 +34,6 @@ PROFILE_COLUMNS = ("customer_id", "account_id", "full_name")
 EPOCH = datetime(1970, 1, 1)
 
 
-def _desc(*columns: str) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in columns]
-
-
-def _asc(*columns: str) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in columns]
-
-
 def _or_zero(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(0)).alias(column)
 
@@ -63,7 +56,7 @@ def _ranked_by_payments(customers: DataFrame, payments: DataFrame, limit: object
         ),
         F.col("latest_payment_at").alias("latest_transaction"),
     )
-    return ranked.orderBy(*_desc("total_transaction_amount"), *_asc("customer_id")).limit(row_limit(limit))
+    return ranked.orderBy(*desc("total_transaction_amount"), *asc("customer_id")).limit(row_limit(limit))
 
 
 def top_customers(customers: DataFrame, payments: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -82,10 +75,10 @@ def join_sample(customers: DataFrame, payments: DataFrame, *, day: date, days=1,
     """
     n = row_limit(limit)
     recent = since_date(payments, day, days).select("account_id", "transaction_id", "amount", "timestamp")
-    newest = _foremost_per_account(recent, _desc("timestamp", "transaction_id"), n)
+    newest = _foremost_per_account(recent, desc("timestamp", "transaction_id"), n)
     joined = customers.select("account_id", "full_name", "customer_tier").join(newest, "account_id")
     return (
-        joined.orderBy(*_desc("timestamp", "transaction_id"))
+        joined.orderBy(*desc("timestamp", "transaction_id"))
         .limit(n)
         .select("account_id", "full_name", "customer_tier", "transaction_id", "amount", "timestamp")
     )
@@ -108,13 +101,13 @@ def _foremost_per_account(events: DataFrame, order: Sequence[Column], n: int) ->
 
 def _alert_detail(customers: DataFrame, alerts: DataFrame, profile: Sequence[Column | str], limit: object) -> DataFrame:
     n = row_limit(limit)
-    order = _desc("ml_score", "alert_timestamp", "event_id")
+    order = desc("ml_score", "alert_timestamp", "event_id")
     detail = alerts.select(
         "account_id", "event_id", F.col("timestamp").alias("alert_timestamp"), "fraud_type", "ml_score", "action", "case_id"
     )
     joined = customers.select(*profile).join(_foremost_per_account(detail, order, n), "account_id")
     # The tie-break on customer_id matters only for a master with repeated accounts.
-    first = joined.orderBy(*order, *_asc("customer_id")).limit(n)
+    first = joined.orderBy(*order, *asc("customer_id")).limit(n)
     profile_names = customers.select(*profile).columns
     return first.select(*profile_names, "alert_timestamp", "fraud_type", "ml_score", "action", "case_id")
 
@@ -161,7 +154,7 @@ def platinum_fraud(customers: DataFrame, alerts: DataFrame, *, as_of: datetime,
         "latest_alert_at",
         "blocked_count",
     )
-    return chosen.orderBy(*_desc("max_ml_score", "fraud_alert_count"), *_asc("customer_id")).limit(row_limit(limit))
+    return chosen.orderBy(*desc("max_ml_score", "fraud_alert_count"), *asc("customer_id")).limit(row_limit(limit))
 
 
 def fraud_by_city(customers: DataFrame, alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -185,7 +178,7 @@ def fraud_by_city(customers: DataFrame, alerts: DataFrame, *, as_of: datetime, h
         F.max("top_score").alias("max_ml_score"),
         F.sum("blocked").alias("blocked_count"),
     )
-    return cities.orderBy(*_desc("fraud_alert_count"), *_asc("customer_city", "province")).limit(row_limit(limit))
+    return cities.orderBy(*desc("fraud_alert_count"), *asc("customer_city", "province")).limit(row_limit(limit))
 
 
 # Channels and devices -----------------------------------------------------
@@ -212,7 +205,7 @@ def channel_comparison(customers: DataFrame, payments: DataFrame, *, as_of: date
         "total_amount",
     )
     return shown.orderBy(
-        *_desc("customers"), *_asc("stated_preferred_channel", "actual_top_payment_channel")
+        *desc("customers"), *asc("stated_preferred_channel", "actual_top_payment_channel")
     ).limit(row_limit(limit))
 
 
@@ -246,7 +239,7 @@ def channel_profile(
         "auth_methods_used",
         alignment.alias("channel_alignment"),
     )
-    return shown.orderBy(*_desc("payment_count", "login_attempts"), *_asc("customer_id")).limit(row_limit(limit))
+    return shown.orderBy(*desc("payment_count", "login_attempts"), *asc("customer_id")).limit(row_limit(limit))
 
 
 def new_device_customers(customers: DataFrame, events: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -263,7 +256,7 @@ def new_device_customers(customers: DataFrame, events: DataFrame, *, as_of: date
         "latest_login_at",
         "auth_methods",
     )
-    return shown.orderBy(*_desc("new_device_logins", "latest_login_at"), *_asc("customer_id")).limit(row_limit(limit))
+    return shown.orderBy(*desc("new_device_logins", "latest_login_at"), *asc("customer_id")).limit(row_limit(limit))
 
 
 # Exposure -----------------------------------------------------------------
@@ -293,7 +286,7 @@ def _exposed(customers: DataFrame, payments: DataFrame, alerts: DataFrame) -> Da
 
 
 def _by_exposure(exposed: DataFrame, columns: Sequence[str], limit: object) -> DataFrame:
-    order = (*_desc("max_fraud_score", "total_payment_amount"), *_asc("customer_id"))
+    order = (*desc("max_fraud_score", "total_payment_amount"), *asc("customer_id"))
     return exposed.select(*columns).orderBy(*order).limit(row_limit(limit))
 
 
@@ -378,7 +371,7 @@ def customer_profile(
         _or_zero("new_device_logins"),
         _or_zero("aml_alert_count"),
     )
-    return shown.orderBy(*_asc("customer_id")).limit(row_limit(limit))
+    return shown.orderBy(*asc("customer_id")).limit(row_limit(limit))
 
 
 # Batch tables and exceptions ----------------------------------------------
@@ -386,7 +379,7 @@ def customer_profile(
 
 def unmatched_accounts(customers: DataFrame, payments: DataFrame, *, as_of: datetime, hours=1, limit=25) -> DataFrame:
     alone = without_master(since(payments, as_of, hours), customers)
-    return alone.orderBy(*_desc("event_count"), *_asc("unmatched_account_id")).limit(row_limit(limit))
+    return alone.orderBy(*desc("event_count"), *asc("unmatched_account_id")).limit(row_limit(limit))
 
 
 def tier_payment_summary(dim_customer: DataFrame, fact: DataFrame, *, day: date, days=7) -> DataFrame:
@@ -412,4 +405,4 @@ def tier_payment_summary(dim_customer: DataFrame, fact: DataFrame, *, day: date,
         rounded(F.try_divide(F.sum("risk").cast("double"), F.sum("risk_days")), 3).alias("avg_risk_score"),
         rounded(F.try_divide(F.sum("weighted_risk").cast("double"), F.sum("risk_txns")), 3).alias("weighted_risk_score"),
     )
-    return summary.orderBy(*_desc("total_amount"), *_asc("customer_tier", "risk_rating"))
+    return summary.orderBy(*desc("total_amount"), *asc("customer_tier", "risk_rating"))

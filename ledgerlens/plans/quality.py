@@ -14,6 +14,8 @@ from ledgerlens.functions.expressions import (
     EMAIL_MASK,
     NATIONAL_ID_MASK,
     PHONE_MASK,
+    asc,
+    desc,
     exact_mean,
     exact_total,
     money,
@@ -39,21 +41,13 @@ EXPECTED_SHARES = (
 )
 
 
-def _desc(*columns: str) -> list[Column]:
-    return [F.col(c).desc_nulls_last() for c in columns]
-
-
-def _asc(*columns: str) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in columns]
-
-
 def last_batch(run_log: DataFrame) -> DataFrame:
     """The log rows of the newest batch, in the order the sources ran."""
     newest = run_log.agg(F.max("batch_id")).scalar()
     rows = run_log.filter(F.col("batch_id") == newest)
     if "duration_sec" in run_log.columns:
         rows = rows.withColumn("duration_sec", rounded(F.col("duration_sec"), 1))
-    return rows.orderBy(*_asc("started_at", "source"))
+    return rows.orderBy(*asc("started_at", "source"))
 
 
 def idempotency_check(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
@@ -99,7 +93,7 @@ def rollup_reconcile(payments: DataFrame, fact: DataFrame, *, day: date, days=3)
         money(F.col("rolled_total")).alias("rollup_total"),
         money(F.col("event_total") - F.col("rolled_total")).alias("diff_total"),
     )
-    return report.orderBy(*_desc("event_date"))
+    return report.orderBy(*desc("event_date"))
 
 
 def batch_history(run_log: DataFrame) -> DataFrame:
@@ -113,7 +107,7 @@ def batch_history(run_log: DataFrame) -> DataFrame:
     ]
     if "duration_sec" in run_log.columns:
         measures.append(rounded(exact_mean("duration_sec", 6), 1).alias("avg_duration_sec"))
-    return run_log.groupBy("source").agg(*measures).orderBy(*_asc("source"))
+    return run_log.groupBy("source").agg(*measures).orderBy(*asc("source"))
 
 
 def lineage(dim: DataFrame, limit=20) -> DataFrame:
@@ -121,7 +115,7 @@ def lineage(dim: DataFrame, limit=20) -> DataFrame:
     files = dim.groupBy("source_system", "batch_id", "source_file").agg(
         F.count("*").alias("rows_from_file"), F.max("ingested_at").alias("ingested_at")
     )
-    order = (*_desc("ingested_at"), *_asc("source_system", "batch_id", "source_file"))
+    order = (*desc("ingested_at"), *asc("source_system", "batch_id", "source_file"))
     return files.orderBy(*order).limit(row_limit(limit))
 
 
