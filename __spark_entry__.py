@@ -21,7 +21,7 @@ from ledgerlens.schemas import EVENT_TABLES, PAYMENT_EVENT, SIGNAL_EVENT  # noqa
 from ledgerlens.sources import events as event_source  # noqa: E402
 from ledgerlens.sources.driver_tables import DriverTables  # noqa: E402
 from ledgerlens.sources.relational import typed_customers  # noqa: E402
-from ledgerlens.sources.tables import check_schema  # noqa: E402
+from ledgerlens.sources.tables import check_schema, partition_stats  # noqa: E402
 from ledgerlens.streaming.routing import route  # noqa: E402
 
 # The events end on 2024-01-30, so this look-back covers all of them.
@@ -140,6 +140,12 @@ def _schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_schema(bound, EVENT_TABLES)
 
 
+def _partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and files per day; bytes depend on the writer, so they are left to the tests."""
+    events = DriverTables(spark, sf_dir).raw("events")
+    return partition_stats(events.withColumn("event_date", F.to_date("ts")), ["event_date"]).drop("total_bytes")
+
+
 def _stale_fact(t: DriverTables) -> DataFrame:
     """A roll-up that has not seen the last day yet."""
     return activity.payments_daily(t.payments.filter(F.col("event_date") < F.lit(DAY)))
@@ -238,6 +244,7 @@ def queries() -> dict[str, Query]:
         "rejected_messages": _rejected_messages,
         "read_customers": _read_customers,
         "schema_report": _schema_report,
+        "partition_stats": _partition_stats,
         # batch upserts
         "watermark": _over(lambda t: upsert.read_watermark(t.changelog, "changed_at")),
         "stage_dedupe": _over(lambda t: upsert.stage(t.changelog, KEY, ORDER, tie_break=TIE)),

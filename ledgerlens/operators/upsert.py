@@ -160,14 +160,14 @@ def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequ
     catalog entry is then moved to it: readers see the old or the new version,
     and a failed run leaves the old one. For a partitioned table the rows are
     written to the shared folder first, since they derive from partitions that
-    cannot be overwritten while they are read, and then replace just those.
-    Rebalancing lets adaptive execution spread a large partition over tasks.
+    cannot be overwritten while they are read, and then replace just those;
+    rebalancing spreads a large partition over several tasks and files.
     """
     arranged = rows.select(*spark.table(table).columns)
     if not partition_by:
         home = _location(spark, table).partition("/version-")[0]
         version = f"{home}/version-{uuid.uuid4().hex}"
-        arranged.hint("rebalance").write.parquet(version)
+        arranged.write.parquet(version)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     else:
         staging = scratch_path(spark, f"publish-{table.rpartition('.')[2]}")

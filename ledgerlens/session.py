@@ -19,6 +19,10 @@ DEFAULT_CONF = {
 }
 
 
+# Working folders of local-mode sessions, by application.
+_local_dirs: dict[str, str] = {}
+
+
 def build_session(app_name: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings the jobs rely on; ``conf`` wins over them.
 
@@ -44,9 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="ledgerlens-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="ledgerlens-")
+    return _local_dirs[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -13,6 +13,51 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.schemas import Layout, ddl
+
+# Column names and types of the files.
+FILES: dict[str, Layout] = {
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "customer": {
+        "c_custkey": "bigint",
+        "c_name": "string",
+        "c_nationkey": "int",
+        "c_acctbal": "double",
+        "c_mktsegment": "string",
+    },
+    "orders": {
+        "o_orderkey": "bigint",
+        "o_custkey": "bigint",
+        "o_orderstatus": "string",
+        "o_totalprice": "double",
+        "o_orderdate": "timestamp_ntz",
+        "o_orderpriority": "string",
+    },
+    "lineitem": {
+        "l_orderkey": "bigint",
+        "l_partkey": "bigint",
+        "l_suppkey": "bigint",
+        "l_linenumber": "int",
+        "l_quantity": "double",
+        "l_extendedprice": "double",
+        "l_discount": "double",
+        "l_tax": "double",
+        "l_returnflag": "string",
+        "l_linestatus": "string",
+        "l_shipdate": "timestamp_ntz",
+    },
+    "events": {
+        "event_id": "bigint",
+        "ts": "timestamp_ntz",
+        "user_id": "bigint",
+        "event_type": "string",
+        "value": "double",
+        "props": "string",
+    },
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
+}
+
 EVENT = (
     "*",
     "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
@@ -145,7 +190,7 @@ class DriverTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(ddl(FILES[name])).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def events(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,26 +42,36 @@ def append(df: DataFrame, table: str, files: int | None = None) -> None:
     (narrowed.coalesce(files) if files else narrowed).write.insertInto(table)
 
 
-def schema_report(found: Mapping[str, Iterable[str]], expected: Mapping[str, Iterable[str]], spark: SparkSession) -> DataFrame:
-    """``(table_name, column_name, problem)`` for each departure from the contract.
+def schema_problems(found: Iterable[str], expected: Iterable[str]) -> list[tuple[str, str]]:
+    """``(column, problem)`` for each departure from the declared columns."""
+    live, wanted = list(found), list(expected)
+    return [(c, "missing column") for c in wanted if c not in live] + [
+        (c, "unexpected column") for c in live if c not in wanted
+    ]
 
-    Works on column names alone; no data is read.
+
+def check_schema(
+    tables: Mapping[str, DataFrame], expected: Mapping[str, Iterable[str]] = EVENT_TABLES
+) -> DataFrame:
+    """``(table_name, column_name, problem, rows_affected)`` over live tables.
+
+    Only the columns are compared; the rows are counted to tell an empty table
+    from one whose data lacks something.
     """
-    rows = []
-    for table, wanted in expected.items():
-        if table not in found:
-            rows.append((table, None, "missing table"))
-            continue
-        live, wanted = list(found[table]), list(wanted)
-        rows += [(table, c, "missing column") for c in wanted if c not in live]
-        rows += [(table, c, "unexpected column") for c in live if c not in wanted]
-    return spark.createDataFrame(rows, "table_name string, column_name string, problem string")
-
-
-def check_schema(tables: Mapping[str, DataFrame], expected: Mapping[str, Iterable[str]] = EVENT_TABLES) -> DataFrame:
-    """:func:`schema_report` over live DataFrames."""
     spark = next(iter(tables.values())).sparkSession
-    return schema_report({name: df.columns for name, df in tables.items()}, expected, spark)
+    reports = [
+        spark.createDataFrame(
+            [(name, None, "missing table", 0) for name in expected if name not in tables],
+            "table_name string, column_name string, problem string, rows_affected bigint",
+        )
+    ]
+    for name, df in tables.items():
+        problems = schema_problems(df.columns, expected[name])
+        if problems:
+            rows = [F.struct(F.lit(c).alias("column_name"), F.lit(text).alias("problem")) for c, text in problems]
+            counted = df.agg(F.count("*").alias("rows_affected"))
+            reports.append(counted.select(F.lit(name).alias("table_name"), F.inline(F.array(*rows)), "rows_affected"))
+    return reduce(DataFrame.unionByName, reports)
 
 
 def partition_stats(df: DataFrame, partition_by: Iterable[str]) -> DataFrame:

@@ -331,13 +331,18 @@ ORACLE: dict[str, str] = {
                CAST(c_acctbal * 10 AS DECIMAL(14,2)) AS annual_income, src_updated_at, 'customer360.customers' AS source_system
         FROM customer JOIN (SELECT o_custkey, max(o_orderdate) AS src_updated_at FROM orders GROUP BY 1) ON o_custkey = c_custkey
         WHERE src_updated_at > {CUT}""",
-    "schema_report": """
-        SELECT * FROM (VALUES
+    "schema_report": _q(
+        "payments",
+        """SELECT table_name, column_name, problem, CASE WHEN column_name IS NULL THEN 0 ELSE (SELECT count(*) FROM payments) END AS rows_affected
+           FROM (VALUES
             ('payment_transactions', 'event_type', 'missing column'), ('payment_transactions', 'currency', 'missing column'),
             ('payment_transactions', 'country', 'missing column'), ('payment_transactions', 'latitude', 'missing column'),
             ('payment_transactions', 'longitude', 'missing column'), ('payment_transactions', 'customer_tier', 'missing column'),
             ('payment_transactions', 'ingested_at', 'missing column'), ('payment_agg', NULL, 'missing table')
-        ) AS t(table_name, column_name, problem)""",
+           ) AS t(table_name, column_name, problem)""",
+    ),
+    "partition_stats": """SELECT CAST(ts AS DATE) AS event_date, count(*) AS record_count, CAST(1 AS BIGINT) AS file_count
+                          FROM events GROUP BY 1""",
     # batch upserts
     "watermark": _q("changelog", "SELECT max(changed_at) AS high_water_mark FROM changelog"),
     "stage_dedupe": _q(

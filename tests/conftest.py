@@ -18,7 +18,6 @@ def spark():
         "spark.ui.enabled": "false",
         "spark.driver.memory": "6g",
         "spark.sql.warehouse.dir": f"{work}/warehouse",
-        "spark.checkpoint.dir": f"{work}/shared",
         "spark.sql.streaming.stateStore.stateSchemaCheck": "true",
     }
     for key, value in conf.items():

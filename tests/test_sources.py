@@ -8,7 +8,7 @@ import pytest
 from ledgerlens.schemas import CUSTOMER_MASTER, EVENT_TABLES, PAYMENT_WINDOW
 from ledgerlens.session import scratch_path, shared_dir
 from ledgerlens.sources import files, relational
-from ledgerlens.sources.tables import append, check_schema, ensure_table, schema_report
+from ledgerlens.sources.tables import append, check_schema, ensure_table
 
 
 def test_watermark_text_is_utc():
@@ -38,10 +38,11 @@ def test_serial_and_sharded_reads():
 
 
 def test_schema_contract(spark):
-    frame = spark.createDataFrame([], "a string, c int")
-    got = {tuple(r) for r in check_schema({"t": frame}, {"t": ("a", "b"), "gone": ("x",)}).collect()}
-    assert got == {("t", "b", "missing column"), ("t", "c", "unexpected column"), ("gone", None, "missing table")}
-    assert schema_report(EVENT_TABLES, EVENT_TABLES, spark).count() == 0
+    frame = spark.createDataFrame([("x", 1), ("y", 2)], "a string, c int")
+    fine = spark.createDataFrame([], "x string")
+    got = {tuple(r) for r in check_schema({"t": frame, "fine": fine}, {"t": ("a", "b"), "fine": ("x",), "gone": ("x",)}).collect()}
+    assert got == {("t", "b", "missing column", 2), ("t", "c", "unexpected column", 2), ("gone", None, "missing table", 0)}
+    assert check_schema({"fine": fine}, {"fine": ("x",)}).count() == 0
     assert tuple(PAYMENT_WINDOW) == EVENT_TABLES["payment_agg"]
 
 
@@ -94,6 +95,24 @@ def test_unusable_master_files(spark, tmp_path):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured is None or shared_dir(spark) == configured.rstrip("/")
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class Unset:
+    """A session without the setting, on some master."""
+
+    def __init__(self, master):
+        self.sparkContext, self.conf = self, self
+        self.master, self.applicationId = master, f"app-{master}"
+
+    def get(self, key, default):
+        return default
+
+
+def test_a_cluster_needs_the_shared_folder():
+    assert shared_dir(Unset("local[2]")) == shared_dir(Unset("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Unset("spark://host:7077"))
