@@ -28,17 +28,27 @@ EMAIL_MASK = r"@example\.invalid$"
 CUSTOMER_ID_PREFIX = "CUST-DEMO-"
 
 
-def exact_total(column: str, scale: int = MONEY_SCALE) -> Column:
-    """Order-independent sum of a DOUBLE column, as DECIMAL."""
+def _halves(column: str, scale: int) -> tuple[Column, Column]:
+    """Sums of the upper and lower parts of each value in units of ``10**-scale``."""
     units = F.rint(F.col(column) * F.lit(float(10**scale))).cast("bigint")
-    high = F.sum(F.shiftright(units, _HALF_BITS)).cast("decimal(19,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << _HALF_BITS) - 1).cast("bigint"))).cast("decimal(19,0)")
-    return (high * F.lit(1 << _HALF_BITS) + low) * F.lit(Decimal(1).scaleb(-scale))
+    lower = units.bitwiseAND(F.lit((1 << _HALF_BITS) - 1).cast("bigint"))
+    return F.sum(F.shiftright(units, _HALF_BITS)), F.sum(lower)
+
+
+def exact_total(column: str, scale: int = MONEY_SCALE) -> Column:
+    """Order-independent sum of a DOUBLE column, as DECIMAL; can be summed further without loss."""
+    upper, lower = (half.cast("decimal(19,0)") for half in _halves(column, scale))
+    return (upper * F.lit(1 << _HALF_BITS) + lower) * F.lit(Decimal(1).scaleb(-scale))
 
 
 def exact_sum(column: str, scale: int = MONEY_SCALE) -> Column:
-    """:func:`exact_total` as DOUBLE."""
-    return exact_total(column, scale).cast("double")
+    """Order-independent sum as DOUBLE, without a decimal per group.
+
+    The nearest double of the exact total as long as that has fewer than 2**53
+    units, and within two rounding steps of it beyond.
+    """
+    upper, lower = (half.cast("double") for half in _halves(column, scale))
+    return (upper * F.lit(float(1 << _HALF_BITS)) + lower) / F.lit(float(10**scale))
 
 
 def exact_mean(column: str, scale: int = MONEY_SCALE) -> Column:

@@ -54,8 +54,10 @@ def idempotency_check(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) ->
     """Rows, distinct keys and duplicates per target; no replay may add a duplicate."""
 
     def one(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
-        counted = df.agg(F.count("*").alias("rows_total"), F.count_distinct(key).alias("distinct_keys"))
+        # A composite key counts as a value even if a part is NULL; a single NULL key does not.
+        filled = F.count(F.col(keys[0])) if len(keys) == 1 else F.count("*")
+        per_key = df.groupBy(*keys).agg(F.count("*").alias("n"))
+        counted = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_total"), filled.alias("distinct_keys"))
         return counted.select(
             F.lit(name).alias("table_name"), "*", (F.col("rows_total") - F.col("distinct_keys")).alias("duplicate_keys")
         )

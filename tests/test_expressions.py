@@ -14,7 +14,8 @@ def test_sum_does_not_depend_on_order_and_is_exact(spark):
     for seed in (1, 2):
         random.Random(seed).shuffle(cents)
         df = spark.createDataFrame([(c / 100,) for c in cents], "amount double").repartition(7)
-        assert df.agg(e.exact_total("amount").alias("t")).first().t == Decimal(sum(cents)) / 100
+        total = df.agg(e.exact_total("amount").alias("t"), e.exact_sum("amount").alias("s")).first()
+        assert total.t == Decimal(sum(cents)) / 100 and total.s == sum(cents) / 100
 
 
 def test_sum_beyond_the_range_of_a_long(spark):
