@@ -1,20 +1,22 @@
-"""Jobs for ``spark-submit``: streams, batch ingestion, reports and questions."""
+"""Jobs for ``spark-submit``: streams, compaction, batch ingestion, reports and questions."""
 
 from __future__ import annotations
 
 import argparse
 import os
 import sys
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.functions.params import in_utc
 from ledgerlens.operators.question_rules import ACTIVITY_RULES, CUSTOMER_RULES
 from ledgerlens.plans import catalogue, ingestion
+from ledgerlens.schemas import EVENT_LAYOUTS
 from ledgerlens.session import build_session
 from ledgerlens.sources.tables import read_table
 from ledgerlens.streaming.jobs import STREAMS, StreamConfig, run_streams
+from ledgerlens.streaming.tables import compact_days, read_event_table
 
 
 def moment(text: str) -> datetime:
@@ -45,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--since", type=moment)
     batch.add_argument("--lookback-days", type=int, default=1)
     batch.add_argument("--dry-run", action="store_true")
+    batch.add_argument("--provider", default="parquet", help="table format of new targets")
+    batch.add_argument("--row-level", action="store_true", help="let the tables merge, where their format can")
     batch.add_argument("--jdbc-url", help="user and password come from JDBC_USER and JDBC_PASSWORD")
     batch.add_argument("--jdbc-driver")
     batch.add_argument("--jdbc-table", default="customers")
@@ -55,6 +59,11 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--accounts-pattern", default="*.csv")
     batch.add_argument("--payments-table", default="banking.payment_transactions")
 
+    compact = jobs.add_parser("compact", help="merge the files of closed days of a streamed table")
+    compact.add_argument("--root", required=True)
+    compact.add_argument("--table", choices=list(EVENT_LAYOUTS), required=True)
+    compact.add_argument("--day", type=date.fromisoformat, action="append", required=True, help="may be repeated")
+
     for name, words in (("report", "run a report by name"), ("ask", "answer a question")):
         job = jobs.add_parser(name, help=words)
         job.add_argument("what", help="report name" if name == "report" else "the question")
@@ -78,8 +87,13 @@ class LazyTables(dict):
         self._spark, self._home = spark, home
 
     def __missing__(self, name: str) -> DataFrame:
-        joint = "/" if "/" in self._home else "."
-        self[name] = read_table(self._spark, f"{self._home.rstrip('/')}{joint}{name}")
+        home = self._home.rstrip("/")
+        if "/" not in home:
+            self[name] = read_table(self._spark, f"{home}.{name}")
+        elif name in EVENT_LAYOUTS:
+            self[name] = read_event_table(self._spark, home, name)
+        else:
+            self[name] = read_table(self._spark, f"{home}/{name}")
         return self[name]
 
 
@@ -98,7 +112,13 @@ def sources(args: argparse.Namespace) -> list[ingestion.Source]:
 
 def run_batch(spark: SparkSession, args: argparse.Namespace) -> int:
     cfg = ingestion.BatchConfig(
-        schema=args.schema, mode=args.mode, since=args.since, lookback_days=args.lookback_days, dry_run=args.dry_run
+        schema=args.schema,
+        mode=args.mode,
+        since=args.since,
+        lookback_days=args.lookback_days,
+        dry_run=args.dry_run,
+        provider=args.provider,
+        row_level=args.row_level,
     )
     log, failed = ingestion.run_batch(spark, cfg, sources(args))
     log.select("source", "status", "rows_read", "rows_inserted", "rows_updated", "message").show(truncate=80)
@@ -131,6 +151,9 @@ def main(argv: list[str] | None = None) -> int:
         )
         run_streams(spark, cfg, STREAMS if args.stream == "all" else [args.stream])
         return 0
+    if args.job == "compact":
+        compact_days(spark, args.root.rstrip("/"), args.table, args.day)
+        return 0
     return run_batch(spark, args) if args.job == "batch" else run_report(spark, args)
 
 

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -121,6 +122,15 @@ def upsert(
     )
 
 
+def merge_into(table: str, staged: DataFrame, keys: Sequence[str], ordering: str | None = None) -> None:
+    """The same merge done by the table itself, for providers with row-level operations."""
+    on = reduce(Column.__and__, (F.col(f"{table}.{k}") == F.col(f"staged.{k}") for k in keys))
+    merge = staged.alias("staged").mergeInto(table, on)
+    newer = None if ordering is None else F.col(f"staged.{ordering}") >= F.col(f"{table}.{ordering}")
+    matched = merge.whenMatched() if newer is None else merge.whenMatched(newer)
+    matched.updateAll().whenNotMatched().insertAll().merge()
+
+
 def classify_changes(target: DataFrame, staged: DataFrame, keys: Sequence[str], ordering: str | None = None) -> DataFrame:
     """One row: how many staged rows insert, update, or are stale.
 

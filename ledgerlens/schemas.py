@@ -81,14 +81,26 @@ PAYMENT_WINDOW: Layout = {
     "event_date": "date",
 }
 
-EVENT_TABLES: dict[str, tuple[str, ...]] = {
-    "payment_transactions": (*PAYMENT_EVENT, "ingested_at", "event_date"),
-    "payment_agg": tuple(PAYMENT_WINDOW),
-    "fraud_alerts": FRAUD_COLUMNS,
-    "aml_alerts": AML_COLUMNS,
-    "customer_events": CUSTOMER_EVENT_COLUMNS,
+_SIGNAL_TYPES = {**SIGNAL_EVENT, "event_date": "date"}
+
+EVENT_LAYOUTS: dict[str, Layout] = {
+    "payment_transactions": {**PAYMENT_EVENT, "ingested_at": "timestamp", "event_date": "date"},
+    "payment_agg": PAYMENT_WINDOW,
+    "fraud_alerts": {c: _SIGNAL_TYPES[c] for c in FRAUD_COLUMNS},
+    "aml_alerts": {c: _SIGNAL_TYPES[c] for c in AML_COLUMNS},
+    "customer_events": {c: _SIGNAL_TYPES[c] for c in CUSTOMER_EVENT_COLUMNS},
 }
 
+EVENT_PARTITIONS: dict[str, tuple[str, ...]] = {
+    "payment_transactions": ("event_date", "city"),
+    "payment_agg": ("event_date", "city"),
+    "fraud_alerts": ("event_date", "fraud_type"),
+    "aml_alerts": ("event_date", "risk_band"),
+    "customer_events": ("event_date",),
+}
+
+EVENT_TABLES: dict[str, tuple[str, ...]] = {name: tuple(layout) for name, layout in EVENT_LAYOUTS.items()}
+
 CUSTOMER_MASTER: Layout = {
     "customer_id": "string",
     "account_id": "string",

@@ -31,8 +31,8 @@ def ensure_table(
     return name
 
 
-def ensure_target(spark: SparkSession, schema: str, target: Target) -> str:
-    return ensure_table(spark, f"{schema}.{target.table}", target.layout, target.partition_by)
+def ensure_target(spark: SparkSession, schema: str, target: Target, provider: str = "parquet") -> str:
+    return ensure_table(spark, f"{schema}.{target.table}", target.layout, target.partition_by, provider)
 
 
 def append(df: DataFrame, table: str, files: int | None = None) -> None:

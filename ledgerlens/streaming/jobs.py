@@ -23,7 +23,8 @@ from ledgerlens.sources.events import (
     with_arrival,
     with_event_date,
 )
-from ledgerlens.streaming.routing import batch_writer
+from ledgerlens.streaming.routing import batch_router
+from ledgerlens.streaming.tables import replace_batch, stream_of
 
 WATERMARK = "2 minutes"
 
@@ -56,40 +57,37 @@ def parsed_signals(messages: DataFrame) -> DataFrame:
 
 
 def write_stream(
-    df: DataFrame, cfg: StreamConfig, table: str, partition_by: Iterable[str], factor: int = 1
+    df: DataFrame, cfg: StreamConfig, name: str, write: Callable[[DataFrame, int], None], factor: int = 1
 ) -> StreamingQuery:
-    """Append to a partitioned table; the sink commits each micro-batch once."""
+    """Append through ``write``, which takes each micro-batch and its number."""
     return (
-        df.writeStream.format("parquet")
+        df.writeStream.foreachBatch(write)
         .outputMode("append")
-        .queryName(table)
+        .queryName(name)
         .trigger(**cfg.trigger(factor))
-        .option("checkpointLocation", f"{cfg.checkpoints}/{table}")
-        .option("path", f"{cfg.root}/{table}")
-        .partitionBy(*partition_by)
+        .option("checkpointLocation", f"{cfg.checkpoints}/{name}")
         .start()
     )
 
 
+def _into(cfg: StreamConfig, table: str) -> Callable[[DataFrame, int], None]:
+    return lambda batch, batch_id: replace_batch(batch, cfg.root, table, stream_of(batch), batch_id)
+
+
 def start_payments(messages: DataFrame, cfg: StreamConfig) -> StreamingQuery:
-    return write_stream(parsed_payments(messages), cfg, "payment_transactions", ("event_date", "city"))
+    table = "payment_transactions"
+    return write_stream(parsed_payments(messages), cfg, table, _into(cfg, table))
 
 
 def start_aggregates(messages: DataFrame, cfg: StreamConfig) -> StreamingQuery:
     """A window is written once, when the watermark has passed its end."""
+    table = "payment_agg"
     windows = payment_windows(parsed_payments(messages), WATERMARK)
-    return write_stream(windows, cfg, "payment_agg", ("event_date", "city"), factor=2)
+    return write_stream(windows, cfg, table, _into(cfg, table), factor=2)
 
 
 def start_signals(messages: DataFrame, cfg: StreamConfig) -> StreamingQuery:
-    return (
-        parsed_signals(messages)
-        .writeStream.foreachBatch(batch_writer(cfg.root))
-        .queryName("signals")
-        .trigger(**cfg.trigger())
-        .option("checkpointLocation", f"{cfg.checkpoints}/signals")
-        .start()
-    )
+    return write_stream(parsed_signals(messages), cfg, "signals", batch_router(cfg.root))
 
 
 STREAMS: dict[str, tuple[tuple[str, ...], Callable[[DataFrame, StreamConfig], StreamingQuery]]] = {

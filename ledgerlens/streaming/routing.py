@@ -9,15 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import AML_COLUMNS, CUSTOMER_EVENT_COLUMNS, FRAUD_COLUMNS
+from ledgerlens.streaming.tables import replace_batch, stream_of
 
 
 @dataclass(frozen=True)
 class Route:
-    """The events of some types, with the columns and partitions of their table."""
+    """The events of some types, with the columns of their table."""
 
     event_types: tuple[str, ...]
     columns: tuple[str, ...]
-    partition_by: tuple[str, ...]
 
     def accepts(self) -> Column:
         return F.col("event_type").isin(*self.event_types)
@@ -25,11 +25,9 @@ class Route:
 
 # Event types and the tables they belong to.
 ROUTES: dict[str, Route] = {
-    "fraud_alerts": Route(("FRAUD_SIGNAL",), FRAUD_COLUMNS, ("event_date", "fraud_type")),
-    "aml_alerts": Route(("AML_ALERT",), AML_COLUMNS, ("event_date", "risk_band")),
-    "customer_events": Route(
-        ("CUSTOMER_LOGIN", "PROFILE_CHANGE", "ACCOUNT_OPEN"), CUSTOMER_EVENT_COLUMNS, ("event_date",)
-    ),
+    "fraud_alerts": Route(("FRAUD_SIGNAL",), FRAUD_COLUMNS),
+    "aml_alerts": Route(("AML_ALERT",), AML_COLUMNS),
+    "customer_events": Route(("CUSTOMER_LOGIN", "PROFILE_CHANGE", "ACCOUNT_OPEN"), CUSTOMER_EVENT_COLUMNS),
 }
 
 
@@ -39,28 +37,19 @@ def route(events: DataFrame, table: str, routes: Mapping[str, Route] = ROUTES) -
     return events.filter(wanted.accepts()).select(*wanted.columns)
 
 
-def batch_writer(root: str, routes: Mapping[str, Route] = ROUTES) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes each route below ``root``.
+def batch_router(
+    root: str, routes: Mapping[str, Route] = ROUTES, stream: Callable[[DataFrame], str] = stream_of
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes each route to its table below ``root``.
 
-    A batch's rows live in folders named after the batch, which a replay replaces:
-    after a failure the same micro-batch comes again and must not count twice.
-    The batch is read once per route, so it is kept, with spilling to disk, and
-    each part is rebalanced, which keeps the number of files per partition low
-    without putting a large partition into one task.
+    The batch is read once per route, so it is kept, with spilling to disk.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            for table, wanted in routes.items():
-                part = route(batch, table, routes).withColumn("stream_batch", F.lit(batch_id))
-                (
-                    part.hint("rebalance", *wanted.partition_by)
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("stream_batch", *wanted.partition_by)
-                    .parquet(f"{root}/{table}")
-                )
+            for table in routes:
+                replace_batch(route(batch, table, routes), root, table, stream(batch), batch_id)
         finally:
             batch.unpersist()
 

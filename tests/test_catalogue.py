@@ -68,6 +68,11 @@ def test_command_line_reports(spark, tables, tmp_path, monkeypatch):
     asked = ["ask", "Show the Customer 360 profile for account ACC-TH-10000001.", "--customers", "--tables", str(tmp_path / "lake"), "--as-of", "2024-05-02T19:00+07:00", "--output", out + "2"]
     assert cli.main(asked) == 0
     assert spark.read.parquet(out + "2").first().payment_count == 1
+    events = str(tmp_path / "events")
+    tables["fraud_alerts"].write.partitionBy("event_date", "fraud_type").parquet(f"{events}/fraud_alerts")
+    assert cli.main(["compact", "--root", events, "--table", "fraud_alerts", "--day", "2024-05-02"]) == 0
+    assert cli.main(["report", "fraud_by_type", "--tables", events, "--as-of", "2024-05-02T12:00", "--output", out + "3"]) == 0
+    assert rows(spark.read.parquet(out + "3")) == [("X", 1)]
 
 
 def test_command_line_batch(spark, tmp_path, monkeypatch):

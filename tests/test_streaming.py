@@ -1,15 +1,18 @@
 from __future__ import annotations
 
 import json
+from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.schemas import PAYMENT_EVENT, PAYMENT_WINDOW, SIGNAL_EVENT, ddl
+from ledgerlens.schemas import PAYMENT_EVENT, SIGNAL_EVENT
 from ledgerlens.sources.events import drop_malformed, parse_payload, read_json_files, rejected_messages
 from ledgerlens.streaming.jobs import StreamConfig, start_aggregates, start_payments, start_signals, start_streams, stop_all
 from ledgerlens.streaming.progress import ProgressLog, progress_report
-from ledgerlens.streaming.routing import ROUTES, batch_writer, route
+from ledgerlens.streaming.routing import ROUTES, batch_router, route
+from ledgerlens.streaming.tables import compact_days, read_event_table, stream_of
 
 
 @pytest.fixture
@@ -59,19 +62,53 @@ def test_payments_are_appended_once_across_restarts(spark, lake):
     run(start_payments, spark, inbox, cfg)
     drop(inbox, "b.json", [payment("3", "10:00:00")])
     run(start_payments, spark, inbox, cfg)
-    table = spark.read.parquet(f"{cfg.root}/payment_transactions")
-    assert {(r.event_id, r.city, str(r.event_date)) for r in table.collect()} == {
+    table = read_event_table(spark, cfg.root, "payment_transactions")
+    assert table.count() == 3 and {(r.event_id, r.city, str(r.event_date)) for r in table.collect()} == {
         ("1", "Bangkok", "2024-05-02"), ("2", "Phuket", "2024-05-02"), ("3", "Bangkok", "2024-05-02"),
     }
     assert table.filter("ingested_at IS NULL").count() == 0
 
 
+def test_a_stream_started_afresh_keeps_earlier_rows(spark, lake):
+    inbox, cfg = lake
+    drop(inbox, "a.json", [payment("1", "10:00:00")])
+    run(start_payments, spark, inbox, cfg)
+    fresh = StreamConfig(root=cfg.root, checkpoints=cfg.checkpoints + "2", available_now=True)
+    run(start_payments, spark, inbox, fresh)
+    assert read_event_table(spark, cfg.root, "payment_transactions").count() == 2
+    with pytest.raises(ValueError):
+        stream_of(spark.range(1))
+
+
+def test_compaction_of_a_closed_day_between_batches(spark, lake):
+    inbox, cfg = lake
+
+    def files(day):
+        return list((Path(cfg.root) / "payment_transactions" / f"event_date=2024-05-{day}").rglob("*.parquet"))
+
+    for i in range(4):
+        day = "2024-05-01T10:00:00+00:00"
+        drop(inbox, f"{i}.json", [payment(f"a{i}", "10:00:00", timestamp=day), payment(f"b{i}", "10:00:00", city="7"), payment(f"c{i}", "10:00:00", timestamp=day, city=None)])
+        run(start_payments, spark, inbox, cfg)
+    table = read_event_table(spark, cfg.root, "payment_transactions")
+    before = sorted(tuple(r) for r in table.selectExpr("event_id", "cast(event_date as string)", "coalesce(city, 'none')", "amount").collect())
+    assert len(before) == 12 and len(files("01")) == 8 and len(files("02")) == 4
+    compact_days(spark, cfg.root, "payment_transactions", [date(2024, 5, 1)])
+    assert len(files("01")) == 2 and len(files("02")) == 4
+    spark.catalog.refreshByPath(cfg.root)
+    table = read_event_table(spark, cfg.root, "payment_transactions")
+    assert sorted(tuple(r) for r in table.selectExpr("event_id", "cast(event_date as string)", "coalesce(city, 'none')", "amount").collect()) == before
+    drop(inbox, "z.json", [payment("z", "11:00:00")])
+    run(start_payments, spark, inbox, cfg)
+    assert read_event_table(spark, cfg.root, "payment_transactions").count() == 13
+
+
 def test_windows_with_late_events(spark, lake):
     """A window is written once the watermark passes its end; later events for it are dropped."""
     inbox, cfg = lake
 
     def emitted():
-        windows = spark.read.schema(ddl(PAYMENT_WINDOW)).parquet(f"{cfg.root}/payment_agg")
+        windows = read_event_table(spark, cfg.root, "payment_agg")
         return {str(r.s): r.txn_count for r in windows.select(F.date_format("window_start", "HH:mm").alias("s"), "txn_count").collect()}
 
     drop(inbox, "a.json", [payment("1", "00:01:00"), payment("2", "00:04:59"), payment("3", "00:05:00")])
@@ -86,7 +123,7 @@ def test_windows_with_late_events(spark, lake):
     drop(inbox, "d.json", [payment("7", "00:30:00")])
     run(start_aggregates, spark, inbox, cfg)
     assert emitted() == {"00:00": 2, "00:05": 1, "00:10": 2}
-    row = spark.read.parquet(f"{cfg.root}/payment_agg").filter("txn_count = 2").orderBy("window_start").first()
+    row = read_event_table(spark, cfg.root, "payment_agg").filter("txn_count = 2").orderBy("window_start").first()
     assert (row.total_amount, row.avg_amount, row.max_amount, row.approved_count, row.declined_count, row.avg_risk_score) == (21.0, 10.5, 10.5, 2, 0, 0.25)
 
 
@@ -103,7 +140,7 @@ def signals():
 
 
 def stored(spark, cfg):
-    return {table: {r.event_id for r in spark.read.parquet(f"{cfg.root}/{table}").collect()} for table in ROUTES}
+    return {table: {r.event_id for r in read_event_table(spark, cfg.root, table).collect()} for table in ROUTES}
 
 
 WANTED = {"fraud_alerts": {"f"}, "aml_alerts": {"m"}, "customer_events": {"l", "o"}}
@@ -114,7 +151,7 @@ def test_signals_are_routed_by_type(spark, lake):
     drop(inbox, "a.json", signals())
     run(start_signals, spark, inbox, cfg)
     assert stored(spark, cfg) == WANTED
-    fraud = spark.read.parquet(f"{cfg.root}/fraud_alerts").first()
+    fraud = read_event_table(spark, cfg.root, "fraud_alerts").first()
     assert (fraud.ml_score, fraud.fraud_type, str(fraud.event_date)) == (0.9, "IDENTITY_THEFT", "2024-05-02")
 
 
@@ -122,11 +159,11 @@ def test_a_replayed_batch_does_not_count_twice(spark, lake):
     _, cfg = lake
     messages = spark.createDataFrame([(m if isinstance(m, str) else json.dumps(m),) for m in signals()], "value string")
     events = parse_payload(messages, SIGNAL_EVENT).withColumn("event_date", F.to_date("timestamp"))
-    write = batch_writer(cfg.root)
+    write = batch_router(cfg.root, stream=lambda _: "s1")
     for batch_id in (0, 1, 1, 0):
         write(events, batch_id)
     for table, ids in WANTED.items():
-        df = spark.read.parquet(f"{cfg.root}/{table}")
+        df = read_event_table(spark, cfg.root, table)
         assert df.count() == 2 * len(ids), table
     assert route(events, "customer_events").columns == list(ROUTES["customer_events"].columns)
 

@@ -136,3 +136,10 @@ def test_publish_replaces_only_the_partitions_it_has_rows_for(spark):
     changed = spark.table(table).filter("d = DATE'2024-01-02'").withColumn("v", F.col("v") * 10)
     u.publish(spark, table, changed, ["d"])
     assert {(str(r.d), r.v) for r in spark.table(table).collect()} == {("2024-01-01", 1), ("2024-01-02", 20)}
+
+
+def test_row_level_merge_is_left_to_the_table(spark):
+    """Parquet tables have none; the statement must get as far as the table."""
+    table = ensure_table(spark, "pub.merged", {"k": "string", "v": "int", "t": "timestamp"})
+    with pytest.raises(Exception, match="MERGE INTO TABLE|UNSUPPORTED_FEATURE.TABLE_OPERATION"):
+        u.merge_into(table, frame(spark, [("a", 1, 1)]), ["k"], "t")
