@@ -68,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name, help=words)
         job.add_argument("what", help="report name" if name == "report" else "the question")
         job.add_argument("--tables", required=True, help="schema or folder that holds the event tables and the customers")
+        job.add_argument("--batch-tables", default="ingestion", help="schema or folder of the batch-loaded tables")
         job.add_argument("--as-of", type=moment, help="default: now")
         job.add_argument("--hours", type=int)
         job.add_argument("--days", type=int)
@@ -82,12 +83,12 @@ def parser() -> argparse.ArgumentParser:
 class LazyTables(dict):
     """Tables by name, read when a report asks for them."""
 
-    def __init__(self, spark: SparkSession, home: str) -> None:
+    def __init__(self, spark: SparkSession, home: str, batch_home: str) -> None:
         super().__init__()
-        self._spark, self._home = spark, home
+        self._spark, self._home, self._batch_home = spark, home, batch_home
 
     def __missing__(self, name: str) -> DataFrame:
-        home = self._home.rstrip("/")
+        home = (self._batch_home if name in catalogue.BATCH_TABLES else self._home).rstrip("/")
         if "/" not in home:
             self[name] = read_table(self._spark, f"{home}.{name}")
         elif name in EVENT_LAYOUTS:
@@ -126,7 +127,7 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def run_report(spark: SparkSession, args: argparse.Namespace) -> int:
-    tables = LazyTables(spark, args.tables)
+    tables = LazyTables(spark, args.tables, args.batch_tables)
     as_of = args.as_of or datetime.now(timezone.utc)
     params = {name: getattr(args, name) for name in ("hours", "days", "limit", "score")}
     if args.job == "ask":
@@ -135,11 +136,13 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> int:
     else:
         name, account = args.what, args.account
     result = catalogue.run_report(name, tables, as_of=as_of, account=account, **params)
+    if name == "quality_report":
+        result.persist()  # a few rows, read twice
     if args.output:
         result.write.parquet(args.output)
     else:
         result.show(1000, truncate=False)
-    return 0
+    return 1 if name == "quality_report" and not result.filter("status = 'FAIL'").isEmpty() else 0
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -10,16 +10,19 @@ from inspect import signature
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.params import in_utc, since
-from ledgerlens.operators.matching import match_rate_events
+from ledgerlens.functions.params import MAX_HOURS, in_utc, since, since_date
+from ledgerlens.operators.matching import keys_in_both, match_rate_accounts, match_rate_events, union_all
 from ledgerlens.operators.question_rules import ACTIVITY_RULES, CUSTOMER_RULES, Rule
 from ledgerlens.operators.textrules import classify_text
-from ledgerlens.plans import activity, customer
+from ledgerlens.plans import activity, customer, quality
 
 CUSTOMERS, PAYMENTS, ALERTS, LOGINS, AML = (
     "customers", "payment_transactions", "fraud_alerts", "customer_events", "aml_alerts",
 )
 
+DIM_CUSTOMER, DIM_ACCOUNT, FACT, RUN_LOG = "dim_customer", "dim_account", "fact_payment_daily", "ingestion_audit"
+BATCH_TABLES = (DIM_CUSTOMER, DIM_ACCOUNT, FACT, RUN_LOG)
+
 
 @dataclass(frozen=True)
 class Report:
@@ -41,6 +44,48 @@ def _match_rates(payments: DataFrame, alerts: DataFrame, events: DataFrame, cust
     return match_rate_events(recent, customers).orderBy("event_source")
 
 
+def _account_match_rates(payments, alerts, events, customers, *, day, days=1) -> DataFrame:
+    sources = {PAYMENTS: payments, ALERTS: alerts, LOGINS: events}
+    recent = {name: since_date(df, day, days) for name, df in sources.items()}
+    return match_rate_accounts(recent, customers).orderBy("event_source")
+
+
+def _shared_accounts(payments, alerts, events, aml) -> DataFrame:
+    pairs = (
+        (alerts, payments, ALERTS, PAYMENTS),
+        (alerts, aml, ALERTS, AML),
+        (alerts, events, ALERTS, LOGINS),
+        (aml, events, AML, LOGINS),
+    )
+    return union_all(keys_in_both(*pair) for pair in pairs)
+
+
+def _freshness(payments, alerts, events, aml) -> DataFrame:
+    return activity.freshness({PAYMENTS: payments, ALERTS: alerts, LOGINS: events, AML: aml})
+
+
+def _duplicates(customers, accounts, fact) -> DataFrame:
+    return quality.idempotency_check(
+        {
+            DIM_CUSTOMER: (customers, ["customer_id"]),
+            DIM_ACCOUNT: (accounts, ["account_id"]),
+            FACT: (fact, ["event_date", "account_id"]),
+        }
+    )
+
+
+def _quality(customers, payments, alerts, events, *, as_of, hours=1, min_customers=quality.MIN_CUSTOMERS) -> DataFrame:
+    """The joins look back a day for each hour of the match rate."""
+    wide = min(hours * 24, MAX_HOURS)
+    analyses = {
+        "customer payments": customer.top_customers(customers, payments, as_of=as_of, hours=wide, limit=10),
+        "customer alerts": customer.high_risk_fraud(customers, alerts, as_of=as_of, hours=wide, limit=10),
+    }
+    sources = {PAYMENTS: payments, ALERTS: alerts, LOGINS: events}
+    recent = {name: since(df, as_of, hours) for name, df in sources.items()}
+    return quality.quality_report(customers, analyses, recent, min_customers)
+
+
 # Keyed by the names of the question rules, then by report name.
 REPORTS: dict[str, Report] = {
     "fraud_count_last_hour": Report(activity.fraud_count_last_hour, (ALERTS,)),
@@ -80,6 +125,21 @@ REPORTS: dict[str, Report] = {
     "key_uniqueness": Report(activity.key_uniqueness, (CUSTOMERS,)),
     "account_format_check": Report(activity.account_format_check, (CUSTOMERS,)),
     "tier_risk_distribution": Report(activity.tier_risk_distribution, (CUSTOMERS,)),
+    "distribution_check": Report(quality.distribution_check, (CUSTOMERS,)),
+    "masking_check": Report(quality.masking_check, (CUSTOMERS,)),
+    "attribute_agreement": Report(quality.attribute_agreement, (PAYMENTS, CUSTOMERS)),
+    "match_rate_accounts": Report(_account_match_rates, (PAYMENTS, ALERTS, LOGINS, CUSTOMERS)),
+    "join_match_rate": Report(_shared_accounts, (PAYMENTS, ALERTS, LOGINS, AML)),
+    "freshness": Report(_freshness, (PAYMENTS, ALERTS, LOGINS, AML)),
+    "quality_report": Report(_quality, (CUSTOMERS, PAYMENTS, ALERTS, LOGINS)),
+    # Reports over batch-loaded tables.
+    "last_batch": Report(quality.last_batch, (RUN_LOG,)),
+    "batch_history": Report(quality.batch_history, (RUN_LOG,)),
+    "idempotency_check": Report(_duplicates, (DIM_CUSTOMER, DIM_ACCOUNT, FACT)),
+    "source_vs_target": Report(quality.source_vs_target, (CUSTOMERS, DIM_CUSTOMER)),
+    "rollup_reconcile": Report(quality.rollup_reconcile, (PAYMENTS, FACT)),
+    "lineage": Report(quality.lineage, (DIM_ACCOUNT,)),
+    "tier_payment_summary": Report(customer.tier_payment_summary, (DIM_CUSTOMER, FACT)),
 }
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import Layout, ddl
@@ -45,12 +45,18 @@ def read_json_files(spark: SparkSession, path: str, max_files: int | None = None
 
 
 def parse_payload(messages: DataFrame, layout: Layout, column: str = "value") -> DataFrame:
-    """Message bytes to typed columns. Absent and ill-typed fields are NULL.
+    """Message bytes to typed columns. Absent, ill-typed and non-finite fields are NULL.
 
     ``inline`` rather than ``d.*``: a later filter on a parsed field would be
     pushed below the projection and parse every message a second time.
     """
-    return messages.select(F.inline(F.array(F.from_json(F.col(column).cast("string"), ddl(layout)))))
+    parsed = messages.select(F.inline(F.array(F.from_json(F.col(column).cast("string"), ddl(layout)))))
+    return parsed.select(*(_finite(c) if kind == "double" else F.col(c) for c, kind in layout.items()))
+
+
+def _finite(column: str) -> Column:
+    """NaN and the infinities are no amounts; one of them would spoil every total."""
+    return F.when(F.abs(column) < F.lit(float("inf")), F.col(column)).alias(column)
 
 
 def drop_malformed(events: DataFrame, key: str = "event_id") -> DataFrame:

@@ -55,6 +55,12 @@ def test_payload_parsing(spark):
     assert drop_malformed(parse_payload(binary, PAYMENT_EVENT)).count() == 2
 
 
+def test_numbers_that_are_none(spark):
+    texts = [json.dumps(payment(str(i), "10:00:00", amount=v)) for i, v in enumerate((float("nan"), "NaN", float("-inf"), "Infinity", -1.5))]
+    parsed = drop_malformed(parse_payload(spark.createDataFrame([(t,) for t in texts], "value string"), PAYMENT_EVENT))
+    assert {r.event_id: r.amount for r in parsed.collect()} == {"0": None, "1": None, "2": None, "3": None, "4": -1.5}
+
+
 def test_payments_are_appended_once_across_restarts(spark, lake):
     inbox, cfg = lake
     drop(inbox, "a.json", [payment("1", "10:00:00"), "not json", payment("2", "23:59:59.999999", city="Phuket")])
