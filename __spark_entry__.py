@@ -102,7 +102,7 @@ def _read_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_acctbal") * 10).alias("annual_income"),
         "src_updated_at",
     )
-    return typed_customers(upsert.incremental(raw, "src_updated_at", CUT), "customer360.customers")
+    return typed_customers(upsert.incremental(raw, "src_updated_at", CUT), "crm.customers")
 
 
 def _split(t: DriverTables) -> tuple[DataFrame, DataFrame]:

@@ -328,7 +328,7 @@ ORACLE: dict[str, str] = {
     "read_customers": f"""
         SELECT concat('CUST-DEMO-', lpad(CAST(c_custkey AS STRING), 7, '0')) AS customer_id, c_name AS full_name,
                c_custkey % 10 = 0 AS pep_flag, c_custkey % 3 = 0 AS marketing_consent,
-               CAST(c_acctbal * 10 AS DECIMAL(14,2)) AS annual_income, src_updated_at, 'customer360.customers' AS source_system
+               CAST(c_acctbal * 10 AS DECIMAL(14,2)) AS annual_income, src_updated_at, 'crm.customers' AS source_system
         FROM customer JOIN (SELECT o_custkey, max(o_orderdate) AS src_updated_at FROM orders GROUP BY 1) ON o_custkey = c_custkey
         WHERE src_updated_at > {CUT}""",
     "schema_report": _q(

@@ -86,6 +86,8 @@ def test_since_replaces_the_watermark(spark):
         config(schema, 1, since=datetime(2024, 4, 5), mode="full")
     with pytest.raises(ValueError):
         config(schema, 1, mode="sometimes")
+    with pytest.raises(ValueError):
+        config(schema, 1, provider="delta")
 
 
 def test_dry_run_writes_nothing(spark):

@@ -54,8 +54,8 @@ def test_scores(spark):
 
 def test_refusals(spark):
     refused = [
-        "drop table customers", "DELETE FROM customers", "truncate customer360.customers", "insert into customers values (1)",
-        "grant all on customer360 to public", "update customers set pep_flag = 0", "please update", "who dropped the alerts by type",
+        "drop table customers", "DELETE FROM customers", "truncate crm.customers", "insert into customers values (1)",
+        "grant all on customers to public", "update customers set pep_flag = 0", "please update", "who dropped the alerts by type",
     ]
     for rules in (ACTIVITY_RULES, CUSTOMER_RULES):
         assert {o for o, *_ in classified(spark, refused, rules).values()} == {"REFUSED"}
