@@ -22,6 +22,7 @@ from ledgerlens.sources import events as event_source  # noqa: E402
 from ledgerlens.sources.driver_tables import DriverTables  # noqa: E402
 from ledgerlens.sources.relational import typed_customers  # noqa: E402
 from ledgerlens.sources.tables import check_schema, partition_stats  # noqa: E402
+from ledgerlens.streaming.progress import progress_report  # noqa: E402
 from ledgerlens.streaming.routing import route  # noqa: E402
 
 # The events end on 2024-01-30, so this look-back covers all of them.
@@ -89,6 +90,21 @@ def _routed(table: str) -> Query:
     return query
 
 
+def _progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as triggers of one stream per user; sign-ups end their stream."""
+    triggers = DriverTables(spark, sf_dir).events.select(
+        F.concat(F.lit("q"), F.col("user_id")).alias("query_id"),
+        F.concat(F.lit("stream "), F.col("user_id")).alias("query_name"),
+        F.col("event_id").alias("batch_id"),
+        F.col("ts").alias("trigger_at"),
+        F.when(F.col("k") >= 40, F.col("k").cast("bigint")).otherwise(F.lit(0)).alias("rows_in"),
+        F.col("value").alias("rows_per_second"),
+        F.col("k").cast("bigint").alias("trigger_ms"),
+        F.when((F.col("event_type") == "signup") & (F.col("k") > 97), "FAILED").otherwise("RUNNING").alias("status"),
+    )
+    return progress_report(triggers, 3)
+
+
 def _read_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master as a relational source would return it: numeric flags, floating-point money, change times."""
     t = DriverTables(spark, sf_dir)
@@ -124,6 +140,17 @@ def _upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.upsert(newer, older, KEY, ORDER)
 
 
+def _upsert_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A match refreshes the amount alone, whatever its age."""
+    target, staged = _split(DriverTables(spark, sf_dir))
+    return upsert.upsert(target, staged, KEY, update_columns=["amount"])
+
+
+def _gappy(t: DriverTables) -> DataFrame:
+    """The change log, without a key for pending orders."""
+    return t.changelog.withColumn("entity_key", F.when(F.col("status") != "P", F.col("entity_key")))
+
+
 def _upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, staged = _split(DriverTables(spark, sf_dir))
     return upsert.classify_changes(target, staged, KEY, ORDER)
@@ -250,7 +277,10 @@ def queries() -> dict[str, Query]:
         "stage_dedupe": _over(lambda t: upsert.stage(t.changelog, KEY, ORDER, tie_break=TIE)),
         "upsert": _upsert,
         "upsert_replay": _upsert_replay,
+        "upsert_refresh": _upsert_refresh,
         "upsert_counts": _upsert_counts,
+        "quarantine": _over(lambda t: upsert.quarantine(_gappy(t), KEY)),
+        "stage_without_order": _over(lambda t: upsert.stage(_gappy(t), KEY, None, tie_break=["version_id"])),
         "incremental_filter": _over(lambda t: upsert.incremental(t.changelog, "changed_at", CUT)),
         "rollup_lookback": _over(
             lambda t: _daily(activity.payments_daily(upsert.lookback(t.payments_bulk, datetime(1999, 1, 1), 1)))
@@ -261,6 +291,7 @@ def queries() -> dict[str, Query]:
         ),
         # streaming transformations on batch input
         "payment_windows": _over(lambda t: _daily(activity.payment_windows(t.payments))),
+        "progress_report": _progress_report,
         "route_fraud": _routed("fraud_alerts"),
         "route_aml": _routed("aml_alerts"),
         "route_customer": _routed("customer_events"),

@@ -352,6 +352,21 @@ ORACLE: dict[str, str] = {
     ),
     "upsert": _q("newest_before newest_after", _upserted("newest_before", "newest_after")),
     "upsert_replay": _q("newest_before newest_after", _upserted("newest_after", "newest_before")),
+    "upsert_refresh": _q(
+        "newest_before newest_after",
+        """SELECT coalesce(o.entity_key, n.entity_key) AS entity_key, coalesce(o.version_id, n.version_id) AS version_id,
+                  coalesce(o.changed_at, n.changed_at) AS changed_at, coalesce(o.status, n.status) AS status,
+                  coalesce(n.amount, o.amount) AS amount
+           FROM newest_before o FULL OUTER JOIN newest_after n ON n.entity_key = o.entity_key""",
+    ),
+    "quarantine": _q(
+        "changelog", "SELECT CAST(NULL AS BIGINT) AS entity_key, * EXCLUDE (entity_key) FROM changelog WHERE status = 'P'"
+    ),
+    "stage_without_order": _q(
+        "changelog",
+        """SELECT c.* FROM changelog c JOIN (SELECT entity_key, max(version_id) AS top FROM changelog WHERE status <> 'P' GROUP BY 1) m
+           ON c.entity_key = m.entity_key AND c.version_id = m.top""",
+    ),
     "upsert_counts": _q(
         "newest_before newest_after",
         """SELECT count(*) FILTER (WHERE o.entity_key IS NULL) AS rows_inserted, count(*) FILTER (WHERE n.changed_at >= o.changed_at) AS rows_updated,
@@ -378,6 +393,17 @@ ORACLE: dict[str, str] = {
                    CAST(time_bucket(INTERVAL 5 MINUTE, "timestamp") AS DATE) AS event_date
             FROM payments GROUP BY ALL""",
     ),
+    "progress_report": _q(
+        "ev",
+        """SELECT concat('q', user_id) AS query_id, concat('stream ', user_id) AS query_name, count(*) AS triggers,
+                  CAST(sum(CASE WHEN k >= 40 THEN k ELSE 0 END) AS BIGINT) AS rows_in, max(value) AS peak_rows_per_second,
+                  CAST(max(k) AS BIGINT) AS slowest_trigger_ms, max(ts) AS last_trigger_at,
+                  CASE WHEN bool_or(event_type = 'signup' AND k > 97) THEN 'FAILED' ELSE 'RUNNING' END AS status,
+                  NOT bool_or(event_type = 'signup' AND k > 97) AND count(*) >= 3
+                      AND sum(CASE WHEN newness <= 3 AND k >= 40 THEN k ELSE 0 END) = 0 AS starved
+           FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS newness FROM ev)
+           GROUP BY user_id""",
+    ),
     "route_fraud": _q(
         "fraud_alerts",
         """SELECT CAST(event_id AS STRING) AS event_id, event_type, "timestamp", account_id, fraud_type, ml_score, action, case_id,
