@@ -1,4 +1,4 @@
-"""Jobs for ``spark-submit``: streams, compaction, batch ingestion, reports and questions."""
+"""Jobs for ``spark-submit``: streams, compaction, batch ingestion, expiry, reports and questions."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.functions.params import in_utc
 from ledgerlens.operators.question_rules import ACTIVITY_RULES, CUSTOMER_RULES
+from ledgerlens.operators.upsert import expire_versions
 from ledgerlens.plans import catalogue, ingestion
 from ledgerlens.schemas import EVENT_LAYOUTS
 from ledgerlens.session import build_session
@@ -64,6 +65,10 @@ def parser() -> argparse.ArgumentParser:
     compact.add_argument("--table", choices=list(EVENT_LAYOUTS), required=True)
     compact.add_argument("--day", type=date.fromisoformat, action="append", required=True, help="may be repeated")
 
+    expire = jobs.add_parser("expire", help="delete old versions of a batch-loaded dimension")
+    expire.add_argument("--table", required=True)
+    expire.add_argument("--keep-last", type=int, default=2)
+
     for name, words in (("report", "run a report by name"), ("ask", "answer a question")):
         job = jobs.add_parser(name, help=words)
         job.add_argument("what", help="report name" if name == "report" else "the question")
@@ -157,6 +162,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "compact":
         compact_days(spark, args.root.rstrip("/"), args.table, args.day)
         return 0
+    if args.job == "expire":
+        print(f"{expire_versions(spark, args.table, args.keep_last)} version(s) deleted")
+        return 0
     return run_batch(spark, args) if args.job == "batch" else run_report(spark, args)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.params import in_utc, moment_like
-from ledgerlens.session import scratch_path
+from ledgerlens.session import list_folders, remove_folder, scratch_path
 
 
 def read_watermark(target: DataFrame, column: str | None) -> DataFrame:
@@ -146,6 +146,9 @@ def classify_changes(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     )
 
 
+_VERSION = "/version-"
+
+
 def _location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
     return described.filter("col_name = 'Location'").first()["data_type"]
@@ -170,13 +173,14 @@ def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequ
     catalog entry is then moved to it: readers see the old or the new version,
     and a failed run leaves the old one. For a partitioned table the rows are
     written to the shared folder first, since they derive from partitions that
-    cannot be overwritten while they are read, and then replace just those;
-    rebalancing spreads a large partition over several tasks and files.
+    cannot be overwritten while they are read, and then replace just those; the
+    staged copy goes once that is done. Rebalancing spreads a large partition over
+    several tasks and files.
     """
     arranged = rows.select(*spark.table(table).columns)
     if not partition_by:
-        home = _location(spark, table).partition("/version-")[0]
-        version = f"{home}/version-{uuid.uuid4().hex}"
+        home = _location(spark, table).partition(_VERSION)[0]
+        version = f"{home}{_VERSION}{uuid.uuid4().hex}"
         arranged.write.parquet(version)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     else:
@@ -185,4 +189,24 @@ def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequ
         staged = spark.read.schema(arranged.schema).parquet(staging).hint("rebalance", *partition_by)
         with _dynamic_overwrite(spark):
             staged.write.insertInto(table, overwrite=True)
+        remove_folder(spark, staging)
     spark.catalog.refreshTable(table)
+
+
+def expire_versions(spark: SparkSession, table: str, keep_last: int = 2) -> int:
+    """Delete the oldest versions :func:`publish` left of an unpartitioned table; returns their number.
+
+    The current version always stays, and with it the newest ``keep_last`` in all,
+    for queries that still read an earlier one.
+    """
+    if keep_last < 1:
+        raise ValueError("keep_last must be at least 1")
+    current = _location(spark, table)
+    home, mark, name = current.partition(_VERSION)
+    if not mark:
+        return 0
+    others = [f for f in list_folders(spark, home) if _VERSION in f and not f.endswith(mark + name)]
+    stale = others[keep_last - 1 :]
+    for folder in stale:
+        remove_folder(spark, folder)
+    return len(stale)

@@ -57,3 +57,25 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system a path lies on, and the path as it knows it."""
+    known = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return known.getFileSystem(spark._jsc.hadoopConfiguration()), known
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package has written, on whatever storage it lies."""
+    system, known = _file_system(spark, path)
+    system.delete(known, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Sub-folders, the most recently changed first."""
+    system, known = _file_system(spark, path)
+    if not system.exists(known):
+        return []
+    found = [f for f in system.listStatus(known) if f.isDirectory()]
+    found.sort(key=lambda f: f.getModificationTime(), reverse=True)
+    return [f.getPath().toString() for f in found]

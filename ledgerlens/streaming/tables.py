@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import EVENT_LAYOUTS, EVENT_PARTITIONS, ddl
-from ledgerlens.session import scratch_path
+from ledgerlens.session import remove_folder, scratch_path
 
 BATCH = "stream_batch"
 COMPACTED = "compacted"
@@ -58,8 +58,8 @@ def compact_days(spark: SparkSession, root: str, table: str, days: Iterable[date
     """Merge the small files of closed days into files of the advisory size.
 
     A day must not receive events any more. Its rows are staged in the shared
-    folder and then replace the day's folder; large partitions are split. Should
-    the second step fail, the staged copy has the whole day.
+    folder and then replace the day's folder; large partitions are split. The
+    staged copy goes once that is done, so a failed step leaves the whole day there.
     """
     partitions = [*EVENT_PARTITIONS[table][1:], BATCH]
     for day in days:
@@ -70,3 +70,4 @@ def compact_days(spark: SparkSession, root: str, table: str, days: Iterable[date
         staged = spark.read.schema(merged.schema).parquet(staging)
         home = f"{root}/{table}/event_date={day.isoformat()}"
         staged.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(home)
+        remove_folder(spark, staging)

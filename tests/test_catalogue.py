@@ -102,9 +102,11 @@ def test_command_line_batch(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(cli, "build_session", lambda name: spark)
     (tmp_path / "a.csv").write_text("account_id,customer_tier,city,country\nACC-TH-10000001,GOLD,Bangkok,TH\n")
     assert cli.main(["batch", "--schema", "cli_batch", "--source", "accounts", "--accounts-path", str(tmp_path)]) == 0
+    assert cli.main(["batch", "--schema", "cli_batch", "--source", "accounts", "--accounts-path", str(tmp_path)]) == 0
+    assert cli.main(["expire", "--table", "cli_batch.dim_account", "--keep-last", "1"]) == 0
     assert spark.table("cli_batch.dim_account").count() == 1
     assert cli.main(["batch", "--schema", "cli_batch", "--source", "payments_daily", "--payments-table", "no.such_table"]) == 1
-    assert rows(spark.table("cli_batch.ingestion_audit").select("status").orderBy("status")) == [("FAILED",), ("OK",)]
+    assert rows(spark.table("cli_batch.ingestion_audit").select("status").orderBy("status")) == [("FAILED",), ("OK",), ("OK",)]
 
 
 def test_command_line_values(monkeypatch):

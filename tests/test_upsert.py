@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import upsert as u
+from ledgerlens.session import list_folders, shared_dir
 from ledgerlens.sources.tables import ensure_table
 
 SCHEMA = "k string, v int, t timestamp"
@@ -129,6 +130,28 @@ def test_publish_replaces_an_unpartitioned_table_by_a_new_version(spark):
     assert {tuple(r) for r in spark.table(table).collect()} == {("a", 2), ("b", 3)}
 
 
+def test_old_versions_expire(spark):
+    table = ensure_table(spark, "pub.versions", {"v": "int"})
+    assert u.expire_versions(spark, table) == 0
+    for v in range(4):
+        u.publish(spark, table, spark.createDataFrame([(v,)], "v int"))
+    assert u.expire_versions(spark, table, 2) == 2
+    assert u.expire_versions(spark, table, 2) == 0
+    assert [r.v for r in spark.table(table).collect()] == [3]
+    assert u.expire_versions(spark, table, 1) == 1
+    assert [r.v for r in spark.table(table).collect()] == [3]
+    with pytest.raises(ValueError):
+        u.expire_versions(spark, table, 0)
+
+
+def test_staged_copies_are_removed(spark):
+    before = set(list_folders(spark, shared_dir(spark)))
+    table = ensure_table(spark, "pub.staged", {"d": "date", "v": "int"}, ["d"])
+    u.publish(spark, table, spark.sql("SELECT DATE'2024-01-01' AS d, 1 AS v"), ["d"])
+    assert spark.table(table).count() == 1
+    assert not [f for f in set(list_folders(spark, shared_dir(spark))) - before if "publish-staged" in f]
+
+
 def test_publish_replaces_only_the_partitions_it_has_rows_for(spark):
     table = ensure_table(spark, "pub.parts", {"d": "date", "v": "int"}, ["d"])
     first = spark.sql("SELECT * FROM VALUES (DATE'2024-01-01', 1), (DATE'2024-01-02', 2) AS t(d, v)")
