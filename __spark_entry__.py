@@ -261,7 +261,7 @@ def _over(build: Callable[[DriverTables], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(DriverTables(spark, sf_dir))
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
     recent = {"as_of": AS_OF, "hours": HOURS}
     full = {**recent, "limit": LIMIT}
     by_day = {"day": DAY, "days": ALL_DAYS, "limit": LIMIT}
@@ -411,7 +411,28 @@ def queries() -> dict[str, Query]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators, or nothing where their files are not installed."""
+    try:
+        import corpus_pipeline
+        from ledgerlens.llm import queries as operators
+    except ModuleNotFoundError as missing:
+        if not (missing.name or "").startswith(("corpus_pipeline", "ledgerlens.llm")):
+            raise
+        return {}, {}
+    sql = operators.oracle_sql() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return operators.queries() | {"pipeline": corpus_pipeline.run}, sql
+
+
+def queries() -> dict[str, Query]:
+    return library_queries() | _training_data()[0]
+
+
+def library_oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLE
 
     return dict(ORACLE)
+
+
+def oracle_sql() -> dict[str, str]:
+    return library_oracle_sql() | _training_data()[1]

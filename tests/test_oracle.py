@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from tests.comparison import connect, differences
 
 SF_DIR = os.environ.get("LEDGERLENS_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.library_queries(), entry.library_oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
