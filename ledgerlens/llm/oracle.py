@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ledgerlens.llm.quality import BASE_RULES, RULES, STOP_WORDS
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce({text}, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
 def _holds(rule) -> str:
@@ -26,13 +26,13 @@ WITH docs AS (
 ), repeats AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r
 ), lined AS (
-  SELECT r, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM docs
+  SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM docs
 ), counts AS (
   SELECT doc_id, 1 AS one, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
-    len(list_filter(w, x -> lower(x) IN ({_STOP_WORDS}))) AS n_stop_words,
-    len(list_filter(w, x -> suffix(x, '!!'))) AS n_shouted
+    len(list_filter(w, lambda x: lower(x) IN ({_STOP_WORDS}))) AS n_stop_words,
+    len(list_filter(w, lambda x: suffix(x, '!!'))) AS n_shouted
   FROM docs JOIN lined USING (r) LEFT JOIN repeats USING (r)
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
@@ -52,7 +52,7 @@ WITH sized AS (
 ), weighted AS (
   SELECT *, [3, 1, 2][(place % 3) + 1] AS weight FROM ranked
 ), running AS (
-  SELECT *, row_number() OVER o AS at,
+  SELECT *, row_number() OVER o AS nth,
     coalesce(sum(source_size * 2) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_before,
     sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_from,
     sum(source_size) OVER () * 150 / 100 AS total
@@ -61,7 +61,7 @@ WITH sized AS (
   SELECT *, (total - full_before) / weight_from AS level, (total - full_before) / weight_from * weight >= source_size * 2 AS is_full FROM running
 ), goal AS (
   SELECT source, source_size, CASE WHEN is_full THEN (source_size * 2)::DOUBLE
-    ELSE (SELECT arg_min(level, at) FROM levels WHERE NOT is_full) * weight END AS target FROM levels
+    ELSE (SELECT arg_min(level, nth) FROM levels WHERE NOT is_full) * weight END AS target FROM levels
 ), drawn AS (
   SELECT s.doc_id, s.size, s.source, g.source_size, g.target,
     floor(CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END) AS whole,
@@ -83,8 +83,8 @@ FROM placed LEFT JOIN last ON placed.source IS NOT DISTINCT FROM last.source
 
 TOP_K = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
   FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
@@ -94,4 +94,23 @@ WITH vectors AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLE = {"op3_mixing": MIXING, "op5_quality_rules": QUALITY, "op8_exact_top_k": TOP_K}
+SUBSTRINGS = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(text="text")} AS w FROM documents
+), windows AS (
+  SELECT r, i, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY g) AS n FROM windows) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM twice)
+), placed AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM placed ANTI JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+ORACLE = {"op2_substring_dedup": SUBSTRINGS, "op3_mixing": MIXING, "op5_quality_rules": QUALITY, "op8_exact_top_k": TOP_K}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, packing, quality, sharding, topk
+from ledgerlens.llm import minhash, mixing, packing, quality, sharding, substrings, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", *(F.col(f"mix.{c}") for c in ("size", "source_size", "target", "taken")))
@@ -44,13 +48,19 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_mixing": op3_mixing,
         "op5_quality_rules": op5_quality_rules,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_sharding": op9_sharding,
+        "op10_minhash": op10_minhash,
     }
 
 

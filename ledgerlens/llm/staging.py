@@ -41,20 +41,23 @@ def keyed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
-def distinct_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each different text once, laid out by its key: k1, k2, text, copies, least doc_id.
+def distinct_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_rows: bool = False) -> DataFrame:
+    """Each different text once, laid out by its key: node, k1, k2, text, copies, least_id.
 
-    Copies are combined before the shuffle, so that thousands of them cost one row per task.
+    ``node`` numbers the texts. ``with_rows`` adds ``row``, the other columns of the
+    document with the least id (null last). Copies are combined before the shuffle, so
+    that thousands of them cost one row per task.
     """
     keyed = keyed_texts(docs, doc_id, text)
-    once = keyed.groupBy("k1", "k2").agg(
-        F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id")
-    )
+    picks = [F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id")]
+    if with_rows:
+        digest = F.sha2("text", 256)
+        rest = F.struct(*(docs[c] for c in docs.columns if c != text))
+        keyed = docs.select(
+            docs[doc_id].alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"), docs[text].isNull().alias("absent"), rest.alias("row")
+        ).withColumns({k: F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint") for at, k in ((1, "k1"), (17, "k2"))})
+        picks.append(F.min_by(F.struct("row", "absent"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"))).alias("first"))
+    once = keyed.groupBy("k1", "k2").agg(*picks).withColumn("node", F.monotonically_increasing_id())
+    if with_rows:
+        once = once.withColumn("row", F.col("first.row")).withColumn("absent", F.col("first.absent")).drop("first")
     return staged_buckets(once, ["k1", "k2"], "texts")
-
-
-def drop_staged(spark: SparkSession) -> None:
-    """Forget the laid-out tables of this session; their files are the shared folder's to expire."""
-    for table in spark.catalog.listTables():
-        if table.name.startswith("texts_"):
-            spark.sql(f"DROP TABLE {table.name}")
