@@ -13,8 +13,10 @@ three in a million pairs agree in none of ``BANDS``). Every candidate pair that
 signatures do not rule out (by six standard deviations) is compared by its shingles.
 
 No bucket's members are paired off with each other at first: each meets the bucket's
-first member. Only where the classes found so far leave a bucket divided, members
-outside its largest class meet those of other classes, so no link is lost.
+first member. Where the classes found so far leave a bucket divided, members outside
+its largest class meet a few of that class, some rounds long, which joins nearly all
+of a large group. What is still divided then meets everything in its bucket that is of
+another class, so no link is lost.
 
 Copies of a text are one node with a count. Null, empty and blank texts are alone in
 their classes, repeated rows are copies, ids may be null or repeated, an empty table
@@ -28,15 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
-from ledgerlens.llm.staging import distinct_texts, keyed_texts, staged
+from ledgerlens.llm.staging import distinct_texts, keyed_texts, over_batches, staged
 
 SHINGLE = 5
 #: Similarity from which two texts are near copies, as a fraction.
 SIMILAR = (4, 5)
+#: Rounds in which a divided bucket's outsiders meet so many members of its largest class.
+ROUNDS, LEADS = 3, 4
 ROWS, BANDS = 6, 42
 COORDINATES = ROWS * BANDS
 DARTS = math.ceil(COORDINATES * math.log(COORDINATES)) + 2 * COORDINATES
@@ -169,7 +173,7 @@ def _verified(pairs: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame
         )
         pairs = pairs.join(part, side)
     likely = staged(
-        pairs.mapInArrow(_likely, "a bigint, b bigint, a1 bigint, a2 bigint, b1 bigint, b2 bigint"), "likely-pairs"
+        over_batches(pairs, _likely, "a bigint, b bigint, a1 bigint, a2 bigint, b1 bigint, b2 bigint"), "likely-pairs"
     )
     words = texts.select("k1", "k2", "text")
     second = staged(
@@ -178,7 +182,7 @@ def _verified(pairs: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame
     leads = likely.select("a1", "a2").distinct()
     first = staged(words.toDF("a1", "a2", "text_a").join(leads, ["a1", "a2"], "left_semi"), "lead-texts")
     joined = second.join(first, ["a1", "a2"]).select("a", "b", "text_a", "text_b")
-    return staged(joined.mapInArrow(_similar, "a bigint, b bigint"), "links")
+    return staged(over_batches(joined, _similar, "a bigint, b bigint"), "links")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -213,33 +217,39 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def node_classes(texts: DataFrame) -> DataFrame:
     """node, component of every node that has a near copy."""
     columns = "node bigint, k1 bigint, k2 bigint, total bigint, code binary, bands array<bigint>"
-    signs = staged(texts.select("node", "k1", "k2", "text").mapInArrow(_sign, columns), "signatures")
+    signs = staged(over_batches(texts.select("node", "k1", "k2", "text"), _sign, columns), "signatures")
     banded = signs.select("node", F.explode("bands").alias("band"))
     shared = staged(banded.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n"), "bands")
     members = staged(banded.join(shared, "band"), "band-members")
     first = staged(members.filter("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     links = _verified(first, signs, texts)
-    found = components(links)
-    classed = staged(
-        members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")), "band-classes"
-    )
-    sizes = classed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    divided = staged(
-        sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("classes")).filter("classes > 1").drop("classes"),
-        "divided-bands",
-    )
-    if divided.isEmpty():
-        return found
-    opened = staged(classed.join(divided, "band"), "open-bands")
-    outside = opened.filter("component != largest").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    other = opened.select("band", F.col("node").alias("y"), F.col("component").alias("cy"), "largest")
-    met = outside.join(other, "band").filter("cx != cy AND (cy = largest OR x < y)")
-    second = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    second = staged(second, "pairs")
-    if second.isEmpty():
-        return found
-    more = _verified(second, signs, texts)
-    return found if more.isEmpty() else components(links.unionByName(more))
+    tested, found = first, components(links)
+    for attempt in range(ROUNDS + 1):
+        classed = members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+        classed = staged(classed, "band-classes")
+        sizes = classed.groupBy("band", "component").agg(F.count("*").alias("n"))
+        largest = F.max_by("component", F.struct("n", "component")).alias("largest")
+        divided = sizes.groupBy("band").agg(largest, F.count("*").alias("classes")).filter("classes > 1").drop("classes")
+        opened = staged(classed.join(staged(divided, "divided-bands"), "band"), "open-bands")
+        if opened.isEmpty():
+            break
+        members = opened.select("band", "node")  # a bucket of one class has nothing more to tell
+        outside = opened.filter("component != largest").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
+        if attempt < ROUNDS:
+            turn = Window.partitionBy("band").orderBy(F.xxhash64("node", F.lit(attempt)), "node")
+            inside = opened.filter("component = largest").withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= LEADS)
+            other, apart = staged(inside.select("band", F.col("node").alias("y")), "band-leads"), F.lit(True)
+        else:
+            other = opened.select("band", F.col("node").alias("y"), F.col("component").alias("cy"), "largest")
+            apart = F.expr("cx != cy AND (cy = largest OR x < y)")
+        met = outside.join(other, "band").filter(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        pairs = staged(met.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        more = _verified(pairs, signs, texts)
+        tested = tested.unionByName(pairs)
+        if not more.isEmpty():
+            known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = components(known.unionByName(more))
+    return found
 
 
 def _classes(texts: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.staging import staged
+from ledgerlens.llm.staging import over_batches, staged
 
 MOST = 1024
 END_ID = 0
@@ -73,7 +73,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
             out += [pa.array(ids_of, pa.list_(pa.int32()))] if with_ids else []
             yield pa.RecordBatch.from_arrays(out, names=names + ["ids"] * with_ids)
 
-    return picked.mapInArrow(cut, schema)
+    return over_batches(picked, cut, schema)
 
 
 def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, with_ids: bool = True) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +14,30 @@ from pyspark.sql import functions as F
 from ledgerlens.session import scratch_path
 
 
+# Applications whose workers have this package.
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the workers, wherever the driver has found it; Spark serves the file from the driver."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="ledgerlens-")) / "ledgerlens-package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def over_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The rows as written to the shared folder: lineage ends here, and a lost executor costs nothing."""
     spark = df.sparkSession

@@ -9,7 +9,8 @@ same text or another one. Levels, each over all texts:
    that end too early, to the left.
 3. Spans of all windows that share an anchor (one to two windows long), where the
    grams before survived. A repeated span settles all its windows.
-4. Single windows of the spans that are left, and of one span of each settled kind.
+4. Single windows of the spans that are left, and of one span of each settled kind
+   whose anchor some span that is left has too.
 
 A level gives each different hash of a text once, counts are combined before the
 shuffle, and survivors return to their texts as lists. Copies of a whole text are
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
-from ledgerlens.llm.staging import distinct_texts, keyed_texts, staged
+from ledgerlens.llm.staging import distinct_texts, keyed_texts, over_batches, staged
 
 WINDOW = 35
 
@@ -109,7 +110,7 @@ def _alive(texts: _Slice, survivors: list[tuple[np.ndarray, np.ndarray]]) -> np.
 
 
 def _emit(number: int, window: int):
-    """Each different window of a text at this level: h, c, k1, k2, n (2: known to repeat)."""
+    """Each different window of a text at this level: h, c, g (its anchor), k1, k2, n (2: known to repeat)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,16 +135,18 @@ def _emit(number: int, window: int):
                 _, once, times = np.unique(_with_owner(h, owner), return_index=True, return_counts=True)
                 owner, known = owner[once] + first, known[once]
                 check = W.range_hashes(texts.hashes, begin[once], end[once], seed=1) if number > 2 else np.zeros(len(once), np.uint64)
+                g = texts.grams[texts.at[index[once]]] if number == 3 else np.zeros(len(once), np.uint64)
                 n = np.where(known | (times > 1) | (copies[owner] > 1), 2, 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(h[once].view(np.int64)),
                         pa.array((check >> np.uint64(33)).astype(np.int32)),
+                        pa.array(g.view(np.int64)),
                         pa.array(k1[owner]),
                         pa.array(k2[owner]),
                         pa.array(n.astype(np.int32)),
                     ],
-                    names=["h", "c", "k1", "k2", "n"],
+                    names=["h", "c", "g", "k1", "k2", "n"],
                 )
 
     return run
@@ -203,13 +206,16 @@ def _survivors(found: DataFrame, number: int) -> DataFrame:
 
     ``lead``: those of them for which this text speaks for all that have them.
     """
-    rows = staged(found, f"windows-{number}")
-    totals = rows.groupBy("h", "c").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2")).alias("first"))
+    rows = staged(found if number == 3 else found.drop("g"), f"windows-{number}")
+    totals = rows.groupBy("h", "c").agg(F.sum("n").alias("n"), *([F.min(F.struct("k1", "k2")).alias("first")] if number == 3 else []))
     again = staged(totals.filter("n > 1").drop("n"), f"repeated-{number}")
-    joined = rows.join(again, ["h", "c"]).withColumn("leads", F.struct("k1", "k2") == F.col("first"))
-    lists = [F.collect_list("h").alias(f"s{number}")]
-    lists += [F.collect_list(F.when(F.col("leads"), F.col("h"))).alias("lead")] if number == 3 else []
-    return joined.groupBy("k1", "k2").agg(*lists)
+    if number != 3:
+        return rows.join(again, ["h", "c"]).groupBy("k1", "k2").agg(F.collect_list("h").alias(f"s{number}"))
+    settled = rows.join(again, ["h", "c"], "left").select("h", "g", "k1", "k2", "first")
+    settled = staged(settled.withColumn("leads", F.struct("k1", "k2") == F.col("first")), "spans")
+    left = staged(settled.filter("first IS NULL").select("g").distinct(), "open-anchors")
+    leads = settled.filter("leads").join(left, "g", "left_semi").groupBy("k1", "k2").agg(F.collect_list("h").alias("lead"))
+    return settled.filter("first IS NOT NULL").groupBy("k1", "k2").agg(F.collect_list("h").alias("s3")).join(leads, ["k1", "k2"], "left")
 
 
 def removals(texts: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
@@ -220,10 +226,10 @@ def removals(texts: DataFrame, window: int = WINDOW, with_text: bool = True) ->
     for number in range(1, 5):
         candidates = state if number == 1 else state.filter(f"s{number - 1 if number < 4 else 2} IS NOT NULL")
         columns = ["k1", "k2", "text", "copies", *(f"s{i}" for i in range(1, number)), *["lead"] * (number == 4)]
-        found = candidates.select(*columns).mapInArrow(_emit(number, window), "h bigint, c int, k1 bigint, k2 bigint, n int")
+        found = over_batches(candidates.select(*columns), _emit(number, window), "h bigint, c int, g bigint, k1 bigint, k2 bigint, n int")
         state = state.join(staged(_survivors(found, number), f"survivors-{number}"), ["k1", "k2"], "left")
     schema = "k1 bigint, k2 bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, spans array<array<bigint>>"
-    done = state.select("k1", "k2", "text", "copies", "s1", "s2", "s3", "s4").mapInArrow(_finish(window), schema)
+    done = over_batches(state.select("k1", "k2", "text", "copies", "s1", "s2", "s3", "s4"), _finish(window), schema)
     return done if with_text else done.drop("kept_text", "spans")
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.staging import staged
+from ledgerlens.llm.staging import over_batches, staged
 
 TOP = 20
 BLOCK = 2048
@@ -117,6 +117,6 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
     work = dealt.withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_blocks - 1).cast("bigint")))).join(
         asked.withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint")))), ["dim", "q", "c"]
     )
-    scored = work.select("queries", "candidates").mapInArrow(_search(top, step), "query_id bigint, vec_id bigint, score bigint")
+    scored = over_batches(work.select("queries", "candidates"), _search(top, step), "query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
