@@ -96,8 +96,9 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     enough = f"size(_w) >= {WINDOW}"
     places = f"sequence(0, size(_w) - {WINDOW})"
     stop_words = ", ".join(f"'{w}'" for w in STOP_WORDS)
-    source = F.coalesce(docs[text], F.lit(""))
-    wide = docs.withColumn("_t", source).withColumn("_w", words_of(source))
+    source = F.coalesce(docs[text].cast("string"), F.lit(""))
+    row = F.struct(*(docs[c] for c in docs.columns if c != "measures"))
+    wide = docs.select(row.alias("_row"), source.alias("_t"), words_of(source).alias("_w"))
     wide = wide.withColumn("_mask", F.expr("shiftleft(-1L, length(bin(size(_w))))"))
     wide = wide.withColumn(
         "_keys", F.expr(f"IF({enough}, sort_array(transform({places}, i -> (xxhash64({window}) & _mask) | i)), array())")
@@ -127,8 +128,9 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_stop_words": F.expr(f"size(filter(_w, w -> lower(w) IN ({stop_words})))").cast("bigint"),
         "n_shouted": F.expr("size(filter(_w, w -> endswith(w, '!!')))").cast("bigint"),
     }
-    measured = wide.withColumn("measures", F.struct(*(c.alias(n) for n, c in counts.items())))
-    return measured.select(*(docs[c] for c in docs.columns), "measures")
+    # A generator, so that a filter on a measure stays above it and measures nothing twice.
+    measured = F.explode(F.array(F.struct(*(c.alias(n) for n, c in counts.items()))))
+    return wide.select("_row", measured.alias("measures")).select("_row.*", "measures")
 
 
 def holds(rule: Rule) -> Column:
