@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import minhash, mixing, packing, quality, sharding, substrings, topk
+from ledgerlens.llm import minhash, mixing, packing, quality, sharding, substrings, suffixes, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", *(F.col(f"mix.{c}") for c in ("size", "source_size", "target", "taken")))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality.judged(_table(spark, sf_dir, "documents"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -57,6 +61,7 @@ def queries() -> dict[str, Query]:
         "op1_packing": op1_packing,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_mixing": op3_mixing,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_sharding": op9_sharding,

@@ -39,16 +39,12 @@ from ledgerlens.llm.staging import distinct_texts, keyed_texts, over_batches, st
 WINDOW = 35
 
 
-class _Slice:
-    """Windows and anchors of some texts."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int):
-        self.words = W.Words(data, offsets)
-        self.hashes = self.words.hashes()
-        self.gram = max(1, -(-window // 4))
-        self.window = window
-        self.owner = self.words.owners()
-        self.starts = W.window_starts(self.words.bounds, window)
+class Runs:
+    """Runs of windows that share an anchor, over the items (by hash) of some texts."""
+
+    def __init__(self, hashes: np.ndarray, bounds: np.ndarray, window: int, gram: int):
+        self.hashes, self.window, self.gram = hashes, window, gram
+        self.starts = W.window_starts(bounds, window)
         n = len(self.hashes)
         if len(self.starts):
             at = np.arange(n - self.gram + 1)
@@ -60,9 +56,10 @@ class _Slice:
         change = np.ones(len(self.starts), dtype=bool)
         change[1:] = (self.anchor[1:] != self.anchor[:-1]) | (np.diff(self.starts) != 1)
         first = np.flatnonzero(change)
-        self.first, self.last = self.starts[first], self.starts[np.append(first[1:], len(self.starts)) - 1] if len(first) else self.starts
+        self.first = self.starts[first]
+        self.last = self.starts[np.append(first[1:], len(self.starts)) - 1] if len(first) else self.first
         self.at = self.anchor[first]
-        self.run_owner = self.owner[self.at] if len(first) else np.empty(0, np.int64)
+        self.run_owner = np.searchsorted(bounds, self.at, side="right") - 1
 
     def level(self, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the run, start and end of each of its windows at this level."""
@@ -86,6 +83,11 @@ class _Slice:
         return index, begin, begin + self.window
 
 
+def _runs(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[W.Words, Runs]:
+    words = W.Words(data, offsets)
+    return words, Runs(words.hashes(), words.bounds, window, max(1, -(-window // 4)))
+
+
 def _with_owner(hashes: np.ndarray, owners: np.ndarray) -> np.ndarray:
     return W.mix(hashes + owners.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -97,7 +99,7 @@ def _listed(column: pa.Array, first: int, last: int) -> tuple[np.ndarray, np.nda
     return part.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), np.repeat(np.arange(last - first), lengths)
 
 
-def _alive(texts: _Slice, survivors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def _alive(texts: Runs, survivors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Runs that passed the levels of these survivors."""
     alive = np.ones(len(texts.at), dtype=bool)
     for number, (values, owners) in enumerate(survivors, 1):
@@ -118,7 +120,7 @@ def _emit(number: int, window: int):
             copies = batch.column("copies").to_numpy(zero_copy_only=False)
             k1, k2 = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("k1", "k2"))
             for first, last in W.slices(offsets):
-                texts = _Slice(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], window)
+                _, texts = _runs(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], window)
                 lists = [_listed(batch.column(f"s{i}"), first, last) for i in range(1, min(number, 3))]
                 alive = _alive(texts, lists)
                 known = np.zeros(len(alive), dtype=bool)
@@ -161,23 +163,23 @@ def _finish(window: int):
             copies = batch.column("copies").to_numpy(zero_copy_only=False)
             for first, last in W.slices(offsets):
                 part = data[offsets[first] : offsets[last]]
-                texts = _Slice(part, offsets[first : last + 1] - offsets[first], window)
+                words, texts = _runs(part, offsets[first : last + 1] - offsets[first], window)
                 lists = [_listed(batch.column(f"s{i}"), first, last) for i in range(1, 5)]
-                out = np.zeros(len(texts.words), dtype=bool)
+                out = np.zeros(len(words), dtype=bool)
                 for number in (3, 4):
                     index, begin, end = texts.level(number)
                     known = np.isin(
                         _with_owner(W.range_hashes(texts.hashes, begin, end), texts.run_owner[index]), _with_owner(*lists[number - 1])
                     )
                     out |= W.covered(begin[known], end[known], len(out))
-                size = np.diff(texts.words.bounds)
+                size = np.diff(words.bounds)
                 whole = (copies[first:last] > 1) & (size >= window)
                 out |= np.repeat(whole, size)
                 raw = part.tobytes()
                 rows = []
-                starts, ends = texts.words.starts.tolist(), texts.words.ends.tolist()
+                starts, ends = words.starts.tolist(), words.ends.tolist()
                 for i in range(last - first):
-                    a, b = int(texts.words.bounds[i]), int(texts.words.bounds[i + 1])
+                    a, b = int(words.bounds[i]), int(words.bounds[i + 1])
                     gone = out[a:b]
                     removed = int(gone.sum())
                     stay = np.flatnonzero(~gone) + a

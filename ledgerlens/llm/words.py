@@ -23,7 +23,8 @@ SLICE_BYTES = 1 << 21
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[SEPARATORS] = False
 
-_BYTE_VALUES = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
+#: A 64-bit value for each byte.
+BYTE_VALUES = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 
 
@@ -89,9 +90,9 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
 class Words:
     """The words of some texts, numbered through."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = IS_WORD):
         """``data`` holds the texts one after the other, ``offsets`` where each begins, and the end."""
-        inside = IS_WORD[data]
+        inside = is_word[data]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
@@ -107,7 +108,7 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self, values: np.ndarray = _BYTE_VALUES) -> np.ndarray:
+    def hashes(self, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
         return range_hashes(values[self.data], self.starts, self.ends)
 
     def owners(self) -> np.ndarray:
