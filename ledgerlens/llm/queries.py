@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import minhash, mixing, packing, quality, sharding, substrings, suffixes, topk
+from ledgerlens.llm import licenses, minhash, mixing, packing, quality, sharding, substrings, suffixes, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", *(F.col(f"measures.{c}") for c in counts), "base_failed", "kept")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(_table(spark, sf_dir, "documents")).drop("matches")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").withColumn("embedding", topk.quantised(F.col("embedding")))
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
@@ -63,6 +71,8 @@ def queries() -> dict[str, Query]:
         "op3_mixing": op3_mixing,
         "op4_suffix_dedup": op4_suffix_dedup,
         "op5_quality_rules": op5_quality_rules,
+        "op6_license_scan": op6_license_scan,
+        "op7_toxicity": op7_toxicity,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_sharding": op9_sharding,
         "op10_minhash": op10_minhash,
