@@ -13,8 +13,10 @@ all without sorting every suffix of the corpus:
    common prefix. Longest common prefixes of neighbours then tell for every distance
    from the anchor which windows are equal, byte for byte.
 4. Anchors with more than ``CROWD`` such runs, as at the edge of a passage that very many
-   texts share, are not gathered: their windows are counted by 96-bit hashes, combined
-   before the shuffle.
+   texts share, are not gathered: 96-bit hashes are counted, combined before the shuffle.
+   First those of ``BLOCK`` windows together: if all they cover repeats, so do they; if
+   what they have in common does not, none of them does. Then those of the single
+   windows of the other blocks.
 
 Copies of a whole text are counted, not compared. Null and empty texts have no bytes.
 Null or repeated ids are legal, equal rows give equal results, an empty table gives an
@@ -39,6 +41,7 @@ WINDOW = 200
 GRAM = 32
 SHALLOW = 32
 CROWD = 1024
+BLOCK = 13
 
 
 # -- deep-shallow sorting ------------------------------------------------------------
@@ -303,32 +306,89 @@ def _sorted_groups(window: int):
     return run
 
 
-def _windows_of(window: int):
-    """h, c, node, begin, n of every window of crowded contexts."""
+def _blocks(batch: pa.RecordBatch, window: int):
+    """Bytes of all contexts, and for each block its context, first and last window, and the part that all windows
+    of a whole block share (places in the bytes)."""
+    cut = batch.column("bytes").to_pylist()
+    data = np.frombuffer(b"".join(cut), np.uint8)
+    bounds = np.cumsum([0, *map(len, cut)])
+    starts = W.window_starts(bounds, window)
+    owner = np.searchsorted(bounds, starts, side="right") - 1
+    # Blocks are cut by distance from the anchor, so that they compare between contexts.
+    distance = bounds[owner] + batch.column("anchor").to_numpy(zero_copy_only=False)[owner] - starts
+    change = np.ones(len(starts), dtype=bool)
+    change[1:] = (owner[1:] != owner[:-1]) | (distance[1:] // BLOCK != distance[:-1] // BLOCK)
+    first = np.flatnonzero(change)
+    last = np.append(first[1:], len(starts)) - 1
+    near = starts[first] + distance[first] - distance[first] // BLOCK * BLOCK  # start of the block's nearest window
+    return data, bounds, owner[first], starts[first], starts[last], (near, near - BLOCK + 1 + window)
+
+
+def _hashed(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[pa.Array]:
+    values = W.BYTE_VALUES[data]
+    h, c = (W.range_hashes(values, begin, end, seed=k) for k in (0, 1))
+    return [pa.array(h.view(np.int64)), pa.array((c >> np.uint64(33)).astype(np.int32))]
+
+
+def _block_rows(window: int):
+    """For each block of crowded contexts: hash of all it covers (kind 0) and of what its windows share (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cut = batch.column("bytes").to_pylist()
-            data = np.frombuffer(b"".join(cut), np.uint8)
-            bounds = np.cumsum([0, *map(len, cut)])
-            starts = W.window_starts(bounds, window)
-            owner = np.searchsorted(bounds, starts, side="right") - 1
-            h, c = (W.range_hashes(W.BYTE_VALUES[data], starts, starts + window, seed=k) for k in (0, 1))
+            data, bounds, owner, first, last, shared = _blocks(batch, window)
             node, place, known = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("node", "place", "known"))
+            for kind, begin, end in ((0, first, last + window), (1, *shared)):
+                columns = [pa.array(node[owner]), pa.array(place[owner] + first - bounds[owner]), pa.array(np.full(len(owner), kind, np.int32))]
+                yield pa.RecordBatch.from_arrays(
+                    [*_hashed(data, begin, end), *columns, pa.array((last - first).astype(np.int32)), pa.array(known[owner].astype(np.int32) + 1)],
+                    names=["h", "c", "node", "begin", "kind", "more", "n"],
+                )
+
+    return run
+
+
+def _window_rows(window: int):
+    """h, c, node, begin, n of every window of the blocks that are listed as open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, bounds, owner, first, last, _ = _blocks(batch, window)
+            node, place, known = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("node", "place", "known"))
+            begin = place[owner] + first - bounds[owner]
+            listed = [set(x or ()) for x in batch.column("open").to_pylist()]
+            pick = np.array([b in listed[o] for b, o in zip(begin.tolist(), owner.tolist(), strict=True)], dtype=bool)
+            owner, first, last = owner[pick], first[pick], last[pick]
+            size = last - first + 1
+            starts = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+            owner = np.repeat(owner, size)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(h.view(np.int64)),
-                    pa.array((c >> np.uint64(33)).astype(np.int32)),
-                    pa.array(node[owner]),
-                    pa.array(place[owner] + starts - bounds[owner]),
-                    pa.array(known[owner].astype(np.int32) + 1),
-                ],
+                [*_hashed(data, starts, starts + window), pa.array(node[owner]), pa.array(place[owner] + starts - bounds[owner]), pa.array(known[owner].astype(np.int32) + 1)],
                 names=["h", "c", "node", "begin", "n"],
             )
 
     return run
 
 
+def _crowded(contexts: DataFrame, window: int) -> DataFrame:
+    """Repeated byte ranges of the contexts of crowded anchors."""
+    columns = "h bigint, c int, node bigint, begin bigint, kind int, more int, n int"
+    blocks = staged(over_batches(contexts, _block_rows(window), columns), "crowd-blocks")
+    me = F.struct("node", "begin")
+    twice = blocks.groupBy("h", "c", "kind").agg(F.sum("n").alias("n"), F.min(me).alias("first")).filter("n > 1").drop("n")
+    kinds = blocks.join(staged(twice, "crowd-repeats"), ["h", "c", "kind"]).withColumn("leads", (F.col("kind") == 0) & (F.col("first") == me))
+    judged = staged(kinds.groupBy("node", "begin", "more").agg(F.min("kind").alias("kind"), F.max("leads").alias("leads")), "crowd-verdicts")
+    settled = judged.filter("kind = 0").select("node", "begin", (F.col("begin") + F.col("more") + window).alias("end"))
+    # One settled block of each kind speaks again, as a witness for blocks that are open.
+    opened = judged.filter("kind = 1 OR leads").groupBy("node").agg(F.collect_list("begin").alias("open"))
+    joined = contexts.join(staged(opened, "crowd-open"), "node")
+    if judged.filter("kind = 1").isEmpty():
+        return settled
+    windows = staged(over_batches(joined, _window_rows(window), "h bigint, c int, node bigint, begin bigint, n int"), "crowd-windows")
+    often = windows.groupBy("h", "c").agg(F.sum("n").alias("n")).filter("n > 1").select("h", "c")
+    single = windows.join(staged(often, "crowd-repeats"), ["h", "c"]).select("node", "begin", (F.col("begin") + window).alias("end"))
+    return settled.unionByName(single)
+
+
 def _finish(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,11 +448,7 @@ def removals(texts: DataFrame, window: int = WINDOW, with_bytes: bool = True) ->
     crowds = staged(contexts.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("g"), "crowds")
     few = contexts.join(crowds, "g", "left_anti").repartition("g").sortWithinPartitions("g")
     found = over_batches(few, _sorted_groups(window), _RANGES)
-    windows = staged(
-        over_batches(contexts.join(crowds, "g", "left_semi"), _windows_of(window), "h bigint, c int, node bigint, begin bigint, n int"), "crowd-windows"
-    )
-    often = staged(windows.groupBy("h", "c").agg(F.sum("n").alias("n")).filter("n > 1").select("h", "c"), "crowd-repeats")
-    crowded = windows.join(often, ["h", "c"]).select("node", "begin", (F.col("begin") + window).alias("end"))
+    crowded = _crowded(contexts.join(crowds, "g", "left_semi"), window)
     whole = judged.filter("known").select("node", F.col("place").alias("begin"), (F.col("place") + F.col("size")).alias("end"))
     ranges = found.unionByName(crowded).unionByName(whole).groupBy("node").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
     state = texts.select("k1", "k2", "text", "copies").join(by_key(ranges, "ranges"), ["k1", "k2"], "left")
