@@ -265,6 +265,7 @@ def library_queries() -> dict[str, Query]:
     recent = {"as_of": AS_OF, "hours": HOURS}
     full = {**recent, "limit": LIMIT}
     by_day = {"day": DAY, "days": ALL_DAYS, "limit": LIMIT}
+    every = 2**31 - 1  # the whole ranking
     return {
         # sources
         "parse_json_props": _parse_json_props,
@@ -297,18 +298,18 @@ def library_queries() -> dict[str, Query]:
         "route_customer": _routed("customer_events"),
         # single-table analyses
         "fraud_count_last_hour": _over(lambda t: activity.fraud_count_last_hour(t.fraud_alerts, as_of=AS_OF)),
-        "fraud_by_type": _over(lambda t: activity.fraud_by_type(t.fraud_alerts, **full)),
-        "fraud_by_action": _over(lambda t: activity.fraud_by_action(t.fraud_alerts, **full)),
-        "action_outcomes": _over(lambda t: activity.action_outcomes(t.fraud_alerts, **full)),
-        "fraud_type_share": _over(lambda t: activity.fraud_type_share(t.fraud_alerts, **full)),
+        "fraud_by_type": _over(lambda t: activity.fraud_by_type(t.fraud_alerts, **recent)),
+        "fraud_by_action": _over(lambda t: activity.fraud_by_action(t.fraud_alerts, **recent)),
+        "action_outcomes": _over(lambda t: activity.action_outcomes(t.fraud_alerts, **recent)),
+        "fraud_type_share": _over(lambda t: activity.fraud_type_share(t.fraud_alerts, **recent)),
         "top_accounts": _over(lambda t: activity.top_accounts(t.fraud_alerts, **recent)),
         "latest_high_risk": _over(lambda t: activity.latest_high_risk(t.fraud_alerts, **recent)),
-        "avg_score_by_type": _over(lambda t: _rounded(activity.avg_score_by_type(t.fraud_alerts, **full), avg_ml_score=6)),
-        "fraud_trend_by_hour": _over(lambda t: _rounded(activity.fraud_trend_by_hour(t.fraud_alerts, **full), avg_ml_score=6)),
+        "avg_score_by_type": _over(lambda t: _rounded(activity.avg_score_by_type(t.fraud_alerts, **recent), avg_ml_score=6)),
+        "fraud_trend_by_hour": _over(lambda t: _rounded(activity.fraud_trend_by_hour(t.fraud_alerts, **recent), avg_ml_score=6)),
         "recent_alerts": _over(lambda t: activity.recent_alerts(t.fraud_alerts)),
-        "aml_by_risk_band": _over(lambda t: _rounded(activity.aml_by_risk_band(t.aml_alerts, **full), avg_amount_7d=4)),
-        "login_outcomes": _over(lambda t: activity.login_outcomes(t.customer_events, **full)),
-        "new_device_logins": _over(lambda t: activity.new_device_logins(t.customer_events, **full)),
+        "aml_by_risk_band": _over(lambda t: _rounded(activity.aml_by_risk_band(t.aml_alerts, **recent), avg_amount_7d=4)),
+        "login_outcomes": _over(lambda t: activity.login_outcomes(t.customer_events, **recent)),
+        "new_device_logins": _over(lambda t: activity.new_device_logins(t.customer_events, **recent)),
         "approval_rate": _over(lambda t: activity.approval_rate(t.payments, as_of=AS_OF, minutes=HOURS * 60)),
         "top_merchant_categories": _over(lambda t: activity.top_merchant_categories(t.payments, day=DAY)),
         "fraud_by_type_action": _over(lambda t: activity.fraud_by_type_action(t.fraud_alerts, **recent)),
@@ -326,18 +327,22 @@ def library_queries() -> dict[str, Query]:
         "top_customers_bulk": _over(
             lambda t: customer.top_customers(t.customers, t.payments_bulk, as_of=datetime(1999, 1, 1), hours=8760, limit=LIMIT)
         ),
+        "top_customers_all": _over(lambda t: customer.top_customers(t.customers, t.payments, **recent, limit=every)),
+        "customer_payment_360_all": _over(
+            lambda t: customer.customer_payment_360(t.customers, t.payments, day=DAY, days=ALL_DAYS, limit=every)
+        ),
         "customer_payment_360": _over(lambda t: customer.customer_payment_360(t.customers, t.payments, **by_day)),
         "join_sample": _over(lambda t: customer.join_sample(t.customers, t.payments, day=DAY)),
         "high_risk_fraud": _over(lambda t: customer.high_risk_fraud(t.customers, t.fraud_alerts, **full)),
         "customer_fraud_360": _over(lambda t: customer.customer_fraud_360(t.customers, t.fraud_alerts, **full)),
-        "platinum_fraud": _over(lambda t: customer.platinum_fraud(t.customers, t.fraud_alerts, **full)),
+        "platinum_fraud": _over(lambda t: customer.platinum_fraud(t.customers, t.fraud_alerts, **recent)),
         "pep_high_fraud": _over(lambda t: customer.pep_high_fraud(t.customers, t.fraud_alerts, **full)),
-        "channel_comparison": _over(lambda t: customer.channel_comparison(t.customers, t.payments, **full)),
-        "new_device_customers": _over(lambda t: customer.new_device_customers(t.customers, t.customer_events, **full)),
-        "fraud_by_city": _over(lambda t: customer.fraud_by_city(t.customers, t.fraud_alerts, **full)),
+        "channel_comparison": _over(lambda t: customer.channel_comparison(t.customers, t.payments, **recent)),
+        "new_device_customers": _over(lambda t: customer.new_device_customers(t.customers, t.customer_events, **recent)),
+        "fraud_by_city": _over(lambda t: customer.fraud_by_city(t.customers, t.fraud_alerts, **recent)),
         "risk_exposure": _over(lambda t: customer.risk_exposure(t.customers, t.payments, t.fraud_alerts, **full)),
         "risk_exposure_360": _over(lambda t: customer.risk_exposure_360(t.customers, t.payments, t.fraud_alerts, **by_day)),
-        "channel_profile": _over(lambda t: customer.channel_profile(t.customers, t.payments, t.customer_events, **by_day)),
+        "channel_profile": _over(lambda t: customer.channel_profile(t.customers, t.payments, t.customer_events, day=DAY, days=ALL_DAYS)),
         "customer_profile": _over(
             lambda t: customer.customer_profile(
                 t.customers, t.payments, t.fraud_alerts, t.customer_events, t.aml_alerts,
@@ -369,7 +374,7 @@ def library_queries() -> dict[str, Query]:
         ),
         "rollup_reconcile": _over(lambda t: quality.rollup_reconcile(t.payments, _stale_fact(t), day=DAY, days=ALL_DAYS)),
         "batch_history": _over(lambda t: quality.batch_history(t.run_log)),
-        "lineage": _over(lambda t: quality.lineage(_lineage_source(t), LIMIT)),
+        "lineage": _over(lambda t: quality.lineage(_lineage_source(t))),
         "match_rate_gate": _over(lambda t: quality.match_rate_gate(t.event_sources, t.customers)),
         "quality_report": _over(
             lambda t: quality.quality_report(

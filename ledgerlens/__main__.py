@@ -8,8 +8,9 @@ import sys
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.functions.params import in_utc
+from ledgerlens.functions.params import asked_limit, in_utc
 from ledgerlens.operators.question_rules import ACTIVITY_RULES, CUSTOMER_RULES
 from ledgerlens.operators.upsert import expire_versions
 from ledgerlens.plans import catalogue, ingestion
@@ -77,7 +78,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--as-of", type=moment, help="default: now")
         job.add_argument("--hours", type=int)
         job.add_argument("--days", type=int)
-        job.add_argument("--limit", type=int)
+        job.add_argument("--limit", type=asked_limit)
         job.add_argument("--score", type=float)
         job.add_argument("--account")
         job.add_argument("--customers", action="store_true", help="ask about customers rather than about events")
@@ -127,10 +128,16 @@ def run_batch(spark: SparkSession, args: argparse.Namespace) -> int:
         row_level=args.row_level,
     )
     log, failed = ingestion.run_batch(spark, cfg, sources(args))
-    log.select("source", "status", "rows_read", "rows_inserted", "rows_updated", "message").show(truncate=80)
+    log.select("source", "status", "rows_read", "rows_inserted", "rows_updated", "message").show(log.count(), truncate=False)
     return 1 if failed else 0
 
 
+def print_rows(result: DataFrame) -> None:
+    """Every row as a line of JSON; rows pass the driver partition by partition."""
+    for line in result.select(F.to_json(F.struct(*result.columns), {"ignoreNullFields": "false"})).toLocalIterator():
+        print(line[0])
+
+
 def run_report(spark: SparkSession, args: argparse.Namespace) -> int:
     tables = LazyTables(spark, args.tables, args.batch_tables)
     as_of = args.as_of or datetime.now(timezone.utc)
@@ -146,7 +153,7 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.output:
         result.write.parquet(args.output)
     else:
-        result.show(1000, truncate=False)
+        print_rows(result)
     return 1 if name == "quality_report" and not result.filter("status = 'FAIL'").isEmpty() else 0
 
 

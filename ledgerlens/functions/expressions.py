@@ -28,17 +28,41 @@ EMAIL_MASK = r"@example\.invalid$"
 CUSTOMER_ID_PREFIX = "CUST-DEMO-"
 
 
-def _halves(column: str, scale: int) -> tuple[Column, Column]:
-    """Sums of the upper and lower parts of each value in units of ``10**-scale``."""
-    units = F.rint(F.col(column) * F.lit(float(10**scale))).cast("bigint")
+# Digits kept below a column's own scale, and the largest number of units that fits the exact sums.
+_FINE_DIGITS = 9
+_MOST_UNITS = float(1 << 62)
+
+
+def _parts(column: str, scale: int) -> tuple[Column, Column, Column, Column]:
+    """Sums that add up to the total: upper and lower halves in units of ``10**-scale``, what is finer, what does not fit.
+
+    Values beyond the range of the units, and NaN or infinite ones, are added as doubles,
+    so that no value stops a job. Digits below a unit count unless they are mere noise of
+    the binary representation.
+    """
+    scaled = F.col(column) * F.lit(float(10**scale))
+    fits = (F.abs(scaled) < _MOST_UNITS) & ~F.isnan(scaled)
+    whole = F.rint(F.when(fits, scaled))
+    units = whole.cast("bigint")
+    rest = F.when(fits, scaled) - whole
+    noise = F.abs(whole) * 1e-14 + 1e-6
+    fine = F.when(F.abs(rest) > noise, F.rint(rest * float(10**_FINE_DIGITS)).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     lower = units.bitwiseAND(F.lit((1 << _HALF_BITS) - 1).cast("bigint"))
-    return F.sum(F.shiftright(units, _HALF_BITS)), F.sum(lower)
+    return F.sum(F.shiftright(units, _HALF_BITS)), F.sum(lower), F.sum(fine), F.sum(F.when(~fits, F.col(column)))
 
 
 def exact_total(column: str, scale: int = MONEY_SCALE) -> Column:
-    """Order-independent sum of a DOUBLE column, as DECIMAL; can be summed further without loss."""
-    upper, lower = (half.cast("decimal(19,0)") for half in _halves(column, scale))
-    return (upper * F.lit(1 << _HALF_BITS) + lower) * F.lit(Decimal(1).scaleb(-scale))
+    """Order-independent sum of a DOUBLE column, as DECIMAL; can be summed further without loss.
+
+    Values that do not fit the units are added as doubles; NULL if a decimal cannot hold them.
+    """
+    upper, lower, fine, large = _parts(column, scale)
+    units = F.coalesce(upper.cast("decimal(19,0)") * F.lit(1 << _HALF_BITS) + lower.cast("decimal(19,0)"), F.lit(Decimal(0)))
+    total = units * F.lit(Decimal(1).scaleb(-scale)) + F.coalesce(fine, F.lit(0)).cast("decimal(19,0)") * F.lit(
+        Decimal(1).scaleb(-scale - _FINE_DIGITS)
+    )
+    with_large = F.when(large.isNull(), total).otherwise(total + large.try_cast("decimal(38,4)"))
+    return F.when(F.count(F.col(column)) > 0, with_large)
 
 
 def exact_sum(column: str, scale: int = MONEY_SCALE) -> Column:
@@ -47,8 +71,11 @@ def exact_sum(column: str, scale: int = MONEY_SCALE) -> Column:
     The nearest double of the exact total as long as that has fewer than 2**53
     units, and within two rounding steps of it beyond.
     """
-    upper, lower = (half.cast("double") for half in _halves(column, scale))
-    return (upper * F.lit(float(1 << _HALF_BITS)) + lower) / F.lit(float(10**scale))
+    upper, lower, fine, large = _parts(column, scale)
+    units = (upper.cast("double") * F.lit(float(1 << _HALF_BITS)) + lower.cast("double")) / F.lit(float(10**scale))
+    small = F.coalesce(fine, F.lit(0)).cast("double") / F.lit(float(10 ** (scale + _FINE_DIGITS)))
+    total = F.coalesce(units, F.lit(0.0)) + small + F.coalesce(large, F.lit(0.0))
+    return F.when(F.count(F.col(column)) > 0, total)
 
 
 def exact_mean(column: str, scale: int = MONEY_SCALE) -> Column:

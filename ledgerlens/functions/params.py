@@ -29,8 +29,20 @@ def _whole(name: str, value: object, low: int, high: int) -> int:
     return number
 
 
-def row_limit(value: object = None, default: int = DEFAULT_LIMIT) -> int:
-    return default if value is None else _whole("limit", value, 1, MAX_LIMIT)
+def row_limit(value: object = None, default: int | None = None) -> int | None:
+    """The number of rows asked for; None: all of them."""
+    return default if value is None else _whole("limit", value, 1, 2**31 - 1)
+
+
+def asked_limit(value: object = None) -> int | None:
+    """A limit as a question or the command line may state it."""
+    return None if value is None else _whole("limit", value, 1, MAX_LIMIT)
+
+
+def first_rows(df: DataFrame, limit: object = None, default: int | None = None) -> DataFrame:
+    """The first rows of an ordered table; all of them where neither the caller nor a default says how many."""
+    n = row_limit(limit, default)
+    return df if n is None else df.limit(n)
 
 
 def look_back_hours(value: object = None) -> int:

@@ -25,7 +25,7 @@ from ledgerlens.functions.expressions import (
     rounded,
     start_of,
 )
-from ledgerlens.functions.params import on_day, row_limit, score_threshold, since, since_minutes
+from ledgerlens.functions.params import DEFAULT_LIMIT, first_rows, on_day, score_threshold, since, since_minutes
 from ledgerlens.operators.aggregates import logins
 from ledgerlens.operators.matching import union_all
 
@@ -36,7 +36,7 @@ ALERT_COLUMNS = ("timestamp", "account_id", "fraud_type", "ml_score", "action",
 
 def _counted_by(df: DataFrame, key: str, measure: str, limit: object) -> DataFrame:
     counted = df.groupBy(key).agg(F.count("*").alias(measure))
-    return counted.orderBy(*desc(measure), *asc(key)).limit(row_limit(limit))
+    return counted.orderBy(*desc(measure), *asc(key)).transform(first_rows, limit)
 
 
 def fraud_count_last_hour(alerts: DataFrame, *, as_of: datetime) -> DataFrame:
@@ -68,7 +68,7 @@ def with_share(counts: DataFrame, measure: str, name: str = "share_pct") -> Data
 def fraud_type_share(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
     counts = since(alerts, as_of, hours).groupBy("fraud_type").agg(F.count("*").alias("alert_count"))
     shares = with_share(counts, "alert_count")
-    return shares.orderBy(*desc("alert_count"), *asc("fraud_type")).limit(row_limit(limit))
+    return shares.orderBy(*desc("alert_count"), *asc("fraud_type")).transform(first_rows, limit)
 
 
 def top_accounts(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -77,12 +77,12 @@ def top_accounts(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None)
         .groupBy("account_id")
         .agg(F.max("ml_score").alias("max_ml_score"), F.count("*").alias("alert_count"))
     )
-    return peaks.orderBy(*desc("max_ml_score", "alert_count"), *asc("account_id")).limit(row_limit(limit, 20))
+    return peaks.orderBy(*desc("max_ml_score", "alert_count"), *asc("account_id")).transform(first_rows, limit, 20)
 
 
 def latest_high_risk(alerts: DataFrame, *, as_of: datetime, hours=None, score=None, limit=None) -> DataFrame:
     risky = since(alerts, as_of, hours).filter(F.col("ml_score") >= score_threshold(score))
-    return risky.select(*ALERT_COLUMNS).orderBy(*desc("timestamp", "event_id")).limit(row_limit(limit))
+    return risky.select(*ALERT_COLUMNS).orderBy(*desc("timestamp", "event_id")).transform(first_rows, limit, DEFAULT_LIMIT)
 
 
 def avg_score_by_type(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -91,7 +91,7 @@ def avg_score_by_type(alerts: DataFrame, *, as_of: datetime, hours=None, limit=N
         .groupBy("fraud_type")
         .agg(exact_mean("ml_score", SCORE_SCALE).alias("avg_ml_score"), F.count("*").alias("alert_count"))
     )
-    return scores.orderBy(*desc("avg_ml_score"), *asc("fraud_type")).limit(row_limit(limit))
+    return scores.orderBy(*desc("avg_ml_score"), *asc("fraud_type")).transform(first_rows, limit)
 
 
 def fraud_trend_by_hour(alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -101,11 +101,11 @@ def fraud_trend_by_hour(alerts: DataFrame, *, as_of: datetime, hours=None, limit
         .groupBy(start_of("hour", "timestamp", kind).alias("alert_hour"))
         .agg(F.count("*").alias("alert_count"), exact_mean("ml_score", SCORE_SCALE).alias("avg_ml_score"))
     )
-    return hourly.orderBy(*asc("alert_hour")).limit(row_limit(limit))
+    return hourly.orderBy(*asc("alert_hour")).transform(first_rows, limit)
 
 
 def recent_alerts(alerts: DataFrame, *, limit=None) -> DataFrame:
-    return alerts.select(*ALERT_COLUMNS).orderBy(*desc("timestamp", "event_id")).limit(row_limit(limit, 10))
+    return alerts.select(*ALERT_COLUMNS).orderBy(*desc("timestamp", "event_id")).transform(first_rows, limit, 10)
 
 
 def aml_by_risk_band(aml: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -114,7 +114,7 @@ def aml_by_risk_band(aml: DataFrame, *, as_of: datetime, hours=None, limit=None)
         .groupBy("risk_band")
         .agg(F.count("*").alias("alert_count"), exact_mean("total_amount_7d").alias("avg_amount_7d"))
     )
-    return bands.orderBy(*desc("alert_count"), *asc("risk_band")).limit(row_limit(limit))
+    return bands.orderBy(*desc("alert_count"), *asc("risk_band")).transform(first_rows, limit)
 
 
 def login_outcomes(events: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:

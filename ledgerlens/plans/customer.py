@@ -18,7 +18,7 @@ from ledgerlens.functions.expressions import (
     money,
     rounded,
 )
-from ledgerlens.functions.params import moment_like, row_limit, score_threshold, since, since_date
+from ledgerlens.functions.params import DEFAULT_LIMIT, first_rows, moment_like, row_limit, score_threshold, since, since_date
 from ledgerlens.operators.aggregates import (
     BLOCKED,
     alerts_by_account,
@@ -56,7 +56,7 @@ def _ranked_by_payments(customers: DataFrame, payments: DataFrame, limit: object
         ),
         F.col("latest_payment_at").alias("latest_transaction"),
     )
-    return ranked.orderBy(*desc("total_transaction_amount"), *asc("customer_id")).limit(row_limit(limit))
+    return ranked.orderBy(*desc("total_transaction_amount"), *asc("customer_id")).transform(first_rows, limit, DEFAULT_LIMIT)
 
 
 def top_customers(customers: DataFrame, payments: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -73,7 +73,7 @@ def join_sample(customers: DataFrame, payments: DataFrame, *, day: date, days=1,
 
     Only an account's newest ``limit`` payments can be among the newest overall.
     """
-    n = row_limit(limit)
+    n = row_limit(limit, DEFAULT_LIMIT)
     recent = since_date(payments, day, days).select("account_id", "transaction_id", "amount", "timestamp")
     newest = _foremost_per_account(recent, desc("timestamp", "transaction_id"), n)
     joined = customers.select("account_id", "full_name", "customer_tier").join(newest, "account_id")
@@ -100,7 +100,7 @@ def _foremost_per_account(events: DataFrame, order: Sequence[Column], n: int) ->
 
 
 def _alert_detail(customers: DataFrame, alerts: DataFrame, profile: Sequence[Column | str], limit: object) -> DataFrame:
-    n = row_limit(limit)
+    n = row_limit(limit, DEFAULT_LIMIT)
     order = desc("ml_score", "alert_timestamp", "event_id")
     detail = alerts.select(
         "account_id", "event_id", F.col("timestamp").alias("alert_timestamp"), "fraud_type", "ml_score", "action", "case_id"
@@ -154,7 +154,7 @@ def platinum_fraud(customers: DataFrame, alerts: DataFrame, *, as_of: datetime,
         "latest_alert_at",
         "blocked_count",
     )
-    return chosen.orderBy(*desc("max_ml_score", "fraud_alert_count"), *asc("customer_id")).limit(row_limit(limit))
+    return chosen.orderBy(*desc("max_ml_score", "fraud_alert_count"), *asc("customer_id")).transform(first_rows, limit)
 
 
 def fraud_by_city(customers: DataFrame, alerts: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -178,7 +178,7 @@ def fraud_by_city(customers: DataFrame, alerts: DataFrame, *, as_of: datetime, h
         F.max("top_score").alias("max_ml_score"),
         F.sum("blocked").alias("blocked_count"),
     )
-    return cities.orderBy(*desc("fraud_alert_count"), *asc("customer_city", "province")).limit(row_limit(limit))
+    return cities.orderBy(*desc("fraud_alert_count"), *asc("customer_city", "province")).transform(first_rows, limit)
 
 
 # Channels and devices -----------------------------------------------------
@@ -206,7 +206,7 @@ def channel_comparison(customers: DataFrame, payments: DataFrame, *, as_of: date
     )
     return shown.orderBy(
         *desc("customers"), *asc("stated_preferred_channel", "actual_top_payment_channel")
-    ).limit(row_limit(limit))
+    ).transform(first_rows, limit)
 
 
 def channel_profile(
@@ -239,7 +239,7 @@ def channel_profile(
         "auth_methods_used",
         alignment.alias("channel_alignment"),
     )
-    return shown.orderBy(*desc("payment_count", "login_attempts"), *asc("customer_id")).limit(row_limit(limit))
+    return shown.orderBy(*desc("payment_count", "login_attempts"), *asc("customer_id")).transform(first_rows, limit)
 
 
 def new_device_customers(customers: DataFrame, events: DataFrame, *, as_of: datetime, hours=None, limit=None) -> DataFrame:
@@ -256,7 +256,7 @@ def new_device_customers(customers: DataFrame, events: DataFrame, *, as_of: date
         "latest_login_at",
         "auth_methods",
     )
-    return shown.orderBy(*desc("new_device_logins", "latest_login_at"), *asc("customer_id")).limit(row_limit(limit))
+    return shown.orderBy(*desc("new_device_logins", "latest_login_at"), *asc("customer_id")).transform(first_rows, limit)
 
 
 # Exposure -----------------------------------------------------------------
@@ -287,7 +287,7 @@ def _exposed(customers: DataFrame, payments: DataFrame, alerts: DataFrame) -> Da
 
 def _by_exposure(exposed: DataFrame, columns: Sequence[str], limit: object) -> DataFrame:
     order = (*desc("max_fraud_score", "total_payment_amount"), *asc("customer_id"))
-    return exposed.select(*columns).orderBy(*order).limit(row_limit(limit))
+    return exposed.select(*columns).orderBy(*order).transform(first_rows, limit, DEFAULT_LIMIT)
 
 
 def risk_exposure(
@@ -371,15 +371,16 @@ def customer_profile(
         _or_zero("new_device_logins"),
         _or_zero("aml_alert_count"),
     )
-    return shown.orderBy(*asc("customer_id")).limit(row_limit(limit))
+    return shown.orderBy(*asc("customer_id")).transform(first_rows, limit)
 
 
 # Batch tables and exceptions ----------------------------------------------
 
 
-def unmatched_accounts(customers: DataFrame, payments: DataFrame, *, as_of: datetime, hours=1, limit=25) -> DataFrame:
+def unmatched_accounts(customers: DataFrame, payments: DataFrame, *, as_of: datetime, hours=1, limit=None) -> DataFrame:
+    """All accounts without a master row, the busiest first."""
     alone = without_master(since(payments, as_of, hours), customers)
-    return alone.orderBy(*desc("event_count"), *asc("unmatched_account_id")).limit(row_limit(limit))
+    return alone.orderBy(*desc("event_count"), *asc("unmatched_account_id")).transform(first_rows, limit)
 
 
 def tier_payment_summary(dim_customer: DataFrame, fact: DataFrame, *, day: date, days=7) -> DataFrame:

@@ -22,7 +22,7 @@ from ledgerlens.functions.expressions import (
     percentage,
     rounded,
 )
-from ledgerlens.functions.params import row_limit, since_date
+from ledgerlens.functions.params import first_rows, since_date
 from ledgerlens.operators.matching import match_rate_events, union_all
 from ledgerlens.plans.activity import key_uniqueness
 
@@ -112,13 +112,13 @@ def batch_history(run_log: DataFrame) -> DataFrame:
     return run_log.groupBy("source").agg(*measures).orderBy(*asc("source"))
 
 
-def lineage(dim: DataFrame, limit=20) -> DataFrame:
+def lineage(dim: DataFrame, limit=None) -> DataFrame:
     """Rows per landing file and batch, newest first."""
     files = dim.groupBy("source_system", "batch_id", "source_file").agg(
         F.count("*").alias("rows_from_file"), F.max("ingested_at").alias("ingested_at")
     )
     order = (*desc("ingested_at"), *asc("source_system", "batch_id", "source_file"))
-    return files.orderBy(*order).limit(row_limit(limit))
+    return files.orderBy(*order).transform(first_rows, limit)
 
 
 def _check(frame: DataFrame, name: str, passed: Column, detail: Column) -> DataFrame:

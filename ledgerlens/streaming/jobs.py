@@ -101,7 +101,7 @@ def topic_reader(spark: SparkSession, cfg: StreamConfig) -> Callable[[tuple[str,
     """Messages of some topics; streams over several topics share half the cap."""
 
     def read(topics: tuple[str, ...]) -> DataFrame:
-        cap = cfg.max_offsets if len(topics) == 1 else max(cfg.max_offsets // 2, 500)
+        cap = cfg.max_offsets if len(topics) == 1 else max(cfg.max_offsets // 2, 1)
         return read_topics(spark, cfg.brokers, topics, cfg.starting_offsets, cap)
 
     return read

@@ -158,7 +158,7 @@ _DAILY = """SELECT event_date, account_id, {measures}, min("timestamp") AS first
 
 def _counted(table: str, key: str, measure: str, where: str = "TRUE") -> str:
     return f"""SELECT {key}, count(*) AS {measure} FROM {table} WHERE {SINCE} AND {where}
-               GROUP BY {key} ORDER BY {measure} DESC, {key} NULLS LAST LIMIT 1000"""
+               GROUP BY {key} ORDER BY {measure} DESC, {key} NULLS LAST"""
 
 
 _ALERT_COLUMNS = '"timestamp", account_id, fraud_type, ml_score, action, case_id, event_id'
@@ -171,12 +171,12 @@ def _alert_detail(profile: str, where: str) -> str:
                ORDER BY f.ml_score DESC, f."timestamp" DESC, f.event_id DESC LIMIT 1000"""
 
 
-def _top_customers(source: str, where: str) -> str:
+def _top_customers(source: str, where: str, last: str = "LIMIT 1000") -> str:
     return f"""SELECT c.customer_id, c.account_id, c.full_name, c.city AS customer_city, c.customer_tier, c.risk_rating,
                       count(p.transaction_id) AS transaction_count, {_money(_total('p.amount'))} AS total_transaction_amount,
                       {_round(_mean('p.amount'), 2)} AS average_transaction_amount, max(p."timestamp") AS latest_transaction
                FROM customers c JOIN {source} p ON c.account_id = p.account_id WHERE {where}
-               GROUP BY 1, 2, 3, 4, 5, 6 ORDER BY total_transaction_amount DESC, customer_id LIMIT 1000"""
+               GROUP BY 1, 2, 3, 4, 5, 6 ORDER BY total_transaction_amount DESC, customer_id {last}"""
 
 
 def _exposure(where: str, columns: str) -> str:
@@ -453,7 +453,7 @@ ORACLE: dict[str, str] = {
         "fraud_alerts",
         f"""SELECT date_trunc('hour', "timestamp") AS alert_hour, count(*) AS alert_count,
                    {_round(_mean('ml_score', 9), 6)} AS avg_ml_score
-            FROM fraud_alerts WHERE {SINCE} GROUP BY 1 ORDER BY 1 LIMIT 1000""",
+            FROM fraud_alerts WHERE {SINCE} GROUP BY 1 ORDER BY 1""",
     ),
     "recent_alerts": _q(
         "fraud_alerts", f'SELECT {_ALERT_COLUMNS} FROM fraud_alerts ORDER BY "timestamp" DESC, event_id DESC LIMIT 10'
@@ -526,6 +526,8 @@ ORACLE: dict[str, str] = {
         "customers payments_bulk",
         _top_customers("payments_bulk", """p."timestamp" >= TIMESTAMP '1999-01-01 00:00:00' - INTERVAL 8760 HOUR"""),
     ),
+    "top_customers_all": _q("customers payments", _top_customers("payments", f"p.{SINCE}", "")),
+    "customer_payment_360_all": _q("customers payments", _top_customers("payments", f"p.{LAST_30}", "")),
     "customer_payment_360": _q("customers payments", _top_customers("payments", f"p.{LAST_30}")),
     "join_sample": _q(
         "customers payments",
@@ -554,7 +556,7 @@ ORACLE: dict[str, str] = {
                    count(*) FILTER (WHERE f.action = 'BLOCK_AND_ALERT') AS blocked_count
             FROM customers c JOIN fraud_alerts f ON f.account_id = c.account_id
             WHERE c.customer_tier = 'PLATINUM' AND f.{SINCE} GROUP BY 1, 2, 3, 4, 5, 6
-            ORDER BY max_ml_score DESC, fraud_alert_count DESC, customer_id LIMIT 1000""",
+            ORDER BY max_ml_score DESC, fraud_alert_count DESC, customer_id""",
     ),
     "pep_high_fraud": _q(
         "customers fraud_alerts",
@@ -580,7 +582,7 @@ ORACLE: dict[str, str] = {
                    max(e."timestamp") AS latest_login_at, string_agg(DISTINCT e.auth_method, ', ' ORDER BY e.auth_method) AS auth_methods
             FROM customers c JOIN customer_events e ON e.account_id = c.account_id WHERE e.{SINCE} AND e.{_LOGIN}
             GROUP BY 1, 2, 3, 4, 5, 6, 7 HAVING count(*) FILTER (WHERE e.new_device) > 0
-            ORDER BY new_device_logins DESC, latest_login_at DESC, customer_id LIMIT 1000""",
+            ORDER BY new_device_logins DESC, latest_login_at DESC, customer_id""",
     ),
     "fraud_by_city": _q(
         "customers fraud_alerts",
@@ -611,7 +613,7 @@ ORACLE: dict[str, str] = {
                        FROM customer_events WHERE {LAST_30} AND {_LOGIN} GROUP BY 1) l ON l.account_id = c.account_id
             LEFT JOIN lmodes lm ON lm.account_id = c.account_id
             WHERE p.account_id IS NOT NULL OR l.account_id IS NOT NULL
-            ORDER BY payment_count DESC, login_attempts DESC, customer_id LIMIT 1000""",
+            ORDER BY payment_count DESC, login_attempts DESC, customer_id""",
         {"pmodes": _mode("payments", LAST_30, "top"), "lmodes": _mode("customer_events", f"{LAST_30} AND {_LOGIN}", "top")},
     ),
     "customer_profile": _q(
@@ -635,7 +637,7 @@ ORACLE: dict[str, str] = {
         f"""SELECT p.account_id AS unmatched_account_id, count(*) AS event_count, {_money(_total('p.amount'))} AS total_amount,
                    min(p."timestamp") AS first_seen, max(p."timestamp") AS last_seen
             FROM payments p LEFT JOIN customers c ON c.account_id = p.account_id WHERE c.account_id IS NULL AND p.{SINCE}
-            GROUP BY 1 ORDER BY event_count DESC, unmatched_account_id LIMIT 25""",
+            GROUP BY 1 ORDER BY event_count DESC, unmatched_account_id""",
     ),
     "tier_payment_summary": _q(
         "customers payments",
@@ -697,7 +699,7 @@ ORACLE: dict[str, str] = {
     "lineage": """
         SELECT 'file://landing/orders' AS source_system, concat('B', strftime(o_orderdate, '%Y%m')) AS batch_id,
                concat('orders-', o_orderstatus, '.csv') AS source_file, count(*) AS rows_from_file, max(o_orderdate) AS ingested_at
-        FROM orders GROUP BY 1, 2, 3 ORDER BY ingested_at DESC, batch_id, source_file LIMIT 1000""",
+        FROM orders GROUP BY 1, 2, 3 ORDER BY ingested_at DESC, batch_id, source_file""",
     "match_rate_gate": _q("customers payments fraud_alerts customer_events", _GATE),
     "quality_report": _q(
         "customers payments fraud_alerts customer_events",

@@ -149,7 +149,7 @@ def test_topic_options():
     cfg = StreamConfig("r", "c", "host:9092", max_offsets=5000)
     assert topic_reader(Recorder(), cfg)(("a",)).options["maxOffsetsPerTrigger"] == 5000
     assert topic_reader(Recorder(), cfg)(("a", "b")).options["maxOffsetsPerTrigger"] == 2500
-    assert topic_reader(Recorder(), StreamConfig("r", "c", max_offsets=600))(("a", "b")).options["maxOffsetsPerTrigger"] == 500
+    assert topic_reader(Recorder(), StreamConfig("r", "c", max_offsets=600))(("a", "b")).options["maxOffsetsPerTrigger"] == 300
     assert (cfg.trigger(), cfg.trigger(2)) == ({"processingTime": "30 seconds"}, {"processingTime": "60 seconds"})
 
 

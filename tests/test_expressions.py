@@ -61,3 +61,14 @@ def test_shards_are_stable_and_complete(spark):
     shards = keys.select("k", e.shard_of(F.col("k"), 8).alias("s"))
     assert {r.s for r in shards.collect()} == set(range(8))
     assert shards.collect() == keys.repartition(5).select("k", e.shard_of(F.col("k"), 8).alias("s")).orderBy(F.expr("cast(substr(k,2) as int)")).collect()
+
+
+def test_totals_neither_overflow_nor_vanish(spark):
+    for values, total in (([1e15, 0.25], 1e15 + 0.25), ([1e18, 1.0], 1e18), ([0.00004] * 1000, 0.04), ([1e300, 1.0], 1e300)):
+        df = spark.createDataFrame([(v,) for v in values], "amount double")
+        got = df.agg(e.exact_sum("amount").alias("s"), e.exact_total("amount").alias("t")).first()
+        assert abs(got.s - total) <= 1e-12 * total
+        assert got.t is None if total > 1e33 else abs(float(got.t) - total) <= 1e-9 * total
+    odd = spark.createDataFrame([(float("inf"),), (1.0,)], "amount double").agg(e.exact_sum("amount").alias("s")).first()
+    assert odd.s == float("inf")
+    assert spark.createDataFrame([], "amount double").agg(e.exact_sum("amount").alias("s")).first().s is None

@@ -154,7 +154,7 @@ def test_a_failing_source_is_logged_and_the_others_run(spark):
     assert stored.count() == 4
     last = quality.last_batch(stored).collect()
     assert [(r.batch_id, r.source, r.status) for r in last] == [("b2", "customers", "OK"), ("b2", "accounts", "FAILED")]
-    assert len(last[1].message) == 1000 and last[1].message.startswith("RuntimeError: no route")
+    assert last[1].message == "RuntimeError: no route to host " + "x" * 2000
     history = {r.source: (r.runs, r.failures, r.rows_inserted_total) for r in quality.batch_history(stored).collect()}
     assert history == {"accounts": (2, 2, None), "customers": (2, 0, 1)}
     _, failed = ing.run_batch(spark, config("ing_run_dry", 1, dry_run=True), sources[:1])

@@ -11,13 +11,13 @@ from tests.frames import payments
 @pytest.mark.parametrize("value", [0, 1001, -5, "ten", "1.5", [], object()])
 def test_limits_outside_the_range_are_refused(value):
     with pytest.raises(ValueError):
-        params.row_limit(value)
+        params.asked_limit(value)
 
 
 def test_defaults_and_bounds():
-    assert params.row_limit() == 100
+    assert params.row_limit() is None and params.asked_limit() is None
     assert params.row_limit(None, 20) == 20
-    assert (params.row_limit(1), params.row_limit(1000), params.row_limit("7")) == (1, 1000, 7)
+    assert (params.asked_limit(1), params.asked_limit(1000), params.row_limit("7"), params.row_limit(5000)) == (1, 1000, 7, 5000)
     assert params.look_back_hours() == 24
     assert params.look_back_hours(8760) == 8760
     assert params.score_threshold() == 0.85

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = os.environ.get("LEDGERLENS_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
+QUERIES = entry.library_queries()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
