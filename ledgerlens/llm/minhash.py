@@ -18,6 +18,13 @@ its largest class meet a few of that class, some rounds long, which joins nearly
 of a large group. What is still divided then meets everything in its bucket that is of
 another class, so no link is lost.
 
+A divided bucket's members are paired under a condition that is part of the join: an
+odd sketch (one bit of parity for each of 1,024 slots of shingles) bounds from below
+how much two texts differ. It is exact in that it rules out no link, so the pairs that
+leave the join are nearly links, however many members a bucket has. For texts of many
+thousands of words, whose permitted difference exceeds the slots, only their lengths
+and signatures rule out pairs.
+
 Copies of a text are one node with a count. Null, empty and blank texts are alone in
 their classes, repeated rows are copies, ids may be null or repeated, an empty table
 gives an empty result. Other columns pass through.
@@ -44,6 +51,8 @@ ROUNDS, LEADS = 3, 4
 ROWS, BANDS = 6, 42
 COORDINATES = ROWS * BANDS
 DARTS = math.ceil(COORDINATES * math.log(COORDINATES)) + 2 * COORDINATES
+#: 64-bit words of an odd sketch.
+SKETCH = 16
 #: Six standard deviations of the agreement at the least similarity.
 _SLACK = 6 * math.sqrt(0.16 / COORDINATES)
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
@@ -115,6 +124,20 @@ def signatures(h: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int) ->
     return out, total.astype(np.int64)
 
 
+def sketches(h: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """n x SKETCH words: each bit is the parity of the number of shingles, repeats counted, in its slot."""
+    of = np.repeat(np.arange(len(h)), weight)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(weight) - weight, weight)
+    slot = W.mix(h[of] + nth.astype(np.uint64) * _STEP) >> np.uint64(64 - (SKETCH * 64 - 1).bit_length())
+    counts = np.bincount(owner[of] * (SKETCH * 64) + slot.astype(np.int64), minlength=n * SKETCH * 64)
+    return np.packbits(counts & 1 == 1, bitorder="little").view("<u8").reshape(n, SKETCH)
+
+
+def _apart(x: str, y: str) -> str:
+    """SQL: the least number of shingles, repeats counted, that only one of two texts has."""
+    return " + ".join(f"bit_count({x}[{i}] ^ {y}[{i}])" for i in range(SKETCH))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = W.text_bytes(batch.column("text"))
@@ -127,10 +150,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands = W.range_hashes(flat, begin, begin + ROWS) + np.tile(np.arange(BANDS, dtype=np.uint64), len(some)) * _STEP
             keys = [batch.column(c).slice(first, last - first).take(pa.array(some)) for c in ("node", "k1", "k2")]
             codes = (marks[some] >> np.uint64(56)).astype(np.uint8)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(bands.view(np.int64)))
+            odd = sketches(*found, last - first)[some].reshape(-1)
+            lists = [
+                pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * size), pa.array(flat.view(np.int64)))
+                for flat, size in ((odd, SKETCH), (bands, BANDS))
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*keys, pa.array(total[some]), pa.array([c.tobytes() for c in codes], pa.binary()), lists],
-                names=["node", "k1", "k2", "total", "code", "bands"],
+                [*keys, pa.array(total[some]), pa.array([c.tobytes() for c in codes], pa.binary()), *lists],
+                names=["node", "k1", "k2", "total", "code", "odd", "bands"],
             )
 
 
@@ -216,7 +243,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def node_classes(texts: DataFrame) -> DataFrame:
     """node, component of every node that has a near copy."""
-    columns = "node bigint, k1 bigint, k2 bigint, total bigint, code binary, bands array<bigint>"
+    columns = "node bigint, k1 bigint, k2 bigint, total bigint, code binary, odd array<bigint>, bands array<bigint>"
     signs = staged(over_batches(texts.select("node", "k1", "k2", "text"), _sign, columns), "signatures")
     banded = signs.select("node", F.explode("bands").alias("band"))
     shared = staged(banded.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n"), "bands")
@@ -224,6 +251,10 @@ def node_classes(texts: DataFrame) -> DataFrame:
     first = staged(members.filter("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     links = _verified(first, signs, texts)
     tested, found = first, components(links)
+    p, q = SIMILAR
+    possible = F.expr(
+        f"{q} * least(total_x, total) >= {p} * greatest(total_x, total) AND {p + q} * ({_apart('odd_x', 'odd')}) <= {q - p} * (total_x + total)"
+    )
     for attempt in range(ROUNDS + 1):
         classed = members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
         classed = staged(classed, "band-classes")
@@ -234,15 +265,14 @@ def node_classes(texts: DataFrame) -> DataFrame:
         if opened.isEmpty():
             break
         members = opened.select("band", "node")  # a bucket of one class has nothing more to tell
-        outside = opened.filter("component != largest").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
+        opened = opened.join(signs.select("node", "total", "odd"), "node")
+        outside = opened.filter("component != largest").select("band", *(F.col(c).alias(f"{c}_x") for c in ("node", "component", "total", "odd")))
+        inside, apart = opened, F.expr("component_x != component AND (component = largest OR node_x < node)")
         if attempt < ROUNDS:
             turn = Window.partitionBy("band").orderBy(F.xxhash64("node", F.lit(attempt)), "node")
             inside = opened.filter("component = largest").withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= LEADS)
-            other, apart = staged(inside.select("band", F.col("node").alias("y")), "band-leads"), F.lit(True)
-        else:
-            other = opened.select("band", F.col("node").alias("y"), F.col("component").alias("cy"), "largest")
-            apart = F.expr("cx != cy AND (cy = largest OR x < y)")
-        met = outside.join(other, "band").filter(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+            inside = staged(inside.drop("turn"), "band-leads")
+        met = outside.join(inside, "band").filter(apart & possible).select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b"))
         pairs = staged(met.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         more = _verified(pairs, signs, texts)
         tested = tested.unionByName(pairs)

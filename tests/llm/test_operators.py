@@ -8,10 +8,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import licenses, minhash, mixing, packing, quality, sharding, substrings, suffixes, topk, toxicity
+from ledgerlens.llm import words as W
 from tests.llm import brute
 
 
@@ -231,3 +233,19 @@ def test_toxicity(spark, sample, nothing):
     assert toxicity.scored(sample, labels).count() == sample.count()
     assert toxicity.scored(nothing, labels).count() == 0
     assert {r["score"] for r in toxicity.scored(docs, labels.limit(0)).collect()} == {0.0}
+
+
+def test_odd_sketches_never_overstate_a_difference():
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 400, 6000):
+        words = [f"w{i}" for i in rng.integers(0, max(2, size // 3), size)]
+        other = list(words)
+        for at in rng.integers(0, size, max(1, size // 25)):
+            other[at] = "new"
+        texts = pa.array([" ".join(words), " ".join(other)])
+        found = minhash.shingles(*W.text_bytes(texts))
+        a, b = minhash.sketches(*found, 2)
+        bags = [Counter(tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))) for t in (words, other)]
+        differs = ((bags[0] - bags[1]) + (bags[1] - bags[0])).total()
+        bound = int(np.bitwise_count(a ^ b).sum())
+        assert bound <= differs and (bound > differs // 2 or size == 6000)
