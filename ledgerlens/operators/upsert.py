@@ -7,13 +7,15 @@ changes nothing.
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.params import in_utc, moment_like
@@ -104,13 +106,17 @@ def upsert(
     keys: Sequence[str],
     ordering: str | None = None,
     update_columns: Sequence[str] | None = None,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """The target after the merge: newer rows replace, older ones are ignored, new ones are added.
 
     ``staged`` holds one row per key (:func:`stage`). ``update_columns`` limits
-    what a match refreshes. Nothing is ever deleted.
+    what a match refreshes. Nothing is ever deleted. ``counts`` receives what
+    :func:`classify_changes` would count, once the rows have been written.
     """
     joined = _side_by_side(target, staged, keys, "full_outer")
+    if counts is not None:
+        joined = joined.observe(counts, *_change_counts(ordering))
     added = F.col("_old").isNull()
     replaced = F.col("_new").isNotNull() & F.col("_old").isNotNull() & _supersedes(ordering)
     refreshed = set(update_columns if update_columns is not None else target.columns)
@@ -138,12 +144,17 @@ def classify_changes(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     """
     narrow = list(dict.fromkeys([*keys, *([ordering] if ordering else [])]))
     joined = _side_by_side(target.select(*narrow), staged.select(*narrow), keys, "left")
-    added = F.col("_old").isNull()
-    return joined.agg(
-        F.count_if(added).alias("rows_inserted"),
-        F.count_if(~added & _supersedes(ordering)).alias("rows_updated"),
-        F.count_if(~added & ~_supersedes(ordering)).alias("rows_stale"),
-    )
+    return joined.agg(*_change_counts(ordering))
+
+
+def _change_counts(ordering: str | None) -> list[Column]:
+    """How many staged rows of :func:`_side_by_side` insert, update, or are stale."""
+    new, old = F.col("_new").isNotNull(), F.col("_old").isNotNull()
+    return [
+        F.count_if(new & ~old).alias("rows_inserted"),
+        F.count_if(new & old & _supersedes(ordering)).alias("rows_updated"),
+        F.count_if(new & old & ~_supersedes(ordering)).alias("rows_stale"),
+    ]
 
 
 _VERSION = "/version-"
@@ -166,7 +177,7 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> None:
+def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequence[str] = ()) -> int | None:
     """Make ``rows`` the content of ``table``, or of the partitions they fall into.
 
     An unpartitioned table gets a new version in a folder of its own, and the
@@ -176,11 +187,15 @@ def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequ
     cannot be overwritten while they are read, and then replace just those; the
     staged copy goes once that is done. Rebalancing spreads a large partition over
     several tasks and files.
+
+    Returns the number of the new version (microseconds since 1970), None for a partitioned table.
     """
+    number = None
     arranged = rows.select(*spark.table(table).columns)
     if not partition_by:
         home = _location(spark, table).partition(_VERSION)[0]
-        version = f"{home}{_VERSION}{uuid.uuid4().hex}"
+        number = time.time_ns() // 1000
+        version = f"{home}{_VERSION}{number:020d}-{uuid.uuid4().hex}"
         arranged.write.parquet(version)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     else:
@@ -191,13 +206,16 @@ def publish(spark: SparkSession, table: str, rows: DataFrame, partition_by: Sequ
             staged.write.insertInto(table, overwrite=True)
         remove_folder(spark, staging)
     spark.catalog.refreshTable(table)
+    return number
 
 
 def expire_versions(spark: SparkSession, table: str, keep_last: int = 2) -> int:
     """Delete the oldest versions :func:`publish` left of an unpartitioned table; returns their number.
 
     The current version always stays, and with it the newest ``keep_last`` in all,
-    for queries that still read an earlier one.
+    for queries that still read an earlier one. Age is told by the versions' names,
+    as object stores have no times of folders. Versions after the current one stay as
+    well: a run may still be writing them.
     """
     if keep_last < 1:
         raise ValueError("keep_last must be at least 1")
@@ -205,8 +223,13 @@ def expire_versions(spark: SparkSession, table: str, keep_last: int = 2) -> int:
     home, mark, name = current.partition(_VERSION)
     if not mark:
         return 0
-    others = [f for f in list_folders(spark, home) if _VERSION in f and not f.endswith(mark + name)]
-    stale = others[keep_last - 1 :]
-    for folder in stale:
-        remove_folder(spark, folder)
+
+    def age(version: str) -> str:  # names without a time come from earlier releases
+        return version if re.fullmatch(r"\d{20}-\w+", version) else ""
+
+    folders = {f.partition(_VERSION)[2].rstrip("/"): f for f in list_folders(spark, home) if _VERSION in f}
+    earlier = sorted((v for v in folders if v != name and age(v) <= age(name)), key=lambda v: (age(v), v), reverse=True)
+    stale = earlier[keep_last - 1 :]
+    for version in stale:
+        remove_folder(spark, folders[version])
     return len(stale)

@@ -54,9 +54,10 @@ def test_incremental_runs_of_a_dimension(spark):
     assert counts(first) == ("OK", 2, 2, 0) and first["watermark"] is None
     again = ing.ingest(spark, config(schema, 2), customers_source([(1, "GOLD", 1), (2, "GOLD", 2)]))
     assert counts(again) == ("OK", 0, 0, 0) and again["watermark"] == datetime(2024, 4, 2)
-    assert again["message"] == "empty batch, nothing to merge"
+    assert again["message"] == "the source had no new rows"
     third = ing.ingest(spark, config(schema, 3), customers_source([(1, "PLATINUM", 5), (2, "GOLD", 2), (3, "SILVER", 4)]))
     assert counts(third) == ("OK", 2, 1, 1)
+    assert first["snapshot_id"] < third["snapshot_id"] and again["snapshot_id"] is None
     dim = spark.table(f"{schema}.dim_customer")
     assert {(r.customer_id, r.customer_tier, r.batch_id) for r in dim.collect()} == {("C1", "PLATINUM", "b3"), ("C2", "GOLD", "b1"), ("C3", "SILVER", "b3")}
     row = dim.filter("customer_id = 'C1'").first()
@@ -165,7 +166,7 @@ def test_a_failed_merge_leaves_the_old_version(spark, monkeypatch):
     schema = "ing_keep"
     ing.ingest(spark, config(schema, 1), customers_source([(1, "GOLD", 1)]))
 
-    def broken(target, staged, keys, ordering):
+    def broken(target, staged, keys, ordering, counts):
         return staged.withColumn("customer_tier", F.raise_error(F.lit("disk full")).cast("string")).select(*target.columns)
 
     monkeypatch.setattr(ing, "upsert", broken)
@@ -186,3 +187,18 @@ def test_targets_check_their_columns():
     assert FACT_PAYMENT_DAILY.columns[:2] == ("event_date", "account_id")
     with pytest.raises(ValueError):
         Target("t", ("missing",), {"a": "int"})
+
+
+def test_a_load_joins_target_and_batch_once(spark, monkeypatch):
+    schema, plans = "ing_once", []
+    ing.ingest(spark, config(schema, 1), customers_source([(1, "GOLD", 1)]))
+    write = ing.publish
+
+    def seen(spark, table, rows, partition_by=()):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return write(spark, table, rows, partition_by)
+
+    monkeypatch.setattr(ing, "publish", seen)
+    monkeypatch.setattr(ing, "classify_changes", lambda *_: pytest.fail("a second join"))
+    assert counts(ing.ingest(spark, config(schema, 2), customers_source([(1, "SILVER", 2), (2, "GOLD", 2)]))) == ("OK", 2, 1, 1)
+    assert [plan.count("Join ") for plan in plans] == [1]

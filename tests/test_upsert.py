@@ -144,6 +144,17 @@ def test_old_versions_expire(spark):
         u.expire_versions(spark, table, 0)
 
 
+def test_expiry_leaves_versions_that_are_being_written(spark):
+    table = ensure_table(spark, "expiry.busy", {"k": "int"})
+    for n in range(2):
+        u.publish(spark, table, spark.range(n + 1).select(F.col("id").cast("int").alias("k")))
+    home, mark, current = u._location(spark, table).partition("/version-")
+    unfinished = f"{home}{mark}{int(current[:20]) + 1:020d}-abc"
+    spark.range(1).write.parquet(unfinished)
+    assert u.expire_versions(spark, table, 1) == 1
+    assert spark.read.parquet(unfinished).count() == 1 and spark.table(table).count() == 2
+
+
 def test_staged_copies_are_removed(spark):
     before = set(list_folders(spark, shared_dir(spark)))
     table = ensure_table(spark, "pub.staged", {"d": "date", "v": "int"}, ["d"])
