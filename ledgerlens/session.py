@@ -71,6 +71,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(known, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, known = _file_system(spark, path)
+    return system.exists(known)
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Sub-folders, the most recently changed first."""
     system, known = _file_system(spark, path)

@@ -10,6 +10,7 @@ no job could ever compact the files.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -17,10 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.schemas import EVENT_LAYOUTS, EVENT_PARTITIONS, ddl
-from ledgerlens.session import remove_folder, scratch_path
+from ledgerlens.session import list_folders, path_exists, remove_folder
 
 BATCH = "stream_batch"
 COMPACTED = "compacted"
+#: Folder of the notes on unfinished compactions; the underscore hides it from readers.
+NOTES = "_compaction"
 
 
 def stream_of(batch: DataFrame) -> str:
@@ -49,25 +52,87 @@ def replace_batch(rows: DataFrame, root: str, table: str, stream: str, batch_id:
 
 
 def read_event_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A streamed table with its declared columns."""
-    layout = EVENT_LAYOUTS[table]
-    return spark.read.schema(ddl({**layout, BATCH: "string"})).parquet(f"{root}/{table}").select(*layout)
+    """A streamed table with its declared columns, each event once even while or after a compaction stops halfway."""
+    layout, home = EVENT_LAYOUTS[table], f"{root}/{table}"
+    rows = spark.read.schema(ddl({**layout, BATCH: "string"})).parquet(home)
+    notes = list(_notes(spark, home).values())
+    if notes:
+        rows = rows.join(_ignored(spark, notes), ["event_date", BATCH], "left_anti")
+    return rows.select(*layout)
+
+
+def _notes(spark: SparkSession, home: str) -> dict[str, str]:
+    """The note that holds of each unfinished compaction. Notes say which batches readers ignore.
+
+    ``pending`` names the compacted batch, ``ready`` the batches it stands for; once
+    there is a complete ``ready``, it holds.
+    """
+    found: dict[str, str] = {}
+    for folder in sorted(list_folders(spark, f"{home}/{NOTES}")):  # ready follows pending
+        if path_exists(spark, f"{folder}/_SUCCESS"):
+            found[folder.rpartition("/")[2].partition(".")[0]] = folder
+    return found
+
+
+def _ignored(spark: SparkSession, notes: list[str]) -> DataFrame:
+    return spark.read.schema(f"event_date date, {BATCH} string").parquet(*notes)
+
+
+def _note(spark: SparkSession, home: str, name: str, state: str, day: date, batches: Iterable[str]) -> None:
+    rows = spark.createDataFrame([(day, batch) for batch in sorted(batches)], f"event_date date, {BATCH} string")
+    rows.coalesce(1).write.parquet(f"{home}/{NOTES}/{name}.{state}")
+
+
+def _batch_folders(spark: SparkSession, table: str, home: str, day: date) -> list[tuple[str, str]]:
+    """Name and path of every batch folder of one day; no other day is listed."""
+    folders = [f"{home}/event_date={day.isoformat()}"]
+    for _ in EVENT_PARTITIONS[table]:
+        folders = [f for parent in folders for f in list_folders(spark, parent)]
+    return [(name, f) for f in folders for _, mark, name in [f.rpartition(f"{BATCH}=")] if mark]
+
+
+def _settled(batches: Iterable[str]) -> set[str]:
+    """Batches that no stream will write again: only its newest one can be handed out once more."""
+    batches, newest = set(batches), {}
+    for batch in batches:
+        stream, _, number = batch.rpartition("-")
+        if not batch.startswith(COMPACTED):
+            newest[stream] = max(newest.get(stream, 0), int(number))
+    return batches - {f"{stream}-{number}" for stream, number in newest.items()}
+
+
+def _finish(spark: SparkSession, home: str, table: str) -> None:
+    """Delete what the notes say is to be ignored, then the notes; may be repeated after a failure."""
+    for name, note in _notes(spark, home).items():
+        gone = {(r["event_date"], r[BATCH]) for r in _ignored(spark, [note]).collect()}  # one day's batch names
+        for day in {day for day, _ in gone}:
+            for batch, folder in _batch_folders(spark, table, home, day):
+                if (day, batch) in gone:
+                    remove_folder(spark, folder)
+        for state in ("pending", "ready"):
+            remove_folder(spark, f"{home}/{NOTES}/{name}.{state}")
 
 
 def compact_days(spark: SparkSession, root: str, table: str, days: Iterable[date]) -> None:
-    """Merge the small files of closed days into files of the advisory size.
+    """Merge the small files of some days into files of the advisory size; one run at a time for a table.
 
-    A day must not receive events any more. Its rows are staged in the shared
-    folder and then replace the day's folder; large partitions are split. The
-    staged copy goes once that is done, so a failed step leaves the whole day there.
+    The batches of a day are listed once. Their rows go to a new batch beside them,
+    and only those folders are deleted, so a batch that arrives meanwhile stays.
+    Each stream's newest batch of the day is left alone, as it may be written
+    again. Notes tell readers which side to ignore until all is done, and the
+    next run finishes or takes back what a failed one has left.
     """
-    partitions = [*EVENT_PARTITIONS[table][1:], BATCH]
+    home, inner = f"{root}/{table}", [*EVENT_PARTITIONS[table][1:], BATCH]
+    _finish(spark, home, table)
     for day in days:
-        rows = read_event_table(spark, root, table).filter(F.col("event_date") == F.lit(day)).drop("event_date")
-        merged = rows.withColumn(BATCH, F.lit(COMPACTED))
-        staging = scratch_path(spark, f"compact-{table}")
-        merged.write.parquet(staging)
-        staged = spark.read.schema(merged.schema).parquet(staging)
-        home = f"{root}/{table}/event_date={day.isoformat()}"
-        staged.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(home)
-        remove_folder(spark, staging)
+        settled = _settled(name for name, _ in _batch_folders(spark, table, home, day))
+        if len(settled) < 2:
+            continue
+        merged, of_day = f"{COMPACTED}-{uuid.uuid4().hex}", f"{home}/event_date={day.isoformat()}"
+        layout = ddl({**EVENT_LAYOUTS[table], BATCH: "string"})
+        rows = spark.read.schema(layout).option("basePath", home).parquet(of_day).filter(F.col(BATCH).isin(*settled))
+        _note(spark, home, merged, "pending", day, [merged])
+        arranged = rows.drop("event_date").withColumn(BATCH, F.lit(merged)).hint("rebalance", *inner)
+        arranged.write.mode("append").partitionBy(*inner).parquet(of_day)
+        _note(spark, home, merged, "ready", day, settled)
+        _finish(spark, home, table)

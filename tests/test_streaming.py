@@ -7,12 +7,14 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.schemas import PAYMENT_EVENT, SIGNAL_EVENT
+from ledgerlens.schemas import EVENT_LAYOUTS, PAYMENT_EVENT, SIGNAL_EVENT
+from ledgerlens.session import list_folders
 from ledgerlens.sources.events import drop_malformed, parse_payload, read_json_files, rejected_messages
+from ledgerlens.streaming import tables
 from ledgerlens.streaming.jobs import StreamConfig, start_aggregates, start_payments, start_signals, start_streams, stop_all
 from ledgerlens.streaming.progress import ProgressLog, progress_report
 from ledgerlens.streaming.routing import ROUTES, batch_router, route
-from ledgerlens.streaming.tables import compact_days, read_event_table, stream_of
+from ledgerlens.streaming.tables import compact_days, read_event_table, replace_batch, stream_of
 
 
 @pytest.fixture
@@ -100,7 +102,8 @@ def test_compaction_of_a_closed_day_between_batches(spark, lake):
     before = sorted(tuple(r) for r in table.selectExpr("event_id", "cast(event_date as string)", "coalesce(city, 'none')", "amount").collect())
     assert len(before) == 12 and len(files("01")) == 8 and len(files("02")) == 4
     compact_days(spark, cfg.root, "payment_transactions", [date(2024, 5, 1)])
-    assert len(files("01")) == 2 and len(files("02")) == 4
+    # Of each city one compacted file and one of the stream's newest batch, which may come again.
+    assert len(files("01")) == 4 and len(files("02")) == 4
     spark.catalog.refreshByPath(cfg.root)
     table = read_event_table(spark, cfg.root, "payment_transactions")
     assert sorted(tuple(r) for r in table.selectExpr("event_id", "cast(event_date as string)", "coalesce(city, 'none')", "amount").collect()) == before
@@ -109,6 +112,53 @@ def test_compaction_of_a_closed_day_between_batches(spark, lake):
     assert read_event_table(spark, cfg.root, "payment_transactions").count() == 13
 
 
+@pytest.mark.parametrize("stop", ["write", "ready", "delete", None])
+def test_compaction_keeps_every_event_once(spark, tmp_path, monkeypatch, stop):
+    """A late batch arrives, the newest one is replayed, and the run may stop at any step."""
+    root, table, day = str(tmp_path), "customer_events", date(2024, 5, 1)
+    columns = EVENT_LAYOUTS[table]
+
+    def batch(n):
+        values = {"event_id": F.lit(str(n)), "event_date": F.lit("2024-05-01")}
+        rows = spark.range(1).select(*(values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()))
+        replace_batch(rows, root, table, "s", n)
+
+    def events():
+        return sorted(r.event_id for r in read_event_table(spark, root, table).collect())
+
+    for n in range(4):
+        batch(n)
+    note = tables._note
+
+    def noted(spark, home, name, state, day, batches):
+        if state == "ready":
+            batch(9)
+            if stop == "write":
+                raise RuntimeError(stop)
+        note(spark, home, name, state, day, batches)
+        if state == stop:
+            raise RuntimeError(stop)
+
+    def removed(spark, folder):
+        raise RuntimeError("delete")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_note", noted)
+        if stop == "delete":
+            patched.setattr(tables, "remove_folder", removed)
+        if stop is None:
+            compact_days(spark, root, table, [day])
+        else:
+            with pytest.raises(RuntimeError):
+                compact_days(spark, root, table, [day])
+    assert events() == ["0", "1", "2", "3", "9"]
+    batch(9)
+    assert events() == ["0", "1", "2", "3", "9"]
+    compact_days(spark, root, table, [day])
+    assert events() == ["0", "1", "2", "3", "9"]
+    assert list_folders(spark, f"{root}/{table}/{tables.NOTES}") == []
+
+
 def test_windows_with_late_events(spark, lake):
     """A window is written once the watermark passes its end; later events for it are dropped."""
     inbox, cfg = lake
