@@ -15,13 +15,14 @@ from ledgerlens.schemas import ACCOUNT_FILE, CUSTOMER_MASTER, ddl
 def read_accounts(spark: SparkSession, path: str, pattern: str = "*.csv", batch_ts: datetime | None = None) -> DataFrame:
     """Account reference files: a full snapshot with its lineage.
 
-    Malformed lines are dropped rather than read as NULLs, so that a bad file
-    cannot blank out good rows. The files carry no change time, so the run's own
-    time stands in: the last run wins.
+    A line that does not parse is left out; it must not blank out an account. A
+    file whose header names other columns, or the same in another order, is an
+    error. Without a change time in the files, the run's own stands in: the last run wins.
     """
     rows = (
         spark.read.schema(ddl(ACCOUNT_FILE))
         .option("header", "true")
+        .option("enforceSchema", "false")
         .option("mode", "DROPMALFORMED")
         .option("pathGlobFilter", pattern)
         .csv(path)
@@ -39,13 +40,13 @@ def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
     """The 25-column customer file; empty fields are NULL.
 
     Columns are found by the header, whatever their order. A header without all
-    of them is an error, as is a file without rows.
+    of them is an error, as are files whose headers differ and a file without rows.
     """
     header = spark.read.option("header", "true").csv(path).columns
     missing = [c for c in CUSTOMER_MASTER if c not in header]
     if missing:
         raise ValueError(f"{path} lacks column(s) {missing}")
-    text = spark.read.schema(ddl({c: "string" for c in header})).option("header", "true").option("nullValue", "").csv(path)
+    text = spark.read.schema(ddl({c: "string" for c in header})).options(header="true", enforceSchema="false", nullValue="").csv(path)
     flags = {c for c, kind in CUSTOMER_MASTER.items() if kind == "boolean"}
     typed = text.select(
         *(

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from ledgerlens.schemas import CUSTOMER_MASTER, EVENT_TABLES, PAYMENT_WINDOW
+from ledgerlens.schemas import ACCOUNT_FILE, CUSTOMER_MASTER, EVENT_TABLES, PAYMENT_WINDOW
 from ledgerlens.session import scratch_path, shared_dir
 from ledgerlens.sources import files, relational
 from ledgerlens.sources.tables import append, check_schema, ensure_table
@@ -116,3 +116,14 @@ def test_a_cluster_needs_the_shared_folder():
     assert shared_dir(Unset("local[2]")) == shared_dir(Unset("local[2]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Unset("spark://host:7077"))
+
+
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    for folder, name, columns in (("accounts", "read_accounts", list(ACCOUNT_FILE)), ("master", "read_master_csv", list(CUSTOMER_MASTER))):
+        home = tmp_path / folder
+        home.mkdir()
+        (home / "a.csv").write_text(",".join(columns) + "\n" + ",".join("1" for _ in columns) + "\n")
+        assert getattr(files, name)(spark, str(home)).count() == 1
+        (home / "b.csv").write_text(",".join([columns[0], *reversed(columns[1:])]) + "\n" + ",".join("2" for _ in columns) + "\n")
+        with pytest.raises(Exception, match="header|Header"):
+            getattr(files, name)(spark, str(home)).collect()
