@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,7 +48,8 @@ class ProgressLog(StreamingQueryListener):
         self._note(str(event.id), None, None, event.timestamp, 0, 0.0, None, "IDLE")
 
     def onQueryTerminated(self, event) -> None:
-        self._note(str(event.id), None, None, None, 0, 0.0, None, "FAILED" if event.exception else "STOPPED")
+        now = datetime.now(timezone.utc).isoformat(timespec="milliseconds")
+        self._note(str(event.id), None, None, now, 0, 0.0, None, "FAILED" if event.exception else "STOPPED")
 
     def _note(self, query_id, name, batch_id, moment, rows, rate, spent, status) -> None:
         with self._lock:
@@ -78,9 +80,13 @@ def progress_report(progress: DataFrame, idle_triggers: int = 3) -> DataFrame:
     """Per query: rows and rate in total, its last state, and whether it runs without receiving anything.
 
     ``starved`` means that none of the last ``idle_triggers`` triggers had a row,
-    which is how a wrong topic or an idle producer shows.
+    which is how a wrong topic or an idle producer shows. A query keeps its id when
+    it is started again, so its newest row tells its state; an end without a time
+    counts as newest.
     """
-    triggers = progress.filter(F.col("trigger_at").isNotNull())
+    ends = F.col("status").isin("FAILED", "STOPPED")
+    triggers = progress.filter(~ends & F.col("trigger_at").isNotNull())
+    never = F.col("trigger_at").isNull() & ends
     newest = Window.partitionBy("query_id").orderBy(
         F.col("trigger_at").desc(), F.col("batch_id").desc_nulls_last(), F.col("rows_in").desc()
     )
@@ -92,12 +98,12 @@ def progress_report(progress: DataFrame, idle_triggers: int = 3) -> DataFrame:
     )
     totals = progress.groupBy("query_id").agg(
         F.max("query_name").alias("query_name"),
-        F.count("trigger_at").alias("triggers"),
+        F.count_if(~ends & F.col("trigger_at").isNotNull()).alias("triggers"),
         F.sum("rows_in").alias("rows_in"),
         F.max("rows_per_second").alias("peak_rows_per_second"),
         F.max("trigger_ms").alias("slowest_trigger_ms"),
-        F.max("trigger_at").alias("last_trigger_at"),
-        F.max(F.when(F.col("status").isin("FAILED", "STOPPED"), F.col("status"))).alias("_ended"),
+        F.max(F.when(~ends, F.col("trigger_at"))).alias("last_trigger_at"),
+        F.max_by(F.when(ends, F.col("status")), F.struct(never, "trigger_at", ends, "status")).alias("_ended"),
     )
     running = F.col("_ended").isNull()
     starved = running & (F.col("_recent_triggers") >= idle_triggers) & (F.col("_recent_rows") == 0)

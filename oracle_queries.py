@@ -395,13 +395,15 @@ ORACLE: dict[str, str] = {
     ),
     "progress_report": _q(
         "ev",
-        """SELECT concat('q', user_id) AS query_id, concat('stream ', user_id) AS query_name, count(*) AS triggers,
+        """SELECT concat('q', user_id) AS query_id, concat('stream ', user_id) AS query_name, count(*) FILTER (NOT ends) AS triggers,
                   CAST(sum(CASE WHEN k >= 40 THEN k ELSE 0 END) AS BIGINT) AS rows_in, max(value) AS peak_rows_per_second,
-                  CAST(max(k) AS BIGINT) AS slowest_trigger_ms, max(ts) AS last_trigger_at,
-                  CASE WHEN bool_or(event_type = 'signup' AND k > 97) THEN 'FAILED' ELSE 'RUNNING' END AS status,
-                  NOT bool_or(event_type = 'signup' AND k > 97) AND count(*) >= 3
-                      AND sum(CASE WHEN newness <= 3 AND k >= 40 THEN k ELSE 0 END) = 0 AS starved
-           FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS newness FROM ev)
+                  CAST(max(k) AS BIGINT) AS slowest_trigger_ms, max(ts) FILTER (NOT ends) AS last_trigger_at,
+                  CASE WHEN bool_or(ends AND latest = 1) THEN 'FAILED' ELSE 'RUNNING' END AS status,
+                  NOT bool_or(ends AND latest = 1) AND count(*) FILTER (NOT ends) >= 3
+                      AND coalesce(sum(k) FILTER (NOT ends AND newness <= 3 AND k >= 40), 0) = 0 AS starved
+           FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ends ORDER BY ts DESC, event_id DESC) AS newness,
+                        row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, ends DESC) AS latest
+                 FROM (SELECT *, coalesce(event_type = 'signup' AND k > 97, false) AS ends FROM ev))
            GROUP BY user_id""",
     ),
     "route_fraud": _q(

@@ -257,6 +257,15 @@ def test_a_stream_without_input_is_flagged(spark):
     assert got == {"dry": ("RUNNING", True, 5), "busy": ("RUNNING", False, 1), "new": ("RUNNING", False, 0), "gone": ("FAILED", False, 0)}
 
 
+def test_the_newest_run_tells_the_state(spark):
+    rows = [("q1", "again", 0, "2024-05-02 10:00:00", 9, 0.0, 10, "RUNNING"), ("q1", "again", None, "2024-05-02 10:01:00", 0, 0.0, None, "STOPPED")]
+    rows += [("q1", "again", i, f"2024-05-02 11:0{i}:00", 0, 0.0, 10, "RUNNING") for i in range(4)]
+    rows += [("q2", "failed", None, "2024-05-02 10:01:00", 0, 0.0, None, "STOPPED"), ("q2", "failed", None, "2024-05-02 10:02:00", 0, 0.0, None, "FAILED")]
+    rows += [("q3", "stopped", None, "2024-05-02 10:01:00", 0, 0.0, None, "FAILED"), ("q3", "stopped", None, "2024-05-02 10:02:00", 0, 0.0, None, "STOPPED")]
+    got = {r.query_name: (r.status, r.starved, r.triggers) for r in progress_report(ProgressLog._frame(spark, rows), 3).collect()}
+    assert got == {"again": ("RUNNING", True, 5), "failed": ("FAILED", False, 0), "stopped": ("STOPPED", False, 0)}
+
+
 def test_a_failing_stream_raises(spark, lake):
     inbox, cfg = lake
     drop(inbox, "a.json", signals())
