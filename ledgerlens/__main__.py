@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--starting-offsets", choices=["latest", "earliest"], default="latest")
     stream.add_argument("--max-offsets", type=int, default=5000)
     stream.add_argument("--trigger-seconds", type=int, default=30)
+    stream.add_argument("--progress-table", help="table that receives one row per trigger")
 
     batch = jobs.add_parser("batch", help="ingest customers, accounts and the daily roll-up")
     batch.add_argument("--source", choices=["all", "customers", "accounts", "payments_daily"], default="all")
@@ -164,7 +165,7 @@ def main(argv: list[str] | None = None) -> int:
         cfg = StreamConfig(
             args.root, args.checkpoints, args.brokers, args.starting_offsets, args.max_offsets, args.trigger_seconds
         )
-        run_streams(spark, cfg, STREAMS if args.stream == "all" else [args.stream])
+        run_streams(spark, cfg, STREAMS if args.stream == "all" else [args.stream], args.progress_table)
         return 0
     if args.job == "compact":
         compact_days(spark, args.root.rstrip("/"), args.table, args.day)

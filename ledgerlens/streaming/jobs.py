@@ -23,6 +23,7 @@ from ledgerlens.sources.events import (
     with_arrival,
     with_event_date,
 )
+from ledgerlens.streaming.progress import ProgressLog
 from ledgerlens.streaming.routing import batch_router
 from ledgerlens.streaming.tables import replace_batch, stream_of
 
@@ -126,12 +127,29 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
         raise RuntimeError("; ".join(errors))
 
 
-def run_streams(spark: SparkSession, cfg: StreamConfig, names: Iterable[str] = tuple(STREAMS)) -> None:
-    """Start the named streams and wait. Raises as soon as one fails; stops all on SIGTERM or SIGINT."""
-    queries = start_streams(topic_reader(spark, cfg), cfg, names)
-    for number in (signal.SIGTERM, signal.SIGINT):
-        signal.signal(number, lambda *_: stop_all(queries.values()))
+def run_streams(
+    spark: SparkSession, cfg: StreamConfig, names: Iterable[str] = tuple(STREAMS), progress_table: str | None = None, flush_seconds: int = 60
+) -> None:
+    """Start the named streams and wait. Raises as soon as one fails; stops all on SIGTERM or SIGINT.
+
+    Their progress goes to ``progress_table`` every ``flush_seconds`` and at the end.
+    """
+    log = ProgressLog()
+    if progress_table:
+        spark.streams.addListener(log)
+    queries: Mapping[str, StreamingQuery] = {}
     try:
-        spark.streams.awaitAnyTermination()
+        queries = start_streams(topic_reader(spark, cfg), cfg, names)
+        for number in (signal.SIGTERM, signal.SIGINT):
+            signal.signal(number, lambda *_: stop_all(queries.values()))
+        while not spark.streams.awaitAnyTermination(flush_seconds):
+            if progress_table:
+                log.flush(spark, progress_table)
     finally:
-        stop_all(queries.values())
+        try:
+            stop_all(queries.values())
+        finally:
+            if progress_table:
+                spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+                spark.streams.removeListener(log)
+                log.flush(spark, progress_table)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.schemas import EVENT_LAYOUTS, PAYMENT_EVENT, SIGNAL_EVENT
 from ledgerlens.session import list_folders
 from ledgerlens.sources.events import drop_malformed, parse_payload, read_json_files, rejected_messages
-from ledgerlens.streaming import tables
+from ledgerlens.streaming import jobs, tables
 from ledgerlens.streaming.jobs import StreamConfig, start_aggregates, start_payments, start_signals, start_streams, stop_all
 from ledgerlens.streaming.progress import ProgressLog, progress_report
 from ledgerlens.streaming.routing import ROUTES, batch_router, route
@@ -257,6 +257,17 @@ def test_a_stream_without_input_is_flagged(spark):
     assert got == {"dry": ("RUNNING", True, 5), "busy": ("RUNNING", False, 1), "new": ("RUNNING", False, 0), "gone": ("FAILED", False, 0)}
 
 
+def test_the_stream_job_writes_its_progress(spark, lake, monkeypatch):
+    inbox, cfg = lake
+    drop(inbox, "a.json", [payment("1", "10:00:00"), payment("2", "10:01:00")])
+    monkeypatch.setattr(jobs, "topic_reader", lambda spark, cfg: lambda topics: read_json_files(spark, str(inbox), 1))
+    monkeypatch.setattr(jobs.signal, "signal", lambda *_: None)
+    spark.streams.resetTerminated()
+    jobs.run_streams(spark, cfg, ["payments"], "stream_job.progress", 1)
+    report = progress_report(spark.table("stream_job.progress")).collect()
+    assert [(r.query_name, r.status, r.rows_in) for r in report] == [("payment_transactions", "STOPPED", 2)]
+
+
 def test_the_newest_run_tells_the_state(spark):
     rows = [("q1", "again", 0, "2024-05-02 10:00:00", 9, 0.0, 10, "RUNNING"), ("q1", "again", None, "2024-05-02 10:01:00", 0, 0.0, None, "STOPPED")]
     rows += [("q1", "again", i, f"2024-05-02 11:0{i}:00", 0, 0.0, 10, "RUNNING") for i in range(4)]
