@@ -2,11 +2,12 @@
 
 1. Document counts of all licence words are taken over all documents; they give each
    word's weight (inverse document frequency, in thousandths).
-2. A file looks up its ``RAREST`` licence words of highest weight in the postings of the
-   templates. Places of file and template are subtracted; words of one template that
-   agree in the difference stand as they stand in the template. Their weight, against
-   that of the template's own rarest words, is the score.
-3. A template that scores ``ENOUGH`` counts if a phrase it must hold stands in the file.
+2. A file that holds a phrase some template must hold looks up all its licence words in
+   the postings of those templates. Places of file and template are subtracted; words of
+   one template that agree in the difference stand as they stand in the template. Their
+   weight, against that of the template's own ``RAREST`` words, is the score: it depends
+   on no other template and on no other word of the file.
+3. A template that scores ``ENOUGH`` counts.
 
 Base labels come from phrases alone. Files without the first word of any phrase skip
 all steps but the counting; all steps are DataFrame functions.
@@ -55,6 +56,7 @@ TEMPLATES = [
     Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 ]
 
+#: Words of a template, those of highest weight, whose weight together is a full score.
 RAREST = 12
 #: Part of a template's weight that must be found in place, in hundredths.
 ENOUGH = 60
@@ -108,18 +110,17 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     # As many rows as the templates have words.
     index = spark.createDataFrame(postings, "word string, template int, at int, weight bigint, best bigint")
 
-    pairs = ", ".join(f"'{w}', {weight[w]}L" for w in vocabulary)
-    rarest = F.expr(
-        f"slice(transform(sort_array(transform(known, x -> named_struct('d', -map({pairs})[x], 'x', x))), e -> e.x), 1, {RAREST})"
-    )
     candidates = files.filter("w IS NOT NULL")
     base = F.array_sort(F.flatten(F.array(*(F.expr(_places("w", p)) for p in BASE_PHRASES))))
     base_labels = F.filter(F.array(*(F.when(F.size(F.expr(_places("w", p))) > 0, F.lit(label)) for p, label in BASE_PHRASES.items())), lambda x: x.isNotNull())
     verified = F.array(*(F.size(F.expr(_places("w", t.must_hold))) > 0 for t in TEMPLATES))
-    judged = staged(candidates.select("row", "w", base.alias("base"), base_labels.alias("base_labels"), verified.alias("verified"), rarest.alias("rarest")), "license-candidates")
+    judged = staged(candidates.select("row", "w", base.alias("base"), base_labels.alias("base_labels"), verified.alias("verified")), "license-candidates")
 
-    looked_up = judged.select("row", "rarest", F.posexplode("w").alias("place", "word")).filter(F.array_contains("rarest", F.col("word")))
-    aligned = looked_up.join(F.broadcast(index), "word").groupBy("row", "template", (F.col("place") - F.col("at")).alias("shift"))
+    # Templates whose phrase is missing cannot count, so only the others are aligned.
+    possible = judged.filter(F.exists("verified", lambda v: v))
+    looked_up = possible.select("row", "verified", F.posexplode("w").alias("place", "word")).filter(f"word IN ({listed})")
+    at_word = F.broadcast(index.withColumnRenamed("word", "_word"))
+    aligned = looked_up.join(at_word, (F.col("word") == F.col("_word")) & F.get("verified", F.col("template"))).groupBy("row", "template", (F.col("place") - F.col("at")).alias("shift"))
     sums = aligned.agg(F.sum("weight").alias("weight"), F.max("best").alias("best"))
     scores = sums.withColumn("score", F.least(F.lit(1.0), F.col("weight") / F.col("best")))
     one = Window.partitionBy("row", "template").orderBy(F.col("score").desc(), "shift")
@@ -128,8 +129,8 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     entry = F.struct(F.get(label_of, F.col("template")).alias("label"), F.col("shift").alias("place"), "score", "template")
     per_file = staged(scores.groupBy("row").agg(F.array_sort(F.collect_list(entry)).alias("found")), "license-scores")
 
-    joined = judged.select("row", "base", "base_labels", "verified").join(per_file, "row", "left")
-    passed = F.filter(F.coalesce("found", F.array()), lambda m: (m["score"] * 100 >= ENOUGH) & F.get(F.col("verified"), m["template"]))
+    joined = judged.select("row", "base", "base_labels").join(per_file, "row", "left")
+    passed = F.filter(F.coalesce("found", F.array()), lambda m: m["score"] * 100 >= ENOUGH)
     joined = joined.withColumn("matches", passed)
     results = joined.select(
         "row",

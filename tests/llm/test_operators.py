@@ -193,6 +193,23 @@ def test_licenses_are_recognised_by_position(spark):
     assert labels == {0: "bsd", 1: "", 2: "cc-by-nc", 3: ""}
 
 
+def test_every_license_of_a_text_is_found(spark):
+    notices = [t.text for t in licenses.TEMPLATES]
+    pairs = [f"{a} and also {b}" for a in notices for b in notices]
+    whole = " or ".join(notices)
+    vocabulary = " ".join(sorted({w for n in notices for w in n.split()}))
+    texts = [*pairs, whole, *(f"{n} {vocabulary} {vocabulary}" for n in notices), "prose without any"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r["doc_id"]: r for r in licenses.scanned(docs).collect()}
+    labels = [t.label for t in licenses.TEMPLATES]
+    for k, text in enumerate(texts):
+        held = {label for n, label in zip(notices, labels, strict=True) if n in text}
+        assert held <= set(found[k]["labels"].split(",")), (text, found[k]["labels"])
+        assert not held or found[k]["score"] == 1.0
+    assert {m["template"] for m in found[len(pairs)]["matches"]} == set(range(len(notices)))
+    assert found[len(texts) - 1]["labels"] == ""
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     vectors = rng.normal(0, 0.3, (700, 24))
