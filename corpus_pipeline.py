@@ -40,7 +40,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sequences, with their token ids."""
-    return packing.packed(docs)
+    return packing.packed(docs, added_tokens=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -4,9 +4,13 @@ A document of T tokens gives T div 1024 pieces of 1024 and one for each set bit
 rest, longest first. A piece is a sequence of its own in the bucket of its length, so
 no sequence crosses documents and nothing is padded.
 
-Tokens come from the byte-level BPE ranks of ``tokenizer`` (ids are those of the
-``tokenizers`` file of the same vocabulary; special tokens' names are plain text), and
-a separator id ends each document. A null or empty text is the separator alone. Null
+Ids are those of the ``tokenizers`` file of the vocabulary, and a separator id ends each
+document. The file's ranks, which ``tiktoken`` reads, give the same ids faster; texts for
+which they do not go through the file itself: those with a run of whitespace of
+``LONG_RUN``, which can exhaust tiktoken's stack, and with ``added_tokens`` those that
+hold an added token's name, such as <|endoftext|>, which is then one id. Without
+``added_tokens`` such a name is plain text (``encode_special_tokens`` of ``tokenizers``);
+the registered query and the pipeline ask for them, as the file's own setting does. A null or empty text is the separator alone. Null
 or repeated ids are legal, equal rows give equal pieces in sequences of their own, an
 empty table gives an empty result, and no other column is read.
 """
@@ -14,9 +18,12 @@ empty table gives an empty result, and no other column is read.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +34,52 @@ from ledgerlens.llm.staging import over_batches, staged
 
 MOST = 1024
 END_ID = 0
+#: Characters of whitespace in a run; tiktoken fails somewhere between 600,000 and 1,000,000.
+LONG_RUN = 1 << 16
+_RUNS = re.compile(r"\s{2,}")
 #: Sequences of one length are numbered in so many groups at once.
 GROUPS = 256
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str | None):
-    """The tokenizer of a ranks file; None: the public 50k byte-level vocabulary where the task runs."""
+def has_long_run(text: str) -> bool:
+    """A run that long covers one of the places looked at first."""
+    if not any(map(str.isspace, text[LONG_RUN - 1 :: LONG_RUN])):
+        return False
+    return any(m.end() - m.start() >= LONG_RUN for m in _RUNS.finditer(text))
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str | None, added_tokens: bool) -> Callable[[str], list[int]]:
+    """Ids of a text by a ranks file; None: the public 50k byte-level vocabulary where the task runs.
+
+    The ``tokenizers`` file lies beside it, with the ending .json; without one there are no
+    added tokens.
+    """
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
-    with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as ranks_file:
+    ranks_path = Path(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    with open(ranks_path, "rb") as ranks_file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks_file)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    whole_path = ranks_path.with_suffix(".json")
+    names = []
+    if added_tokens and whole_path.exists():
+        names = [t["content"] for t in json.loads(whole_path.read_text(encoding="utf-8"))["added_tokens"]]
+
+    @lru_cache(maxsize=1)
+    def whole() -> Tokenizer:
+        tokenizer = Tokenizer.from_file(str(whole_path))
+        tokenizer.encode_special_tokens = not added_tokens
+        return tokenizer
+
+    def encode(text: str) -> list[int]:
+        if any(name in text for name in names) or has_long_run(text):
+            return whole().encode(text, add_special_tokens=False).ids
+        return fast(text)
+
+    return encode
 
 
 def piece_lengths(tokens: int, most: int = MOST) -> list[int]:
@@ -47,7 +87,7 @@ def piece_lengths(tokens: int, most: int = MOST) -> list[int]:
     return [most] * (tokens // most) + [1 << bit for bit in range(rest.bit_length() - 1, -1, -1) if rest >> bit & 1]
 
 
-def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, with_ids: bool = True) -> DataFrame:
+def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, with_ids: bool = True, added_tokens: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens and, unless told otherwise, the ids of each piece."""
     picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     columns = [picked.schema["doc_id"].dataType.simpleString(), "bigint", "bigint", "bigint", "bigint"]
@@ -55,7 +95,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
     schema = ", ".join(f"{n} {t}" for n, t in zip(names, columns, strict=True)) + (", ids array<int>" if with_ids else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_ordinary
+        encode = encoder(tokenizer, added_tokens)
         for batch in batches:
             owner, rows, ids_of = [], [], []
             for i, one in enumerate(batch.column("text")):
@@ -76,13 +116,13 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
     return over_batches(picked, cut, schema)
 
 
-def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, with_ids: bool = True) -> DataFrame:
+def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, with_ids: bool = True, added_tokens: bool = False) -> DataFrame:
     """``pieces`` with sequence_id and offset: sequences are numbered through, the longest bucket first.
 
     Each bucket is numbered in ``GROUPS`` groups of pieces; what reaches the driver is one
     count for each bucket and group.
     """
-    cut = pieces(docs, doc_id, text, tokenizer, with_ids)
+    cut = pieces(docs, doc_id, text, tokenizer, with_ids, added_tokens)
     grouped = staged(cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(GROUPS)).cast("int")), "pieces")
     counts = sorted(
         ((r["length"], r["_group"], r["n"]) for r in grouped.groupBy("length", "_group").agg(F.count("*").alias("n")).collect()),

@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.packed(_table(spark, sf_dir, "documents"), with_ids=False)
+    packed = packing.packed(_table(spark, sf_dir, "documents"), with_ids=False, added_tokens=True)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

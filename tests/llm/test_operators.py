@@ -149,6 +149,39 @@ def test_packing_round_trip(sample, nothing):
     assert packing.packed(nothing).count() == 0
 
 
+def test_packing_gives_the_ids_of_the_whole_tokenizer(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from ledgerlens.llm import queries
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "<|endoftext| >", "plain  text", "a" + " " * 1_100_000 + "b", "\n" * 1_100_000]
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert want[0] == [31373, 220, 50256, 995, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    joined = {}
+    for r in sorted(corpus_pipeline.packing_stage(spark, docs, "").collect(), key=lambda r: (r["doc_id"], r["start"])):
+        joined.setdefault(r["doc_id"], []).extend(r["ids"])
+    assert joined == dict(enumerate(want))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in queries.op1_packing(spark, str(tmp_path)).collect())
+    assert found == Counter(
+        (i, at, n, zlib.crc32(np.array(ids[at : at + n], "<u4").tobytes()), len(ids))
+        for i, ids in enumerate(want)
+        for at, n in zip(np.cumsum([0, *brute.pieces(len(ids))]).tolist(), brute.pieces(len(ids)), strict=False)
+    )
+
+
+def test_long_runs_are_seen_wherever_they_stand(monkeypatch):
+    monkeypatch.setattr(packing, "LONG_RUN", 7)
+    for before in range(20):
+        for n in range(1, 12):
+            assert packing.has_long_run("x" * before + " \t\n\u3000" * 3 * (n > 10) + " " * n + "y" * 9) == (n >= 7)
+    assert not packing.has_long_run("x      x      x      x")
+
+
 def test_sharding(sample, nothing):
     rows = _rows(sample)
     found = sharding.sharded(sample, shards=4).collect()
