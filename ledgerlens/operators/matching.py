@@ -70,12 +70,13 @@ def match_rate_accounts(sources: Mapping[str, DataFrame], master: DataFrame) ->
 def keys_in_both(left: DataFrame, right: DataFrame, left_name: str, right_name: str, sample: int | None = None) -> DataFrame:
     """One row: how many distinct accounts of ``left`` occur in ``right`` too.
 
-    Counts all accounts; ``sample`` looks at a limited number of rows per side for a quick estimate.
+    Counts all accounts; ``sample`` estimates the rate from so many accounts of ``left``, those
+    of least hash, each held against all of ``right``. Reruns pick the same accounts.
     """
-    left_rows, right_keys = left.select("account_id"), right.select("account_id").distinct()
+    left_keys, right_keys = left.select("account_id").distinct(), right.select("account_id").distinct()
     if sample is not None:
-        left_rows, right_keys = left_rows.limit(sample), right_keys.limit(sample)
-    flagged = left_rows.distinct().join(right_keys.withColumn("found", F.lit(True)), "account_id", "left")
+        left_keys = left_keys.orderBy(F.xxhash64("account_id"), "account_id").limit(sample)
+    flagged = left_keys.join(right_keys.withColumn("found", F.lit(True)), "account_id", "left")
     counted = flagged.agg(F.count("*").alias("distinct_left_accounts"), F.count("found").alias("matched_accounts"))
     rate = F.col("matched_accounts") / F.greatest("distinct_left_accounts", F.lit(1))
     return counted.select(

@@ -125,6 +125,15 @@ def test_keys_in_both(spark):
     assert m.keys_in_both(left, right, "l", "r", sample=2).first().distinct_left_accounts <= 2
 
 
+def test_sampled_keys_meet_the_whole_other_side(spark):
+    left = spark.range(1000).selectExpr("CAST(id AS string) AS account_id")
+    right = spark.range(1000).selectExpr("CAST(999 - id AS string) AS account_id")
+    assert rows(m.keys_in_both(left, right, "l", "r", sample=100)) == [("l", "r", 100, 100, 1.0)]
+    half = right.filter("CAST(account_id AS int) >= 500")
+    assert 30 <= m.keys_in_both(left, half, "l", "r", sample=100).first().matched_accounts <= 70
+    assert rows(m.keys_in_both(left, half, "l", "r", sample=5000)) == [("l", "r", 1000, 500, 0.5)]
+
+
 def test_weighted_and_plain_risk(spark):
     fact = spark.createDataFrame(
         [(DAY, ACC1, 1, 10.0, 0.1), (DAY, ACC2, 9, 90.0, 0.9), (DAY, ACC3, 5, 1.0, None)],
