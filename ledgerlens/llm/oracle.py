@@ -113,4 +113,72 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM docs LEFT JOIN kept USING (r)
 """
 
-ORACLE = {"op2_substring_dedup": SUBSTRINGS, "op3_mixing": MIXING, "op5_quality_rules": QUALITY, "op8_exact_top_k": TOP_K}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED = f"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS r, doc_id, {_LOWERED} AS t FROM documents
+), terms AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(t, '{_TERM}')) AS term FROM lowered
+), postings AS (
+  SELECT r, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), lengths AS (
+  SELECT r, sum(tf)::BIGINT AS n FROM postings GROUP BY r
+), total AS (
+  SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM lengths
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, total GROUP BY term, nn
+), items AS (
+  SELECT q, item_id, unnest(regexp_extract_all({_LOWERED}, '{_TERM}')) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark))
+), asked AS (
+  SELECT q, item_id, term, count(*) AS times FROM items GROUP BY ALL
+), scored AS (
+  SELECT q, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (r), total GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def _codes(rounds: int) -> str:
+    """Codebooks round by round, each as a table of its own."""
+    out = ["""WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pieces AS MATERIALIZED (
+  SELECT r, p, list_slice(v, p * len(v) // 8 + 1, (p + 1) * len(v) // 8) AS x FROM kept, range(8) AS t(p)
+), book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM pieces WHERE r <= 16)"""]
+    near = """near{k} AS MATERIALIZED (
+  SELECT r, p, min(struct_pack(d := list_dot_product(a.x, a.x) + list_dot_product(b.x, b.x) - 2 * list_dot_product(a.x, b.x), e := b.e)) AS best
+  FROM pieces a JOIN book{k} b USING (p) GROUP BY r, p
+)"""
+    for k in range(rounds):
+        out.append(near.format(k=k))
+        out.append(f"""means{k} AS (
+  SELECT p, e, list(m ORDER BY i) AS x FROM (
+    SELECT p, best.e AS e, i, floor(sum(x[i]) / count(*)) AS m FROM near{k} JOIN pieces USING (r, p), unnest(range(1, len(x) + 1)) AS t(i) GROUP BY ALL
+  ) GROUP BY p, e
+), book{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN means{k} m USING (p, e))""")
+    out.append(near.format(k=rounds))
+    return ",\n".join(out) + f"""
+, digest AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(x, lambda c: c::BIGINT), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+), coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY r
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest"""
+
+
+ORACLE = {
+    "op2_substring_dedup": SUBSTRINGS,
+    "op3_mixing": MIXING,
+    "op5_quality_rules": QUALITY,
+    "op8_exact_top_k": TOP_K,
+    "op12_ranked_search": RANKED,
+    "op13_orchard": _codes(6),
+}

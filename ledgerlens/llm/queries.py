@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import licenses, minhash, mixing, packing, quality, sharding, substrings, suffixes, topk, toxicity
+from ledgerlens.llm import licenses, minhash, mixing, orchard, packing, personal, quality, ranked, sharding, substrings, suffixes, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,24 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.scanned(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in personal.KINDS]
+    return found.select("doc_id", *counts, F.sha2(personal.listed(base), 256).alias("base_sha256"), personal.listed(F.col("spans")).alias("spans"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("embedding", topk.quantised(F.col("embedding"), 4096))
+    codes, model = orchard.compressed(vectors)
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return codes.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(model.sha256()).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
@@ -76,6 +94,9 @@ def queries() -> dict[str, Query]:
         "op8_exact_top_k": op8_exact_top_k,
         "op9_sharding": op9_sharding,
         "op10_minhash": op10_minhash,
+        "op11_pii": op11_pii,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_orchard": op13_orchard,
     }
 
 

@@ -129,3 +129,91 @@ def mix_copies(rows):
         for i in mine:
             copies[i] += rank[i] <= last
     return copies
+
+
+def nearest_entry(point, book):
+    gaps = [sum((int(a) - int(b)) ** 2 for a, b in zip(point, entry, strict=True)) for entry in book]
+    return gaps.index(min(gaps)), min(gaps)
+
+
+def codebooks(vectors, parts=8, entries=16, rounds=6):
+    """Codes, errors and codebooks of integer vectors in order of their ids, one part at a time."""
+    size = len(vectors[0])
+    codes, errors, books = [[] for _ in vectors], [0] * len(vectors), []
+    for p in range(parts):
+        cut = [v[size * p // parts : size * (p + 1) // parts] for v in vectors]
+        book = [list(x) for x in cut[:entries]]
+        for _ in range(rounds):
+            at = [nearest_entry(x, book)[0] for x in cut]
+            for e in range(len(book)):
+                mine = [x for x, k in zip(cut, at, strict=True) if k == e]
+                if mine:
+                    book[e] = [sum(c) // len(mine) for c in zip(*mine, strict=True)]
+        books.append(book)
+        for i, x in enumerate(cut):
+            e, gap = nearest_entry(x, book)
+            codes[i].append(e)
+            errors[i] += gap
+    return codes, errors, books
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def best_documents(docs, text, top=20):
+    """(doc_id, score) of the best of (doc_id, text) rows for a query text."""
+    bags = [Counter(terms(t)) for _, t in docs]
+    lengths = [sum(b.values()) for b in bags]
+    n, total = sum(x > 0 for x in lengths), sum(lengths)
+    found = []
+    asked = Counter(terms(text))
+    weight = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * sum(t in b for b in bags) + 1))) for t in asked}
+    for (doc_id, _), bag, length in zip(docs, bags, lengths, strict=True):
+        m = 75 + 25 * length * n // total if total else 0
+        score = sum(q * weight[t] * (1000000000 * bag[t] // (1000 * bag[t] + 12 * m)) for t, q in asked.items() if t in bag)
+        if score > 0:
+            found.append((-score, doc_id is None, doc_id or 0))
+    return [(None if null else i, -s) for s, null, i in sorted(found)[:top]]
+
+
+def personal_spans(text):
+    """(start, kind, end) by the patterns as they are written."""
+    text = text or ""
+    kinds = ["email", "ip", "card", "phone"]
+    patterns = [
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]",
+    ]
+    out = []
+    for k, pattern in enumerate(patterns):
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m[0] if c.isdigit()]
+            doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+            if k == 1 and any(float(x) > 255 for x in m[0].split(".")) or k == 2 and not (12 <= len(digits) <= 19 and sum(doubled) % 10 == 0) or k == 3 and not 9 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), k, m.end()))
+    return [(a, kinds[k], b) for a, k, b in sorted(out)]
+
+
+def loopy(own, chain_edges, skip_edges, chain, skip, sweeps, damp):
+    """Chances of each label by message passing, one message at a time."""
+    edges = [(u, v, chain) for u, v in chain_edges] + [(u, v, skip) for u, v in skip_edges]
+    edges += [(v, u, [list(x) for x in zip(*w, strict=True)]) for u, v, w in edges]
+    half, size = len(edges) // 2, len(own[0])
+    messages = [[0.0] * size for _ in edges]
+    for _ in range(sweeps):
+        fresh = []
+        for e, (u, _, w) in enumerate(edges):
+            back = (e + half) % len(edges)
+            total = [own[u][a] + sum(messages[k][a] for k, x in enumerate(edges) if x[1] == u and k != back) for a in range(size)]
+            out = [math.log(sum(math.exp(total[a] + w[a][b]) for a in range(size))) for b in range(size)]
+            fresh.append([x - max(out) for x in out])
+        messages = [[damp * x + (1 - damp) * y for x, y in zip(m, f, strict=True)] for m, f in zip(messages, fresh, strict=True)]
+    chances = []
+    for i, o in enumerate(own):
+        total = [math.exp(o[a] + sum(messages[k][a] for k, x in enumerate(edges) if x[1] == i)) for a in range(size)]
+        chances.append([x / sum(total) for x in total])
+    return chances
