@@ -37,6 +37,8 @@ from ledgerlens.llm import words as W
 from ledgerlens.llm.staging import distinct_texts, keyed_texts, over_batches, staged
 
 WINDOW = 35
+#: A longer text is looked at in parts of so many words.
+PART_WORDS = 1 << 16
 
 
 class Runs:
@@ -83,9 +85,20 @@ class Runs:
         return index, begin, begin + self.window
 
 
-def _runs(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[W.Words, Runs]:
+def _runs(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[W.Words, Iterator[tuple[int, Runs]]]:
+    """The words of some texts and their runs; a long text alone comes in parts, each with the place of its first word."""
     words = W.Words(data, offsets)
-    return words, Runs(words.hashes(), words.bounds, window, max(1, -(-window // 4)))
+    gram = max(1, -(-window // 4))
+
+    def parts() -> Iterator[tuple[int, Runs]]:
+        hashes = words.hashes()
+        if len(offsets) > 2:
+            yield 0, Runs(hashes, words.bounds, window, gram)
+            return
+        for begin, end in W.pieces(len(hashes), window, PART_WORDS):
+            yield begin, Runs(hashes[begin:end], np.array([0, end - begin]), window, gram)
+
+    return words, parts()
 
 
 def _with_owner(hashes: np.ndarray, owners: np.ndarray) -> np.ndarray:
@@ -120,36 +133,37 @@ def _emit(number: int, window: int):
             copies = batch.column("copies").to_numpy(zero_copy_only=False)
             k1, k2 = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("k1", "k2"))
             for first, last in W.slices(offsets):
-                _, texts = _runs(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], window)
+                _, parts = _runs(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], window)
                 lists = [_listed(batch.column(f"s{i}"), first, last) for i in range(1, min(number, 3))]
-                alive = _alive(texts, lists)
-                known = np.zeros(len(alive), dtype=bool)
-                if number == 4:
-                    _, begin, end = texts.level(3)
-                    spans = _with_owner(W.range_hashes(texts.hashes, begin, end), texts.run_owner)
-                    known = np.isin(spans, _with_owner(*_listed(batch.column("s3"), first, last)))
-                    alive &= ~known | np.isin(spans, _with_owner(*_listed(batch.column("lead"), first, last)))
-                index, begin, end = texts.level(number)
-                pick = alive[index]
-                index, begin, end = index[pick], begin[pick], end[pick]
-                owner, known = texts.run_owner[index], known[index]
-                h = W.range_hashes(texts.hashes, begin, end)
-                _, once, times = np.unique(_with_owner(h, owner), return_index=True, return_counts=True)
-                owner, known = owner[once] + first, known[once]
-                check = W.range_hashes(texts.hashes, begin[once], end[once], seed=1) if number > 2 else np.zeros(len(once), np.uint64)
-                g = texts.grams[texts.at[index[once]]] if number == 3 else np.zeros(len(once), np.uint64)
-                n = np.where(known | (times > 1) | (copies[owner] > 1), 2, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(h[once].view(np.int64)),
-                        pa.array((check >> np.uint64(33)).astype(np.int32)),
-                        pa.array(g.view(np.int64)),
-                        pa.array(k1[owner]),
-                        pa.array(k2[owner]),
-                        pa.array(n.astype(np.int32)),
-                    ],
-                    names=["h", "c", "g", "k1", "k2", "n"],
-                )
+                for _, texts in parts:
+                    alive = _alive(texts, lists)
+                    known = np.zeros(len(alive), dtype=bool)
+                    if number == 4:
+                        _, begin, end = texts.level(3)
+                        spans = _with_owner(W.range_hashes(texts.hashes, begin, end), texts.run_owner)
+                        known = np.isin(spans, _with_owner(*_listed(batch.column("s3"), first, last)))
+                        alive &= ~known | np.isin(spans, _with_owner(*_listed(batch.column("lead"), first, last)))
+                    index, begin, end = texts.level(number)
+                    pick = alive[index]
+                    index, begin, end = index[pick], begin[pick], end[pick]
+                    owner, known = texts.run_owner[index], known[index]
+                    h = W.range_hashes(texts.hashes, begin, end)
+                    _, once, times = np.unique(_with_owner(h, owner), return_index=True, return_counts=True)
+                    owner, known = owner[once] + first, known[once]
+                    check = W.range_hashes(texts.hashes, begin[once], end[once], seed=1) if number > 2 else np.zeros(len(once), np.uint64)
+                    g = texts.grams[texts.at[index[once]]] if number == 3 else np.zeros(len(once), np.uint64)
+                    n = np.where(known | (times > 1) | (copies[owner] > 1), 2, 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(h[once].view(np.int64)),
+                            pa.array((check >> np.uint64(33)).astype(np.int32)),
+                            pa.array(g.view(np.int64)),
+                            pa.array(k1[owner]),
+                            pa.array(k2[owner]),
+                            pa.array(n.astype(np.int32)),
+                        ],
+                        names=["h", "c", "g", "k1", "k2", "n"],
+                    )
 
     return run
 
@@ -163,15 +177,15 @@ def _finish(window: int):
             copies = batch.column("copies").to_numpy(zero_copy_only=False)
             for first, last in W.slices(offsets):
                 part = data[offsets[first] : offsets[last]]
-                words, texts = _runs(part, offsets[first : last + 1] - offsets[first], window)
-                lists = [_listed(batch.column(f"s{i}"), first, last) for i in range(1, 5)]
+                words, parts = _runs(part, offsets[first : last + 1] - offsets[first], window)
+                lists = [_listed(batch.column(f"s{i}"), first, last) for i in (3, 4)]
                 out = np.zeros(len(words), dtype=bool)
-                for number in (3, 4):
-                    index, begin, end = texts.level(number)
-                    known = np.isin(
-                        _with_owner(W.range_hashes(texts.hashes, begin, end), texts.run_owner[index]), _with_owner(*lists[number - 1])
-                    )
-                    out |= W.covered(begin[known], end[known], len(out))
+                for at, texts in parts:
+                    here = out[at : at + len(texts.hashes)]
+                    for number, survivors in zip((3, 4), lists, strict=True):
+                        index, begin, end = texts.level(number)
+                        known = np.isin(_with_owner(W.range_hashes(texts.hashes, begin, end), texts.run_owner[index]), _with_owner(*survivors))
+                        here |= W.covered(begin[known], end[known], len(here))
                 size = np.diff(words.bounds)
                 whole = (copies[first:last] > 1) & (size >= window)
                 out |= np.repeat(whole, size)

@@ -20,7 +20,9 @@ all without sorting every suffix of the corpus:
 
 Copies of a whole text are counted, not compared. Null and empty texts have no bytes.
 Null or repeated ids are legal, equal rows give equal results, an empty table gives an
-empty result, other columns pass through, but ``dedup`` is replaced.
+empty result, other columns pass through, but ``dedup`` is replaced. A long text is
+looked at in overlapping parts, so that memory follows no text's length but for the
+arrays of its own bytes.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ GRAM = 32
 SHALLOW = 32
 CROWD = 1024
 BLOCK = 13
+#: Contexts that are sorted at a time; one anchor has at most CROWD.
+LOT = 2048
 
 
 # -- deep-shallow sorting ------------------------------------------------------------
@@ -104,36 +108,41 @@ def blind_trie(strings: list[bytes], depth: int = 0) -> list[int]:
 def sort_strings(table: np.ndarray, lengths: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of a zero-padded byte table by group and content, and what each shares with the one before.
 
-    Multikey quicksort with characters of eight bytes up to ``SHALLOW``, blind tries beyond.
+    Multikey quicksort with characters of eight bytes up to ``SHALLOW``: every round parts all
+    groups that are still tied in three around a pivot, the middle one in its next character.
+    What is tied at that depth goes into blind tries, which begin there.
     """
     n, width = table.shape
     padded = np.zeros((n, -(-max(width, 8) // 8) * 8), dtype=np.uint8)
     padded[:, :width] = table
     characters = padded.view(">u8")
-    order = np.lexsort((np.arange(n), groups))
-    rank = groups[order]
-    fresh = np.ones(n, dtype=bool)
-    fresh[1:] = rank[1:] != rank[:-1]
-    for depth in range(min(SHALLOW // 8, characters.shape[1])):
-        part = np.cumsum(fresh)
-        tied = np.ones(n, dtype=bool)
-        tied[:-1] &= fresh[1:]
-        tied = ~(tied & fresh)  # members of parts of more than one
-        if not tied.any():
+    deepest = min(SHALLOW // 8, characters.shape[1])
+    order = np.argsort(groups, kind="stable")
+    fresh = np.ones(n, dtype=bool)  # where a part begins
+    fresh[1:] = groups[order][1:] != groups[order][:-1]
+    depth = np.zeros(n, dtype=np.int64)  # characters that a part is known to agree in
+    while True:
+        alone = fresh & np.append(fresh[1:], True)
+        where = np.flatnonzero(~alone & (depth < deepest))
+        if not len(where):
             break
-        where = np.flatnonzero(tied)
-        keys = characters[order[where], depth].astype(np.uint64)
-        inner = np.lexsort((keys, part[where]))
-        order[where] = order[where][inner]
-        keys, part_of = keys[inner], part[where]
-        split = np.zeros(len(where), dtype=bool)
-        split[1:] = (keys[1:] != keys[:-1]) | (part_of[1:] != part_of[:-1])
-        fresh[where] |= split
+        rows, first = order[where], np.flatnonzero(fresh[where])
+        sizes = np.diff(np.append(first, len(where)))
+        part = np.repeat(np.arange(len(first)), sizes)
+        keys = characters[rows, depth[where]].astype(np.uint64)
+        pivots = keys[first + sizes // 2][part]
+        side = 1 + (keys > pivots).astype(np.int64) - (keys < pivots)
+        inner = np.argsort(3 * part + side, kind="stable")  # below, at and above the part's pivot
+        order[where] = rows[inner]
+        side, known = side[inner], depth[where]
+        fresh[where[1:]] |= (side[1:] != side[:-1]) | (part[1:] != part[:-1])
+        depth[where] = known + (side == 1)
     first = np.flatnonzero(fresh)
     sizes = np.diff(np.append(first, n))
     for begin, size in zip(first[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
         members = order[begin : begin + size]
-        inner = blind_trie([table[m, : lengths[m]].tobytes() for m in members], 0)
+        agreed = min(8 * deepest, int(lengths[members].min()))
+        inner = blind_trie([table[m, : lengths[m]].tobytes() for m in members], agreed)
         order[begin : begin + size] = members[inner]
     shared = np.zeros(n, dtype=np.int64)
     if n > 1:
@@ -180,12 +189,15 @@ def repeated_offsets(data: np.ndarray, starts: np.ndarray, anchors: np.ndarray,
 # -- the levels ----------------------------------------------------------------------
 
 
-def _in_slices(batch: pa.RecordBatch, window: int):
+def _in_slices(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, int, np.ndarray, Runs]]:
+    """First and last text, where each text's own first byte would stand, and runs; a long text comes in parts."""
     data, offsets = W.text_bytes(batch.column("text"))
     for first, last in W.slices(offsets):
-        part = data[offsets[first] : offsets[last]]
-        bounds = offsets[first : last + 1] - offsets[first]
-        yield first, last, part, bounds, Runs(W.BYTE_VALUES[part], bounds, window, min(GRAM, window))
+        begin, size = int(offsets[first]), int(offsets[last] - offsets[first])
+        for a, b in W.pieces(size, window) if last == first + 1 else [(0, size)]:
+            bounds = offsets[first : last + 1] - begin if last > first + 1 else np.array([0, b - a])
+            values = W.BYTE_VALUES[data[begin + a : begin + b]]
+            yield first, last, bounds - a, Runs(values, bounds, window, min(GRAM, window))
 
 
 def _owned(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -204,7 +216,7 @@ def _anchors_of(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             copies, node = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("copies", "node"))
-            for first, _, _, _, runs in _in_slices(batch, window):
+            for first, _, _, runs in _in_slices(batch, window):
                 g = runs.grams[runs.at] if len(runs.at) else np.empty(0, np.uint64)
                 _, once, times = np.unique(_owned(g, runs.run_owner), return_index=True, return_counts=True)
                 owner = runs.run_owner[once] + first
@@ -222,7 +234,7 @@ def _spans_of(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             copies, node = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("copies", "node"))
-            for first, last, _, bounds, runs in _in_slices(batch, window):
+            for first, last, zero, runs in _in_slices(batch, window):
                 if not len(runs.at):
                     continue
                 pick = np.flatnonzero(np.isin(_owned(runs.grams[runs.at], runs.run_owner), _list(batch, "anchors", first, last)))
@@ -236,7 +248,7 @@ def _spans_of(window: int):
                         pa.array(runs.grams[at].view(np.int64)),
                         pa.array(node[mine + first]),
                         pa.array(np.where(copies[mine + first] > 1, 2, 1).astype(np.int32)),
-                        pa.array(begin - bounds[mine]),
+                        pa.array(begin - zero[mine]),
                         pa.array((end - begin).astype(np.int32)),
                         pa.array((at - begin).astype(np.int32)),
                     ],
@@ -255,8 +267,7 @@ def _contexts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(len(lists)), sizes)
         begin = offsets[owner] + entries.field("place").to_numpy(zero_copy_only=False)
         size = entries.field("size").to_numpy(zero_copy_only=False)
-        raw = data.tobytes()
-        cut = pa.array([raw[b : b + s] for b, s in zip(begin.tolist(), size.tolist(), strict=True)], pa.binary())
+        cut = pa.array([data[b : b + s].tobytes() for b, s in zip(begin.tolist(), size.tolist(), strict=True)], pa.binary())
         node = batch.column("node").take(pa.array(owner))
         yield pa.RecordBatch.from_arrays(
             [entries.field("g"), node, entries.field("place"), entries.field("anchor"), entries.field("known"), cut],
@@ -297,8 +308,12 @@ def _sorted_groups(window: int):
             rows = rows if kept is None else pa.concat_tables([kept, rows])
             g = rows.column("g").to_numpy()
             whole = int(np.searchsorted(g, g[-1])) if len(g) else 0
-            if whole:
-                yield solve(rows.slice(0, whole))
+            done = 0
+            while done < whole:  # anchors of about LOT contexts together
+                far = min(done + LOT, whole)
+                far = whole if far == whole else max(int(np.searchsorted(g, g[far])), int(np.searchsorted(g, g[done], side="right")))
+                yield solve(rows.slice(done, far - done))
+                done = far
             kept = rows.slice(whole)
         if kept is not None and kept.num_rows:
             yield solve(kept)
@@ -390,26 +405,29 @@ def _crowded(contexts: DataFrame, window: int) -> DataFrame:
 
 
 def _finish(window: int):
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes", "spans"]
+    kinds = [pa.int64()] * 3 + [pa.string(), pa.binary(), pa.list_(pa.list_(pa.int64()))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            data, offsets = W.text_bytes(batch.column("text"))
             copies = batch.column("copies").to_pylist()
-            texts = batch.column("text").to_pylist()
-            rows = []
-            for text, many, ranges in zip(texts, copies, batch.column("ranges").to_pylist(), strict=True):
-                raw = text.encode()
-                gone = np.zeros(len(raw), dtype=bool)
-                if many > 1 and len(raw) >= window:
-                    gone[:] = True
-                elif ranges:
-                    begin, end = (np.array([r[k] for r in ranges]) for k in ("begin", "end"))
-                    gone = W.covered(begin, end, len(raw))
-                edges = np.flatnonzero(np.diff(np.pad(gone.view(np.int8), 1)))
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                rows.append((len(raw), int(gone.sum()), len(edges) // 2, hashlib.sha256(kept).hexdigest(), kept, edges.reshape(-1, 2).tolist()))
-            kinds = [pa.int64()] * 3 + [pa.string(), pa.binary(), pa.list_(pa.list_(pa.int64()))]
-            out = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)]
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes", "spans"]
-            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), *out], names=["k1", "k2", *names])
+            for first, last in W.slices(offsets):
+                rows = []
+                for i, ranges in enumerate(batch.column("ranges").slice(first, last - first).to_pylist(), first):
+                    raw = data[offsets[i] : offsets[i + 1]]
+                    gone = np.zeros(len(raw), dtype=bool)
+                    if copies[i] > 1 and len(raw) >= window:
+                        gone[:] = True
+                    elif ranges:
+                        begin, end = (np.array([r[k] for r in ranges]) for k in ("begin", "end"))
+                        gone = W.covered(begin, end, len(raw))
+                    edges = np.flatnonzero(np.diff(np.pad(gone.view(np.int8), 1)))
+                    kept = raw[~gone].tobytes()
+                    rows.append((len(raw), int(gone.sum()), len(edges) // 2, hashlib.sha256(kept).hexdigest(), kept, edges.reshape(-1, 2).tolist()))
+                out = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                keys = [batch.column(k).slice(first, last - first) for k in ("k1", "k2")]
+                yield pa.RecordBatch.from_arrays([*keys, *out], names=["k1", "k2", *names])
 
     return run
 

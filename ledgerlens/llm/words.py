@@ -1,7 +1,7 @@
 """Texts as arrays: words, hashes and windows of a whole Arrow batch, without a Python object per word.
 
-Batches are cut into slices of bounded size, so that memory depends on the longest
-single text alone.
+Batches are cut into slices of bounded size and number of texts. Where a text is longer
+than a slice, ``pieces`` cuts it into overlapping parts, each window standing in one.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ SEPARATOR_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 SEPARATORS = [0x20, *range(0x09, 0x0E)]
 
-SLICE_BYTES = 1 << 21
+#: Bounds of a slice. Working arrays hold up to a hundred bytes for each byte of it.
+SLICE_BYTES = (1 << 18) - 1
+SLICE_TEXTS = 256
 
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[SEPARATORS] = False
@@ -40,29 +42,36 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=8)
-def _powers_to(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, dtype=np.uint64)
+def _powers(base: int) -> np.ndarray:
+    """1, base, base^2 ... modulo 2^64, for as many places as a slice has."""
+    out = np.empty(SLICE_BYTES + 1, dtype=np.uint64)
     out[0] = 1
     filled = 1
-    while filled < n:
-        step = min(filled, n - filled)
+    while filled < len(out):
+        step = min(filled, len(out) - filled)
         out[filled : filled + step] = out[:step] * np.uint64(pow(base, filled, 2**64))
         filled += step
     return out
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    """1, base, base^2 ... modulo 2^64, at least n of them."""
-    return _powers_to(base, max(1 << 12, 1 << (n - 1).bit_length()))
+def _leaps(base: int, n: int) -> np.ndarray:
+    """Powers of ``base`` at the multiples of a slice's length, up to n."""
+    size = SLICE_BYTES + 1
+    return np.array([pow(base, size * k, 2**64) for k in range(n // size + 1)], dtype=np.uint64)
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit hash of each values[start:end]; equal ranges hash equally wherever they stand."""
-    base = _BASES[seed]
+    base, size = _BASES[seed], SLICE_BYTES + 1
     inverse = pow(base, -1, 2**64)
     sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * _powers(base, len(values) + 1)[: len(values)], out=sums[1:])
-    found = (sums[ends] - sums[starts]) * _powers(inverse, len(values) + 1)[starts]
+    for at, leap in zip(range(0, len(values), size), _leaps(base, len(values)), strict=False):
+        part = values[at : at + size]
+        sums[at + 1 : at + 1 + len(part)] = part * _powers(base)[: len(part)] * leap
+    np.cumsum(sums, out=sums)
+    found = (sums[ends] - sums[starts]) * _powers(inverse)[starts % size]
+    if len(values) >= size:
+        found *= _leaps(inverse, len(values))[starts // size]
     return mix(found + (ends - starts).astype(np.uint64) * np.uint64(_BASES[(seed + 1) % 3]))
 
 
@@ -78,13 +87,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Consecutive texts of about ``most`` bytes together, one text at least."""
+def slices(offsets: np.ndarray, most: int = SLICE_BYTES, texts: int = SLICE_TEXTS) -> Iterator[tuple[int, int]]:
+    """Consecutive texts of at most ``most`` bytes together, and ``texts`` in number, one text at least."""
     first, n = 0, len(offsets) - 1
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1)
-        yield first, min(last, n)
-        first = min(last, n)
+        last = min(last, n, first + texts)
+        yield first, last
+        first = last
+
+
+def pieces(n: int, window: int, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Parts [begin, end) of n items that overlap by ``window`` - 1: every window stands whole in exactly one."""
+    step = max(most - window + 1, window)
+    for begin in range(0, max(n - window + 1, 1), step):
+        yield begin, min(begin + step + window - 1, n)
 
 
 class Words:
@@ -109,7 +126,15 @@ class Words:
         return len(self.starts)
 
     def hashes(self, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-        return range_hashes(values[self.data], self.starts, self.ends)
+        out = np.empty(len(self.starts), dtype=np.uint64)
+        first = 0
+        while first < len(out):
+            begin = int(self.starts[first])
+            last = max(first + 1, int(np.searchsorted(self.ends, begin + SLICE_BYTES, side="right")))
+            part = values[self.data[begin : int(self.ends[last - 1])]]
+            out[first:last] = range_hashes(part, self.starts[first:last] - begin, self.ends[first:last] - begin)
+            first = last
+        return out
 
     def owners(self) -> np.ndarray:
         """The text that each word belongs to."""
