@@ -5,15 +5,15 @@
    equal texts are neighbours and share a range.
 2. The bytes of every range are added up over all records. A range that is too large,
    such as one with a text that a third of all rows hold, is cut into pieces by a hash
-   of ``doc_id``, as many as its size asks for.
+   of a number that each row gets when the records are written, as many as its size asks for.
 3. Pieces in key order fill the shards one after the other. A shard's size is off by at
    most about one piece.
 
 Only the bounds and sums of ranges, whose number is fixed, reach the driver. Slots are
 numbered within pieces, and each piece knows how many rows its shard has before it.
 
-Null texts have size 1, the crc32 of nothing and one common key; null ids are legal;
-equal rows get slots of their own. An empty table gives an empty result. Columns of
+Null texts have size 1, the crc32 of nothing and one common key; ids may be null or
+repeated, on any share of the rows; equal rows get slots of their own. An empty table gives an empty result. Columns of
 the input are not looked at, but for the two named.
 """
 
@@ -43,7 +43,7 @@ def splitters(records: DataFrame, total: int, ranges: int, per_range: int) -> li
     # A record of more than its share of the draw is taken once for each whole share.
     share = F.col("size") * float(wanted) / float(max(total, 1))
     whole = F.floor(share)
-    times = whole + (_chance(F.struct("key", "doc_id"), 1) < share - whole).cast("bigint")
+    times = whole + (_chance(F.struct("key", "row"), 1) < share - whole).cast("bigint")
     drawn = records.select("key", times.alias("times")).filter("times > 0")
     quantiles = F.percentile("key", F.array(*(F.lit(i / ranges) for i in range(1, ranges))), F.col("times"))
     found = drawn.agg(quantiles.alias("q")).first()["q"]
@@ -75,6 +75,7 @@ def sharded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards:
             (F.octet_length(whole) + 1).cast("bigint").alias("size"),
             F.crc32(whole.cast("binary")).alias("text_crc32"),
             F.xxhash64(whole).alias("key"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "shard-records",
     )
@@ -84,7 +85,7 @@ def sharded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards:
     sizes = {r["range"]: r["bytes"] for r in ranged.groupBy("range").agg(F.sum("size").alias("bytes")).collect()}
     most = max(1, total // (shards * PIECES_PER_SHARD))
     cuts = [max(1, -(-sizes.get(r, 0) // most)) if sizes.get(r, 0) > 2 * most else 1 for r in range(len(bounds) + 1)]
-    in_range = F.least(F.floor(_chance(F.col("doc_id"), 2) * F.get(_constant(cuts), F.col("range"))), F.get(_constant(cuts), F.col("range")) - 1)
+    in_range = F.least(F.floor(_chance(F.col("row"), 2) * F.get(_constant(cuts), F.col("range"))), F.get(_constant(cuts), F.col("range")) - 1)
     pieced = ranged.withColumn("piece", in_range.cast("int"))
     counted = pieced.groupBy("range", "piece").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     # At most RANGES pieces and as many cuts as PIECES_PER_SHARD allows for all shards.
@@ -101,7 +102,7 @@ def sharded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards:
         at += p["bytes"]
         used[shard] += p["rows"]
     number_of = (F.get(_constant(first), F.col("range")) + F.col("piece")).cast("int")
-    within = F.row_number().over(Window.partitionBy("range", "piece").orderBy("key", "doc_id", "size", "text_crc32")) - 1
+    within = F.row_number().over(Window.partitionBy("range", "piece").orderBy("key", "doc_id", "size", "text_crc32", "row")) - 1
     return pieced.withColumn("within", within).select(
         "doc_id",
         "size",
