@@ -11,8 +11,8 @@ are added up, and only the bin in which a source's target lies is ordered. What
 remains is one row per source, the rank to stop at, so texts are never shuffled.
 
 Null or blank texts have size 0. Sources may be null (the last one). The random
-number comes from ``doc_id`` and size, so reruns agree, and equal rows are taken or
-left together. An empty table gives an empty result. Other columns pass through,
+number comes from ``doc_id`` and size, so reruns agree. Rows equal in both are one rank,
+of which as many are taken as the target asks for, whichever they are. An empty table gives an empty result. Other columns pass through,
 whatever their names, but ``mix`` is replaced.
 """
 
@@ -21,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.quality import words_of
 from ledgerlens.llm.staging import staged
+from ledgerlens.llm.words import WORD_CLASS
 
 # Weights of the sources by rank, the share of all words, the most copies.
 WEIGHTS = [3, 1, 2]
@@ -96,48 +96,75 @@ def _with_source(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def stops(sizes: DataFrame) -> DataFrame:
-    """source, source_size, target, last_rank: documents up to that rank get one more copy.
+    """source, source_size, target, last_rank, last_rows, last_all: documents below that rank get one more copy.
 
-    The document on the edge is taken where that brings its source nearer to the target.
+    Of those at it, which are equal in id and size, ``last_rows`` do (``last_all``: all of
+    them). A document on the edge is taken where that brings its source nearer to the target.
+    Equal documents are one row with a count before anything is ordered.
     """
     goal = staged(targets(sizes), "mix-targets")
-    drawn = _ranked(_with_source(sizes, goal)).filter("p > 0")
-    drawn = drawn.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS))
-    by_bin = drawn.groupBy("source", "bin").agg(
-        F.sum("size").alias("bin_size"),
-        F.max("rank").alias("bin_last"),
-        F.max(F.col("target") - F.col("whole") * F.col("source_size")).alias("wanted"),
+    alike = sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
+    drawn = _ranked(_with_source(alike, goal)).filter("p > 0")
+    ranks = drawn.groupBy("source", "rank").agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("size")).alias("words"), F.max(F.col("target") - F.col("whole") * F.col("source_size")).alias("wanted")
     )
+    ranks = staged(ranks.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS)), "mix-ranks")
+    by_bin = ranks.groupBy("source", "bin").agg(F.sum("words").alias("bin_words"), F.max("rank").alias("bin_last"), F.max("wanted").alias("wanted"))
     earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    by_bin = staged(by_bin.withColumn("before", F.coalesce(F.sum("bin_size").over(earlier), F.lit(0))), "mix-bins")
-    fits = F.col("before") + F.col("bin_size") <= F.col("wanted")
-    edges = by_bin.filter(~fits & (F.col("before") < F.col("wanted"))).select(
-        F.col("source").alias("_s"), F.col("bin").alias("_b"), "before", "wanted"
+    by_bin = staged(by_bin.withColumn("before", F.coalesce(F.sum("bin_words").over(earlier), F.lit(0))), "mix-bins")
+    fits = F.col("before") + F.col("bin_words") <= F.col("wanted")
+    edges = by_bin.filter(~fits & (F.col("before") < F.col("wanted"))).select(F.col("source").alias("_s"), F.col("bin").alias("_b"), "before")
+    on_edge = ranks.join(edges, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_b")))
+    inside = Window.partitionBy("source", "bin").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.col("wanted") - F.col("before") - F.coalesce(F.sum("words").over(inside), F.lit(0))
+    each = F.col("words") / F.col("rows")
+    most = F.when(F.col("words") == 0, F.col("rows")).otherwise(F.floor(room / each + 0.5))
+    taken = on_edge.withColumn("taken", F.least(most, F.col("rows"))).filter("taken > 0")
+    last = taken.select("source", F.col("rank").alias("last_rank"), F.col("taken").alias("last_rows"), (F.col("taken") == F.col("rows")).alias("last_all")).unionByName(
+        by_bin.filter(fits).select("source", F.col("bin_last").alias("last_rank"), F.lit(0).cast("bigint").alias("last_rows"), F.lit(True).alias("last_all"))
     )
-    on_edge = drawn.join(edges, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_b")))
-    upto = F.col("before") + F.sum("size").over(Window.partitionBy("source", "bin").orderBy("rank"))
-    taken = on_edge.withColumn("upto", upto).filter(F.col("upto") - F.col("size") / 2 <= F.col("wanted"))
-    last = taken.select("source", F.col("rank").alias("last_rank")).unionByName(
-        by_bin.filter(fits).select("source", F.col("bin_last").alias("last_rank"))
-    )
-    last = last.groupBy("source").agg(F.max("last_rank").alias("last_rank")).withColumnRenamed("source", "_s")
+    last = last.groupBy("source").agg(F.max(F.struct("last_rank", "last_rows", "last_all")).alias("last")).select(F.col("source").alias("_s"), "last.*")
     joined = goal.join(last, goal["source"].eqNullSafe(last["_s"]), "left")
-    return joined.select("source", "source_size", "target", "last_rank")
+    return joined.select("source", "source_size", "target", "last_rank", "last_rows", "last_all")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows of each source numbered from 1: inside the partition they were read in, above what earlier ones hold.
+
+    They are written first, so that a task that runs again finds the same rows. No
+    partition of the window holds more than one task has read.
+    """
+    read = staged(rows.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "mix-edge")
+    inside = F.row_number().over(Window.partitionBy("source", "_part").orderBy("_at"))
+    counts = read.groupBy("source", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.col("source").alias("_s"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    joined = read.join(counts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")))
+    return joined.withColumn("number", inside + F.col("_before")).drop("_part", "_at", "_s", "_p", "_before")
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` with a struct column ``mix``: size, source_size, target, copies, taken (words, copies counted)."""
-    size = F.size(words_of(docs[text])).cast("bigint")
+    size = F.regexp_count(F.coalesce(docs[text].cast("string"), F.lit("")), F.lit(WORD_CLASS + "+")).cast("bigint")
     keyed = docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), size.alias("size"))
     stop = staged(stops(staged(keyed, "mix-sizes")), "mix-stops")
     kept = [c for c in docs.columns if c != "mix"]
     rows = docs.select(
         F.struct(*(docs[c] for c in kept)).alias("_row"), docs[doc_id].alias("doc_id"), docs[source].alias("source"), size.alias("size")
     )
-    copies = (F.col("whole") + F.coalesce((F.col("rank") <= F.col("last_rank")).cast("int"), F.lit(0))).cast("bigint")
-    drawn = _ranked(_with_source(rows, stop)).withColumn("copies", copies)
-    mix = F.struct("size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
-    return drawn.select("_row", mix.alias("mix")).select("_row.*", "mix")
+    drawn = _ranked(_with_source(rows, stop))
+    in_part = F.coalesce((F.col("rank") == F.col("last_rank")) & ~F.col("last_all"), F.lit(False))
+    more = F.coalesce((F.col("rank") <= F.col("last_rank")).cast("int"), F.lit(0))
+    parts = [(drawn.filter(~in_part), more)]
+    if not stop.filter("NOT last_all").isEmpty():
+        parts.append((_numbered(drawn.filter(in_part)), (F.col("number") <= F.col("last_rows")).cast("int")))
+    out = None
+    for part, extra in parts:
+        copied = part.withColumn("copies", (F.col("whole") + extra).cast("bigint"))
+        mix = F.struct("size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+        copied = copied.select("_row", mix.alias("mix"))
+        out = copied if out is None else out.unionByName(copied)
+    return out.select("_row.*", "mix")
 
 
 def repeated(mix: DataFrame) -> DataFrame:

@@ -71,25 +71,31 @@ WITH sized AS (
   FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source
 ), placed AS (
   SELECT *, CASE WHEN p > 0 THEN u / (1 - u) / (p / (1 - p)) END AS rank FROM drawn
+), ranks AS (
+  SELECT source, rank, count(*) AS m, sum(size)::BIGINT AS words, max(target - whole * source_size) AS wanted FROM placed WHERE p > 0 GROUP BY source, rank
 ), summed AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank) AS upto FROM placed WHERE p > 0
-), last AS (
-  SELECT source, max(rank) AS last_rank FROM summed WHERE upto - size / 2 <= target - whole * source_size GROUP BY source
+  SELECT *, wanted - (sum(words) OVER (PARTITION BY source ORDER BY rank) - words) AS room FROM ranks
+), shares AS (
+  SELECT source, rank, CASE WHEN words = 0 THEN CASE WHEN room >= 0 THEN m ELSE 0 END ELSE least(m, floor(room / (words / m) + 0.5)) END AS n FROM summed
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source, rank) AS k FROM placed
 )
 SELECT doc_id, size, source_size::BIGINT AS source_size, target,
-  (size * (whole + CASE WHEN p > 0 AND rank <= last_rank THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM placed LEFT JOIN last ON placed.source IS NOT DISTINCT FROM last.source
+  (size * (whole + CASE WHEN p > 0 AND k <= n THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM numbered t LEFT JOIN shares s ON t.source IS NOT DISTINCT FROM s.source AND t.rank = s.rank
 """
 
 TOP_K = """
 WITH vectors AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), asked AS (
+  SELECT DISTINCT vec_id, v FROM vectors WHERE vec_id % 20 = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  SELECT q.vec_id AS query_id, q.v AS query, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM asked q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id)::INT AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """

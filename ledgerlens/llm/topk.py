@@ -8,7 +8,8 @@ remaining norms) stays below the k-th best known score is compacted away.
 
 Rows whose id or vector is null, or whose vector holds a null or non-finite component,
 take no part. Vectors meet only vectors of their own dimension. Rows with the query's id
-are its own and no candidates; other repeated rows are all returned. Ties go to the smaller id.
+are its own and no candidates; other repeated rows are all returned. Query rows with equal
+id and vector are one query; unequal vectors of one id have lists of their own. Ties go to the smaller id.
 Components are integers; scores must fit 64 bits. An empty table gives an empty result.
 """
 
@@ -76,6 +77,7 @@ def _search(top: int, step: int):
         for batch in batches:
             for row in range(batch.num_rows):
                 query_ids, queries = _matrix(batch.column("queries")[row].values)
+                marks = batch.column("queries")[row].values.field("mark").to_numpy(zero_copy_only=False)
                 ids, vectors = _matrix(batch.column("candidates")[row].values)
                 norms = np.einsum("ij,ij->i", vectors.astype(np.float64), vectors.astype(np.float64))
                 order = np.argsort(-norms, kind="stable")
@@ -90,10 +92,11 @@ def _search(top: int, step: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(query_ids, [len(x) for x, _ in out]), pa.int64()),
+                        pa.array(np.repeat(marks, [len(x) for x, _ in out]), pa.int64()),
                         pa.array(np.concatenate([x for x, _ in out]), pa.int64()),
                         pa.array(np.concatenate([s for _, s in out]).astype(np.int64), pa.int64()),
                     ],
-                    names=["query_id", "vec_id", "score"],
+                    names=["query_id", "mark", "vec_id", "score"],
                 )
 
     return run
@@ -108,15 +111,16 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
     """
     picked = vectors.select(vectors[vec_id].cast("bigint").alias("id"), vectors[vector].alias("v"), is_query.alias("is_query"))
     rows = staged(picked.filter("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0"), "vectors")
-    counts = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
+    wanted = staged(rows.filter("is_query").groupBy("id", "v").agg(F.xxhash64("v").alias("mark")), "queries")
+    counts = {"n": rows.count(), "q": wanted.count()}
     n_blocks, q_blocks = (max(1, -(-c // block)) for c in (counts["n"], counts["q"]))
     numbered = rows.withColumns({"dim": F.size("v"), "h": F.xxhash64("id", "v")})
-    entry = F.collect_list(F.struct("id", "v"))
-    dealt = numbered.withColumn("c", F.pmod("h", F.lit(n_blocks))).groupBy("dim", "c").agg(entry.alias("candidates"))
-    asked = numbered.filter("is_query").withColumn("q", F.pmod("h", F.lit(q_blocks))).groupBy("dim", "q").agg(entry.alias("queries"))
+    dealt = numbered.withColumn("c", F.pmod("h", F.lit(n_blocks))).groupBy("dim", "c").agg(F.collect_list(F.struct("id", "v")).alias("candidates"))
+    spread = wanted.withColumns({"dim": F.size("v"), "q": F.pmod(F.xxhash64("id", "v"), F.lit(q_blocks))})
+    asked = spread.groupBy("dim", "q").agg(F.collect_list(F.struct("id", "v", "mark")).alias("queries"))
     work = dealt.withColumn("q", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_blocks - 1).cast("bigint")))).join(
         asked.withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint")))), ["dim", "q", "c"]
     )
-    scored = over_batches(work.select("queries", "candidates"), _search(top, step), "query_id bigint, vec_id bigint, score bigint")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    scored = over_batches(work.select("queries", "candidates"), _search(top, step), "query_id bigint, mark bigint, vec_id bigint, score bigint")
+    best = Window.partitionBy("query_id", "mark").orderBy(F.col("score").desc(), "vec_id")
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

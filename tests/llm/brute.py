@@ -120,14 +120,12 @@ def mix_copies(rows):
             key = f"{'' if rows[i][0] is None else rows[i][0]}:{rows[i][2]}"
             u = (int(hashlib.md5(key.encode()).hexdigest()[:12], 16) + 0.5) / 2**48
             rank[i] = u / (1 - u) / (p / (1 - p))
-        upto, last = 0, -1.0
+        upto = 0
         for r in sorted(set(rank.values())):
-            tied = [i for i in mine if rank[i] == r]
-            upto += sum(rows[i][2] for i in tied)
-            if any(upto - rows[i][2] / 2 <= goal[source] - whole * total for i in tied):
-                last = r
-        for i in mine:
-            copies[i] += rank[i] <= last
+            for i in (i for i in mine if rank[i] == r):
+                if upto + rows[i][2] / 2 <= goal[source] - whole * total:
+                    copies[i] += 1
+                upto += rows[i][2]
     return copies
 
 
