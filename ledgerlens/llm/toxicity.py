@@ -11,7 +11,8 @@ calibration rows of that language are told apart best, and is moved to 0.5. Lang
 ``FEWEST`` toxic or other rows share one threshold.
 
 The classifier is fitted on the driver on at most ``MOST_ROWS`` labelled rows, the first
-by a hash of their id; scoring reads every whole text, a few megabytes at a time.
+by a hash of their id, with whole texts of at most ``LONGEST`` characters; of several texts
+with one id the one of least hash teaches. Scoring reads every whole text, a slice at a time.
 
 Null, empty or wordless texts get the score of no filter answering. Labels that are null
 teach nothing. Repeated rows are scored alike, ids may be null, an empty table gives an
@@ -37,6 +38,8 @@ SIZE = 8
 FILTERS = 8
 WIDTHS = (1, 2, 3)
 MOST_ROWS = 6000
+#: Characters of the longest text that is learned from.
+LONGEST = 40000
 FEWEST = 20
 EPOCHS, BATCH, RATE = 4, 64, 0.003
 #: Standard deviations from which the log odds of a bucket are believed at the start.
@@ -237,13 +240,16 @@ def fold(doc_id) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def learned(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MOST_ROWS) -> Model | None:
+def learned(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MOST_ROWS, longest: int = LONGEST) -> Model | None:
     """A model of the labelled rows whose fold is not 0; fold 1 calibrates. None without both kinds."""
     marked = labels.select(labels[doc_id].alias("_id"), labels[label].cast("int").alias("label")).filter("label IN (0, 1)")
-    marked = marked.filter(fold(F.col("_id")) != 0)
+    marked = marked.filter(fold(F.col("_id")) != 0).distinct()
     chosen = F.broadcast(marked.orderBy(F.xxhash64("_id"), "_id", "label").limit(most))  # bounded by ``most``
     rows = docs.select(docs[doc_id].alias("_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
-    known = rows.join(chosen, "_id").select("text", "label", (fold(F.col("_id")) == 1).alias("calibrate"), F.xxhash64("_id").alias("at")).limit(2 * most).toPandas()
+    short = rows.filter(F.length("text") <= longest)
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    known = short.join(chosen, "_id").groupBy("_id", "label").agg(first)
+    known = known.select("text", "label", (fold(F.col("_id")) == 1).alias("calibrate"), F.xxhash64("_id").alias("at")).toPandas()
     known = known.sort_values(["at", "text", "label"])
     if known["label"].nunique() < 2 or known.loc[~known["calibrate"], "label"].nunique() < 2:
         return None
