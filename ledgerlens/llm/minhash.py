@@ -51,6 +51,12 @@ ROUNDS, LEADS = 3, 4
 ROWS, BANDS = 6, 42
 COORDINATES = ROWS * BANDS
 DARTS = math.ceil(COORDINATES * math.log(COORDINATES)) + 2 * COORDINATES
+#: Cells of the plane that are looked at together.
+CELLS = 1 << 17
+#: Edges that one task of a star round takes at least.
+EDGES = 100_000
+#: Pairs whose signatures one task compares at least.
+PAIRS = 5_000
 #: 64-bit words of an odd sketch.
 SKETCH = 16
 #: Six standard deviations of the agreement at the least similarity.
@@ -81,6 +87,13 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def _throw(h: np.ndarray, owner: np.ndarray, weight: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, ...]:
     """Text, coordinate, rank and identity of all darts that hit; ``rank``: the limit of each text."""
+    reach = np.cumsum(np.ceil(rank[owner]))
+    cuts = [0, *(np.flatnonzero(np.diff(reach // CELLS)) + 1).tolist(), len(h)]
+    thrown = [_thrown(h[a:b], owner[a:b], weight[a:b], rank) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+    return tuple(np.concatenate(x) for x in zip(*thrown, strict=True)) if thrown else _thrown(h, owner, weight, rank)
+
+
+def _thrown(h: np.ndarray, owner: np.ndarray, weight: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, ...]:
     parts, level = [], 0
     while len(h):
         wide = float(1 << level)
@@ -141,7 +154,7 @@ def _apart(x: str, y: str) -> str:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = W.text_bytes(batch.column("text"))
-        for first, last in W.slices(offsets, W.SLICE_BYTES // 2):
+        for first, last in W.slices(offsets):
             found = shingles(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
             marks, total = signatures(*found, last - first)
             some = np.flatnonzero(total)
@@ -178,7 +191,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sides = [W.text_bytes(batch.column(c)) for c in ("text_a", "text_b")]
         both = sides[0][1] + sides[1][1]
-        for first, last in W.slices(both, W.SLICE_BYTES):
+        for first, last in W.slices(both):
             counted = []
             for data, offsets in sides:
                 h, owner, n = shingles(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
@@ -192,15 +205,21 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("a", "b")], names=["a", "b"])
 
 
+def _sized(rows: DataFrame, n: int, each: int = EDGES) -> DataFrame:
+    """In as many tasks as ``n`` counted rows ask for; a table of many stays as it is."""
+    return rows.coalesce(max(1, -(-n // each)))
+
+
 def _verified(pairs: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes that are near copies. Texts move only for pairs that signatures leave."""
+    n = pairs.count()
     for side in "ba":
         part = signs.select(
             F.col("node").alias(side), F.col("total").alias(f"total_{side}"), F.col("code").alias(f"code_{side}"), F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2")
         )
         pairs = pairs.join(part, side)
     likely = staged(
-        over_batches(pairs, _likely, "a bigint, b bigint, a1 bigint, a2 bigint, b1 bigint, b2 bigint"), "likely-pairs"
+        over_batches(_sized(pairs, n, PAIRS), _likely, "a bigint, b bigint, a1 bigint, a2 bigint, b1 bigint, b2 bigint"), "likely-pairs"
     )
     words = texts.select("k1", "k2", "text")
     second = staged(
@@ -222,23 +241,26 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     def mark(edges: DataFrame):
         return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 31))).first()
 
+    def few(rows: DataFrame) -> DataFrame:
+        return _sized(rows, seen[0])
+
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
     edges = staged(edges, "star")
     seen = mark(edges)
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star-least")
-        large = staged(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "star")
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "star-least")
+        least = staged(few(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))), "star-least")
+        large = staged(few(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()), "star")
+        least = staged(few(large.groupBy("u").agg(F.min("v").alias("m"))), "star-least")
         ends = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
         small = large.join(least, "u").select(ends.alias("e")).select("e.*").filter("u != v").distinct()
-        edges = staged(small, "star")
+        edges = staged(few(small), "star")
         now = mark(edges)
         if now == seen:
             break
         seen = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return staged(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), "components")
+    return staged(few(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)), "components")
 
 
 def node_classes(texts: DataFrame) -> DataFrame:
@@ -261,9 +283,11 @@ def node_classes(texts: DataFrame) -> DataFrame:
         sizes = classed.groupBy("band", "component").agg(F.count("*").alias("n"))
         largest = F.max_by("component", F.struct("n", "component")).alias("largest")
         divided = sizes.groupBy("band").agg(largest, F.count("*").alias("classes")).filter("classes > 1").drop("classes")
-        opened = staged(classed.join(staged(divided, "divided-bands"), "band"), "open-bands")
-        if opened.isEmpty():
+        divided = staged(_sized(divided, classed.count()), "divided-bands")
+        if divided.isEmpty():
             break
+        opened = staged(classed.join(divided, "band"), "open-bands")
+        n = opened.count()
         members = opened.select("band", "node")  # a bucket of one class has nothing more to tell
         opened = opened.join(signs.select("node", "total", "odd"), "node")
         outside = opened.filter("component != largest").select("band", *(F.col(c).alias(f"{c}_x") for c in ("node", "component", "total", "odd")))
@@ -271,9 +295,10 @@ def node_classes(texts: DataFrame) -> DataFrame:
         if attempt < ROUNDS:
             turn = Window.partitionBy("band").orderBy(F.xxhash64("node", F.lit(attempt)), "node")
             inside = opened.filter("component = largest").withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= LEADS)
-            inside = staged(inside.drop("turn"), "band-leads")
+            inside = staged(_sized(inside.drop("turn"), n), "band-leads")
         met = outside.join(inside, "band").filter(apart & possible).select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b"))
-        pairs = staged(met.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = met.distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = staged(_sized(pairs, LEADS * n) if attempt < ROUNDS else pairs, "pairs")
         more = _verified(pairs, signs, texts)
         tested = tested.unionByName(pairs)
         if not more.isEmpty():
@@ -298,17 +323,22 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """doc_id, class_id, class_size, kept of every row.
 
     ``class_id`` is the least doc_id of the class; blank texts are classes of their own,
-    with their own doc_id. ``kept``: the row has the class's least id.
+    with their own doc_id. ``kept`` holds for exactly one row of each class: one with the
+    class's least id, also where ids are null or repeated.
     """
     # Blank texts are left out of the grouping: copies of nothing are no copies.
-    rows = keyed_texts(docs, doc_id, text)
-    blank = ~rows["text"].rlike(W.WORD_CLASS)
-    found = staged(_classes(distinct_texts(docs, doc_id, text)).select("k1", "k2", "class_id", "class_size"), "text-classes")
-    joined = rows.select("doc_id", "k1", "k2", blank.alias("blank")).join(found, ["k1", "k2"])
-    own = joined.withColumn("class_id", F.when(F.col("blank"), F.col("doc_id")).otherwise(F.col("class_id"))).withColumn(
-        "class_size", F.when(F.col("blank"), F.lit(1).cast("bigint")).otherwise(F.col("class_size"))
+    keyed = keyed_texts(docs, doc_id, text)
+    rows = staged(keyed.select("doc_id", "k1", "k2", (~keyed["text"].rlike(W.WORD_CLASS)).alias("blank"), F.monotonically_increasing_id().alias("row")), "class-rows")
+    found = staged(_classes(distinct_texts(docs, doc_id, text)).select("k1", "k2", "class_id", "class_size", "leads"), "text-classes")
+    first = rows.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("first"))
+    per_text = staged(found.join(first, ["k1", "k2"]), "text-leads")
+    own = F.col("blank")
+    return rows.join(per_text, ["k1", "k2"]).select(
+        "doc_id",
+        F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(own, F.lit(1).cast("bigint")).otherwise(F.col("class_size")).alias("class_size"),
+        (own | (F.col("leads") & (F.col("row") == F.col("first")))).alias("kept"),
     )
-    return own.select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
