@@ -22,8 +22,8 @@ from ledgerlens.sources import events as event_source  # noqa: E402
 from ledgerlens.sources.driver_tables import DriverTables  # noqa: E402
 from ledgerlens.sources.relational import typed_customers  # noqa: E402
 from ledgerlens.sources.tables import check_schema, partition_stats  # noqa: E402
-from ledgerlens.streaming.progress import progress_report  # noqa: E402
-from ledgerlens.streaming.routing import route  # noqa: E402
+from ledgerlens.streaming.progress import intake_report, progress_report  # noqa: E402
+from ledgerlens.streaming.routing import PAYMENT_ROUTES, ROUTES, intake_counts, judged, rejected_rows, route  # noqa: E402
 
 # The events end on 2024-01-30, so this look-back covers all of them.
 AS_OF = datetime(2024, 1, 31)
@@ -85,11 +85,60 @@ def _routed(table: str) -> Query:
             body = part.select(F.to_json(F.struct(*_wire_fields(fields))).alias("value"))
             messages = body if messages is None else messages.unionByName(body)
         parsed = event_source.with_event_date(event_source.parse_payload(messages, SIGNAL_EVENT))
-        return _as_plain_time(route(parsed, table), "timestamp")
+        found = _as_plain_time(route(parsed, table), "timestamp")
+        return found.withColumn("rule_triggers", F.array_join("rule_triggers", ",")) if "rule_triggers" in found.columns else found
 
     return query
 
 
+def _signal_messages(t: DriverTables) -> DataFrame:
+    """All routed signals as messages, purchases as events without a route, clicks as payloads without a key."""
+    messages = t.events.filter("event_type = 'click'").select(F.col("props").alias("value"))
+    other = t.events.filter("event_type = 'purchase'").select(F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type")).alias("value"))
+    messages = messages.unionByName(other)
+    for part in (t.fraud_alerts, t.aml_alerts, t.customer_events):
+        fields = [c for c in part.columns if c in SIGNAL_EVENT]
+        messages = messages.unionByName(part.select(F.to_json(F.struct(*_wire_fields(fields))).alias("value")))
+    return messages
+
+
+def _judged(messages: DataFrame, layout: dict[str, str], routes: dict) -> DataFrame:
+    return judged(event_source.with_arrival(event_source.parse_messages(messages, layout)), routes)
+
+
+def _intake_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = DriverTables(spark, sf_dir)
+    payments = _judged(_payment_messages(t), PAYMENT_EVENT, PAYMENT_ROUTES).agg(*intake_counts())
+    signals = _judged(_signal_messages(t), SIGNAL_EVENT, ROUTES).agg(*intake_counts())
+    return payments.withColumn("stream", F.lit("payment_transactions")).unionByName(signals.withColumn("stream", F.lit("signals")))
+
+
+def _rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _judged(_signal_messages(DriverTables(spark, sf_dir)), SIGNAL_EVENT, ROUTES)
+    return rejected_rows(events, "signals").drop("ingested_at", "event_date")
+
+
+def _intake_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as triggers of one stream per user; errors lose what they do not route, sign-ups are no triggers."""
+    events = DriverTables(spark, sf_dir).events
+    k = F.col("k").cast("bigint")
+    triggers = events.select(
+        F.concat(F.lit("q"), F.col("user_id")).alias("query_id"),
+        F.concat(F.lit("stream "), F.col("user_id")).alias("query_name"),
+        F.when(F.col("event_type") != "signup", F.col("event_id")).alias("batch_id"),
+        F.col("ts").alias("trigger_at"),
+        k.alias("rows_in"),
+        k.alias("rows_read"),
+        (k - k % 3 - k % 2).alias("rows_kept"),
+        (k % 3).alias("rows_rejected"),
+        F.when(F.col("event_type") == "error", F.lit(0)).otherwise(k % 2).cast("bigint").alias("rows_unrouted"),
+        (k % 5).alias("rows_late"),
+        k.alias("state_rows"),
+    )
+    stale = triggers.withColumns({"trigger_at": F.col("trigger_at") - F.expr("INTERVAL 1 SECOND"), "rows_read": F.lit(7).cast("bigint")})
+    return intake_report(triggers.unionByName(stale))  # every trigger ran twice
+
+
 def _progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events read as triggers of one stream per user; sign-ups end their stream."""
     triggers = DriverTables(spark, sf_dir).events.select(
@@ -293,6 +342,9 @@ def library_queries() -> dict[str, Query]:
         # streaming transformations on batch input
         "payment_windows": _over(lambda t: _daily(activity.payment_windows(t.payments))),
         "progress_report": _progress_report,
+        "intake_account": _intake_account,
+        "rejected_events": _rejected_events,
+        "intake_report": _intake_report,
         "route_fraud": _routed("fraud_alerts"),
         "route_aml": _routed("aml_alerts"),
         "route_customer": _routed("customer_events"),

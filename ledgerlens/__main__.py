@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--starting-offsets", choices=["latest", "earliest"], default="latest")
     stream.add_argument("--max-offsets", type=int, default=5000)
     stream.add_argument("--trigger-seconds", type=int, default=30)
+    stream.add_argument("--fail-on-data-loss", action="store_true", help="stop where messages have gone before they were read")
     stream.add_argument("--progress-table", help="table that receives one row per trigger")
 
     batch = jobs.add_parser("batch", help="ingest customers, accounts and the daily roll-up")
@@ -56,6 +57,8 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--jdbc-driver")
     batch.add_argument("--jdbc-table", default="customers")
     batch.add_argument("--jdbc-fetch-size", type=int, default=5000)
+    batch.add_argument("--jdbc-timestamp-sql", default="{column}", help="the source's SQL that makes {column} a plain UTC timestamp")
+    batch.add_argument("--jdbc-literal-sql", default="TIMESTAMP '{text}'", help="the source's SQL for the UTC timestamp {text}")
     batch.add_argument("--num-partitions", type=int, default=1)
     batch.add_argument("--shard-sql", help="non-negative whole number per row, in the source's SQL, for parallel reads")
     batch.add_argument("--accounts-path")
@@ -111,7 +114,10 @@ def sources(args: argparse.Namespace) -> list[ingestion.Source]:
         if value:
             options[key] = value
     built = [
-        ingestion.customers_source(options, args.jdbc_table, num_partitions=args.num_partitions, shard_sql=args.shard_sql),
+        ingestion.customers_source(
+            options, args.jdbc_table, num_partitions=args.num_partitions, shard_sql=args.shard_sql,
+            timestamp_sql=args.jdbc_timestamp_sql, literal_sql=args.jdbc_literal_sql,
+        ),
         ingestion.accounts_source(args.accounts_path or "", args.accounts_pattern),
         ingestion.payments_source(args.payments_table),
     ]
@@ -163,8 +169,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(f"ledgerlens-{args.job}")
     if args.job == "stream":
         cfg = StreamConfig(
-            args.root, args.checkpoints, args.brokers, args.starting_offsets, args.max_offsets, args.trigger_seconds
-        )
+            args.root, args.checkpoints, args.brokers, args.starting_offsets, args.max_offsets, args.trigger_seconds,
+            fail_on_data_loss=args.fail_on_data_loss,
+        )
         run_streams(spark, cfg, STREAMS if args.stream == "all" else [args.stream], args.progress_table)
         return 0
     if args.job == "compact":

@@ -60,7 +60,7 @@ SIGNAL_EVENT: Layout = {
 }
 
 EVENT_KEY_COLUMNS = ("event_id", "event_type", "timestamp", "account_id")
-FRAUD_COLUMNS = (*EVENT_KEY_COLUMNS, "fraud_type", "ml_score", "action", "case_id", "event_date")
+FRAUD_COLUMNS = (*EVENT_KEY_COLUMNS, "fraud_type", "ml_score", "rule_triggers", "action", "case_id", "event_date")
 AML_COLUMNS = (*EVENT_KEY_COLUMNS, "alert_type", "risk_band", "sar_required", "total_amount_7d", "event_date")
 CUSTOMER_EVENT_COLUMNS = (*EVENT_KEY_COLUMNS, "channel", "auth_method", "login_success", "new_device", "event_date")
 
@@ -81,6 +81,17 @@ PAYMENT_WINDOW: Layout = {
     "event_date": "date",
 }
 
+# What a stream read and put into no event table, with the message itself.
+REJECTED_EVENT: Layout = {
+    "stream": "string",
+    "outcome": "string",
+    "event_id": "string",
+    "event_type": "string",
+    "message": "string",
+    "ingested_at": "timestamp",
+    "event_date": "date",
+}
+
 _SIGNAL_TYPES = {**SIGNAL_EVENT, "event_date": "date"}
 
 EVENT_LAYOUTS: dict[str, Layout] = {
@@ -89,6 +100,7 @@ EVENT_LAYOUTS: dict[str, Layout] = {
     "fraud_alerts": {c: _SIGNAL_TYPES[c] for c in FRAUD_COLUMNS},
     "aml_alerts": {c: _SIGNAL_TYPES[c] for c in AML_COLUMNS},
     "customer_events": {c: _SIGNAL_TYPES[c] for c in CUSTOMER_EVENT_COLUMNS},
+    "rejected_events": REJECTED_EVENT,
 }
 
 EVENT_PARTITIONS: dict[str, tuple[str, ...]] = {
@@ -97,9 +109,10 @@ EVENT_PARTITIONS: dict[str, tuple[str, ...]] = {
     "fraud_alerts": ("event_date", "fraud_type"),
     "aml_alerts": ("event_date", "risk_band"),
     "customer_events": ("event_date",),
+    "rejected_events": ("event_date", "outcome"),
 }
 
-EVENT_TABLES: dict[str, tuple[str, ...]] = {name: tuple(layout) for name, layout in EVENT_LAYOUTS.items()}
+EVENT_TABLES: dict[str, tuple[str, ...]] = {name: tuple(layout) for name, layout in EVENT_LAYOUTS.items() if name != "rejected_events"}
 
 CUSTOMER_MASTER: Layout = {
     "customer_id": "string",

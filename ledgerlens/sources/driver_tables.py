@@ -123,6 +123,7 @@ FRAUD_ALERT = (
     "CASE k % 4 WHEN 0 THEN 'CARD_NOT_PRESENT' WHEN 1 THEN 'ACCOUNT_TAKEOVER'"
     " WHEN 2 THEN 'IDENTITY_THEFT' ELSE 'SYNTHETIC_IDENTITY' END AS fraud_type",
     "CAST(70 + k % 31 AS DOUBLE) / CAST(100 AS DOUBLE) AS ml_score",
+    "filter(array(concat('RULE-', CAST(k % 4 AS STRING)), CASE WHEN k % 3 = 0 THEN 'VELOCITY' END), x -> x IS NOT NULL) AS rule_triggers",
     "CASE k % 3 WHEN 0 THEN 'BLOCK_AND_ALERT' WHEN 1 THEN 'FLAG_REVIEW' ELSE 'STEP_UP_AUTH' END AS action",
     "concat('CASE-2024-', lpad(CAST(event_id AS STRING), 9, '0')) AS case_id",
     "event_date",

@@ -23,15 +23,19 @@ def read_topics(
     topics: Iterable[str],
     starting_offsets: str = "latest",
     max_offsets: int = 5000,
+    fail_on_data_loss: bool = False,
 ) -> DataFrame:
-    """A stream over one or more topics, with a cap per trigger as back-pressure."""
+    """A stream over one or more topics, with a cap per trigger as back-pressure.
+
+    ``fail_on_data_loss``: stop where messages have gone before they were read, rather than go on after them.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", starting_offsets)
         .option("maxOffsetsPerTrigger", max_offsets)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .load()
     )
 
@@ -54,6 +58,13 @@ def parse_payload(messages: DataFrame, layout: Layout, column: str = "value") ->
     return parsed.select(*(_finite(c) if kind == "double" else F.col(c) for c, kind in layout.items()))
 
 
+def parse_messages(messages: DataFrame, layout: Layout, column: str = "value") -> DataFrame:
+    """As :func:`parse_payload`, with the text of the message beside its fields."""
+    text = F.col(column).cast("string")
+    parsed = messages.select(text.alias("message"), F.inline(F.array(F.from_json(text, ddl(layout)))))
+    return parsed.select("message", *(_finite(c) if kind == "double" else F.col(c) for c, kind in layout.items()))
+
+
 def _finite(column: str) -> Column:
     """NaN and the infinities are no amounts; one of them would spoil every total."""
     return F.when(F.abs(column) < F.lit(float("inf")), F.col(column)).alias(column)

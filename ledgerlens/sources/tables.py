@@ -31,6 +31,15 @@ def ensure_table(
     return name
 
 
+def widen_table(spark: SparkSession, name: str, layout: Layout) -> str:
+    """Add declared columns that an older table lacks; its rows read as NULL there."""
+    live = set(spark.table(name).columns)
+    missing = {c: kind for c, kind in layout.items() if c not in live}
+    if missing:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl(missing)})")
+    return name
+
+
 def ensure_target(spark: SparkSession, schema: str, target: Target, provider: str = "parquet") -> str:
     return ensure_table(spark, f"{schema}.{target.table}", target.layout, target.partition_by, provider)
 

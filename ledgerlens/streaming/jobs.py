@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.plans.activity import payment_windows
@@ -17,14 +18,12 @@ from ledgerlens.schemas import PAYMENT_EVENT, SIGNAL_EVENT
 from ledgerlens.sources.events import (
     PAYMENTS_TOPIC,
     SIGNAL_TOPICS,
-    drop_malformed,
-    parse_payload,
+    parse_messages,
     read_topics,
     with_arrival,
-    with_event_date,
 )
 from ledgerlens.streaming.progress import ProgressLog
-from ledgerlens.streaming.routing import batch_router
+from ledgerlens.streaming.routing import INTAKE, PAYMENT_ROUTES, ROUTES, batch_router, intake_counts, judged
 from ledgerlens.streaming.tables import replace_batch, stream_of
 
 WATERMARK = "2 minutes"
@@ -41,6 +40,7 @@ class StreamConfig:
     max_offsets: int = 5000
     trigger_seconds: int = 30
     available_now: bool = False
+    fail_on_data_loss: bool = False
 
     def trigger(self, factor: int = 1) -> dict[str, object]:
         if self.available_now:
@@ -48,13 +48,14 @@ class StreamConfig:
         return {"processingTime": f"{self.trigger_seconds * factor} seconds"}
 
 
-def parsed_payments(messages: DataFrame) -> DataFrame:
-    return with_arrival(drop_malformed(parse_payload(messages, PAYMENT_EVENT)))
+def judged_payments(messages: DataFrame) -> DataFrame:
+    """Payments with arrival and outcome, counted as they pass."""
+    return judged(with_arrival(parse_messages(messages, PAYMENT_EVENT)), PAYMENT_ROUTES).observe(INTAKE, *intake_counts())
 
 
-def parsed_signals(messages: DataFrame) -> DataFrame:
-    """Unreadable messages have no event type, so no route takes them."""
-    return with_event_date(parse_payload(messages, SIGNAL_EVENT))
+def judged_signals(messages: DataFrame) -> DataFrame:
+    """Signals with arrival and outcome, counted as they pass."""
+    return judged(with_arrival(parse_messages(messages, SIGNAL_EVENT)), ROUTES).observe(INTAKE, *intake_counts())
 
 
 def write_stream(
@@ -77,18 +78,21 @@ def _into(cfg: StreamConfig, table: str) -> Callable[[DataFrame, int], None]:
 
 def start_payments(messages: DataFrame, cfg: StreamConfig) -> StreamingQuery:
     table = "payment_transactions"
-    return write_stream(parsed_payments(messages), cfg, table, _into(cfg, table))
+    return write_stream(judged_payments(messages), cfg, table, batch_router(cfg.root, table, PAYMENT_ROUTES))
 
 
 def start_aggregates(messages: DataFrame, cfg: StreamConfig) -> StreamingQuery:
-    """A window is written once, when the watermark has passed its end."""
+    """A window is written once, when the watermark has passed its end.
+
+    Malformed messages are counted here and stored by the stream of raw payments.
+    """
     table = "payment_agg"
-    windows = payment_windows(parsed_payments(messages), WATERMARK)
+    windows = payment_windows(judged_payments(messages).filter(F.col("outcome") == "kept"), WATERMARK)
     return write_stream(windows, cfg, table, _into(cfg, table), factor=2)
 
 
 def start_signals(messages: DataFrame, cfg: StreamConfig) -> StreamingQuery:
-    return write_stream(parsed_signals(messages), cfg, "signals", batch_router(cfg.root))
+    return write_stream(judged_signals(messages), cfg, "signals", batch_router(cfg.root))
 
 
 STREAMS: dict[str, tuple[tuple[str, ...], Callable[[DataFrame, StreamConfig], StreamingQuery]]] = {
@@ -103,7 +107,7 @@ def topic_reader(spark: SparkSession, cfg: StreamConfig) -> Callable[[tuple[str,
 
     def read(topics: tuple[str, ...]) -> DataFrame:
         cap = cfg.max_offsets if len(topics) == 1 else max(cfg.max_offsets // 2, 1)
-        return read_topics(spark, cfg.brokers, topics, cfg.starting_offsets, cap)
+        return read_topics(spark, cfg.brokers, topics, cfg.starting_offsets, cap, cfg.fail_on_data_loss)
 
     return read
 

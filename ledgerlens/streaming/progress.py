@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import threading
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from ledgerlens.schemas import Layout, ddl
-from ledgerlens.sources.tables import append, ensure_table
+from ledgerlens.sources.tables import append, ensure_table, widen_table
+from ledgerlens.streaming.routing import INTAKE, OUTCOMES
 
 PROGRESS: Layout = {
     "query_id": "string",
@@ -21,6 +23,12 @@ PROGRESS: Layout = {
     "rows_per_second": "double",
     "trigger_ms": "bigint",
     "status": "string",
+    "rows_read": "bigint",
+    "rows_kept": "bigint",
+    "rows_rejected": "bigint",
+    "rows_unrouted": "bigint",
+    "rows_late": "bigint",
+    "state_rows": "bigint",
 }
 
 
@@ -42,7 +50,12 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         spent = dict(p.durationMs).get("triggerExecution")
-        self._note(str(p.id), p.name, p.batchId, p.timestamp, p.numInputRows, p.processedRowsPerSecond, spent, "RUNNING")
+        counted = p.observedMetrics.get(INTAKE)
+        intake = [counted[c] if counted else None for c in ("rows_read", *(f"rows_{o}" for o in OUTCOMES))]
+        held = p.stateOperators
+        late = sum(o.numRowsDroppedByWatermark for o in held) if held else None
+        state = sum(o.numRowsTotal for o in held) if held else None
+        self._note(str(p.id), p.name, p.batchId, p.timestamp, p.numInputRows, p.processedRowsPerSecond, spent, "RUNNING", *intake, late, state)
 
     def onQueryIdle(self, event) -> None:
         self._note(str(event.id), None, None, event.timestamp, 0, 0.0, None, "IDLE")
@@ -51,9 +64,9 @@ class ProgressLog(StreamingQueryListener):
         now = datetime.now(timezone.utc).isoformat(timespec="milliseconds")
         self._note(str(event.id), None, None, now, 0, 0.0, None, "FAILED" if event.exception else "STOPPED")
 
-    def _note(self, query_id, name, batch_id, moment, rows, rate, spent, status) -> None:
+    def _note(self, query_id, name, batch_id, moment, rows, rate, spent, status, *counts) -> None:
         with self._lock:
-            self._rows.append((query_id, name or self._names.get(query_id), batch_id, moment, rows, rate, spent, status))
+            self._rows.append((query_id, name or self._names.get(query_id), batch_id, moment, rows, rate, spent, status, *counts))
 
     def rows(self, spark: SparkSession) -> DataFrame:
         with self._lock:
@@ -63,14 +76,15 @@ class ProgressLog(StreamingQueryListener):
     @staticmethod
     def _frame(spark: SparkSession, noted: list[tuple]) -> DataFrame:
         plain = {**PROGRESS, "trigger_at": "string"}
-        return spark.createDataFrame(noted, ddl(plain)).withColumn("trigger_at", F.col("trigger_at").cast("timestamp"))
+        whole = [(*row, *[None] * (len(plain) - len(row))) for row in noted]
+        return spark.createDataFrame(whole, ddl(plain)).withColumn("trigger_at", F.col("trigger_at").cast("timestamp"))
 
     def flush(self, spark: SparkSession, table: str) -> int:
         """Append what was noted since the last flush; rows stay noted if the write fails."""
         with self._lock:
             noted = list(self._rows)
         if noted:
-            append(self._frame(spark, noted), ensure_table(spark, table, PROGRESS), files=1)
+            append(self._frame(spark, noted), widen_table(spark, ensure_table(spark, table, PROGRESS), PROGRESS), files=1)
             with self._lock:
                 del self._rows[: len(noted)]
         return len(noted)
@@ -118,3 +132,23 @@ def progress_report(progress: DataFrame, idle_triggers: int = 3) -> DataFrame:
         F.coalesce("_ended", F.lit("RUNNING")).alias("status"),
         F.coalesce(starved, F.lit(False)).alias("starved"),
     )
+
+
+def intake_report(progress: DataFrame) -> DataFrame:
+    """Per query: what became of the messages it read, and of the rows that came too late for its windows.
+
+    ``unaccounted`` is what was read and neither kept, rejected nor unrouted: 0 unless
+    messages were lost on the way. ``rows_late`` are rows below the watermark that no
+    window took; late rows of one window that arrive in one trigger are combined before
+    they are counted, so it is a lower bound of the events. A trigger that ran twice is
+    counted by its newest row.
+    """
+    counts = ["rows_read", *(f"rows_{o}" for o in OUTCOMES), "rows_late"]
+    ran = progress.filter(F.col("batch_id").isNotNull() & (F.col("rows_read").isNotNull() | F.col("rows_late").isNotNull()))
+    newest = F.max_by(F.struct("query_name", *counts, "state_rows"), F.struct("trigger_at", "rows_in")).alias("last")
+    triggers = ran.groupBy("query_id", "batch_id").agg(newest).select("query_id", "batch_id", "last.*")
+    totals = triggers.groupBy("query_id").agg(
+        F.max("query_name").alias("query_name"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts), F.max("state_rows").alias("peak_state_rows")
+    )
+    stored = reduce(Column.__add__, (F.col(f"rows_{o}") for o in OUTCOMES))
+    return totals.withColumn("unaccounted", F.col("rows_read") - stored)

@@ -63,6 +63,7 @@ VIEWS = {
                CASE k % 4 WHEN 0 THEN 'CARD_NOT_PRESENT' WHEN 1 THEN 'ACCOUNT_TAKEOVER'
                     WHEN 2 THEN 'IDENTITY_THEFT' ELSE 'SYNTHETIC_IDENTITY' END AS fraud_type,
                CAST(70 + k % 31 AS DOUBLE) / CAST(100 AS DOUBLE) AS ml_score,
+               list_filter([concat('RULE-', CAST(k % 4 AS VARCHAR)), CASE WHEN k % 3 = 0 THEN 'VELOCITY' END], lambda x: x IS NOT NULL) AS rule_triggers,
                CASE k % 3 WHEN 0 THEN 'BLOCK_AND_ALERT' WHEN 1 THEN 'FLAG_REVIEW' ELSE 'STEP_UP_AUTH' END AS action,
                concat('CASE-2024-', lpad(CAST(event_id AS STRING), 9, '0')) AS case_id, event_date
         FROM ev WHERE event_type = 'error'
@@ -408,8 +409,31 @@ ORACLE: dict[str, str] = {
     ),
     "route_fraud": _q(
         "fraud_alerts",
-        """SELECT CAST(event_id AS STRING) AS event_id, event_type, "timestamp", account_id, fraud_type, ml_score, action, case_id,
-                  event_date FROM fraud_alerts""",
+        """SELECT CAST(event_id AS STRING) AS event_id, event_type, "timestamp", account_id, fraud_type, ml_score,
+                  array_to_string(rule_triggers, ',') AS rule_triggers, action, case_id, event_date FROM fraud_alerts""",
+    ),
+    "intake_account": _q(
+        "ev fraud_alerts aml_alerts customer_events",
+        """SELECT 'payment_transactions' AS stream, count(*) AS rows_read, count(*) FILTER (event_type IN ('purchase', 'click')) AS rows_kept,
+                  count(*) FILTER (event_type NOT IN ('purchase', 'click')) AS rows_rejected, CAST(0 AS BIGINT) AS rows_unrouted FROM events
+           UNION ALL
+           SELECT 'signals', kept + bad + other, kept, bad, other FROM (
+               SELECT (SELECT count(*) FROM fraud_alerts) + (SELECT count(*) FROM aml_alerts) + (SELECT count(*) FROM customer_events) AS kept,
+                      count(*) FILTER (event_type = 'click') AS bad, count(*) FILTER (event_type = 'purchase') AS other FROM events)""",
+    ),
+    "rejected_events": """SELECT 'signals' AS stream, CASE event_type WHEN 'click' THEN 'rejected' ELSE 'unrouted' END AS outcome,
+                                 CASE event_type WHEN 'purchase' THEN CAST(event_id AS VARCHAR) END AS event_id,
+                                 CASE event_type WHEN 'purchase' THEN event_type END AS event_type,
+                                 CASE event_type WHEN 'click' THEN props
+                                      ELSE concat('{"event_id":"', event_id, '","event_type":"', event_type, '"}') END AS message
+                          FROM events WHERE event_type IN ('click', 'purchase')""",
+    "intake_report": _q(
+        "ev",
+        """SELECT concat('q', user_id) AS query_id, concat('stream ', user_id) AS query_name, CAST(sum(k) AS BIGINT) AS rows_read,
+                  CAST(sum(k - k % 3 - k % 2) AS BIGINT) AS rows_kept, CAST(sum(k % 3) AS BIGINT) AS rows_rejected,
+                  CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE k % 2 END) AS BIGINT) AS rows_unrouted, CAST(sum(k % 5) AS BIGINT) AS rows_late,
+                  CAST(max(k) AS BIGINT) AS peak_state_rows, CAST(sum(CASE WHEN event_type = 'error' THEN k % 2 ELSE 0 END) AS BIGINT) AS unaccounted
+           FROM ev WHERE event_type != 'signup' GROUP BY user_id""",
     ),
     "route_aml": _q(
         "aml_alerts",

@@ -146,6 +146,8 @@ def test_topic_options():
         "format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "a,b", "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": 700, "failOnDataLoss": "false",
     }
+    strict = StreamConfig("r", "c", "host:9092", fail_on_data_loss=True)
+    assert topic_reader(Recorder(), strict)(("a",)).options["failOnDataLoss"] == "true"
     cfg = StreamConfig("r", "c", "host:9092", max_offsets=5000)
     assert topic_reader(Recorder(), cfg)(("a",)).options["maxOffsetsPerTrigger"] == 5000
     assert topic_reader(Recorder(), cfg)(("a", "b")).options["maxOffsetsPerTrigger"] == 2500

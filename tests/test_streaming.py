@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import date
 from pathlib import Path
 
@@ -9,11 +10,11 @@ from pyspark.sql import functions as F
 
 from ledgerlens.schemas import EVENT_LAYOUTS, PAYMENT_EVENT, SIGNAL_EVENT
 from ledgerlens.session import list_folders
-from ledgerlens.sources.events import drop_malformed, parse_payload, read_json_files, rejected_messages
+from ledgerlens.sources.events import drop_malformed, parse_messages, parse_payload, read_json_files, rejected_messages, with_arrival
 from ledgerlens.streaming import jobs, tables
 from ledgerlens.streaming.jobs import StreamConfig, start_aggregates, start_payments, start_signals, start_streams, stop_all
-from ledgerlens.streaming.progress import ProgressLog, progress_report
-from ledgerlens.streaming.routing import ROUTES, batch_router, route
+from ledgerlens.streaming.progress import PROGRESS, ProgressLog, intake_report, progress_report
+from ledgerlens.streaming.routing import ROUTES, batch_router, judged, route
 from ledgerlens.streaming.tables import compact_days, read_event_table, replace_batch, stream_of
 
 
@@ -208,19 +209,24 @@ def test_signals_are_routed_by_type(spark, lake):
     run(start_signals, spark, inbox, cfg)
     assert stored(spark, cfg) == WANTED
     fraud = read_event_table(spark, cfg.root, "fraud_alerts").first()
-    assert (fraud.ml_score, fraud.fraud_type, str(fraud.event_date)) == (0.9, "IDENTITY_THEFT", "2024-05-02")
+    assert (fraud.ml_score, fraud.fraud_type, str(fraud.event_date), fraud.rule_triggers) == (0.9, "IDENTITY_THEFT", "2024-05-02", ["R1", "R2"])
+    left = {(r.stream, r.outcome, r.event_id, r.event_type, r.message) for r in read_event_table(spark, cfg.root, "rejected_events").collect()}
+    unrouted = json.dumps(signals()[4])
+    assert left == {("signals", "rejected", None, None, "not json"), ("signals", "unrouted", "u", "SOMETHING_ELSE", unrouted)}
 
 
 def test_a_replayed_batch_does_not_count_twice(spark, lake):
     _, cfg = lake
     messages = spark.createDataFrame([(m if isinstance(m, str) else json.dumps(m),) for m in signals()], "value string")
-    events = parse_payload(messages, SIGNAL_EVENT).withColumn("event_date", F.to_date("timestamp"))
+    events = judged(with_arrival(parse_messages(messages, SIGNAL_EVENT)))
     write = batch_router(cfg.root, stream=lambda _: "s1")
     for batch_id in (0, 1, 1, 0):
         write(events, batch_id)
     for table, ids in WANTED.items():
         df = read_event_table(spark, cfg.root, table)
         assert df.count() == 2 * len(ids), table
+    left = read_event_table(spark, cfg.root, "rejected_events")
+    assert sorted((r.outcome, r.event_id) for r in left.collect()) == [("rejected", None)] * 2 + [("unrouted", "u")] * 2
     assert route(events, "customer_events").columns == list(ROUTES["customer_events"].columns)
 
 
@@ -287,3 +293,69 @@ def test_a_failing_stream_raises(spark, lake):
     query = read_json_files(spark, str(inbox)).writeStream.foreachBatch(broken).option("checkpointLocation", f"{cfg.checkpoints}/x").trigger(availableNow=True).start()
     with pytest.raises(Exception, match="table is gone"):
         query.awaitTermination(120)
+
+
+def progress_of(spark, start, inbox, cfg):
+    """Progress of one stream run to its end."""
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        run(start, spark, inbox, cfg)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    return log.rows(spark)
+
+
+def account(progress):
+    return [(r.query_name, r.rows_read, r.rows_kept, r.rows_rejected, r.rows_unrouted, r.rows_late, r.unaccounted) for r in intake_report(progress).collect()]
+
+
+def test_every_message_read_is_accounted_for(spark, lake):
+    inbox, cfg = lake
+    drop(inbox, "a.json", signals())
+    drop(inbox, "b.json", [*signals()[:2], "{}", "null", '{"event_type": "FRAUD_SIGNAL"}', '{"event_id": "n"}'])
+    progress = progress_of(spark, start_signals, inbox, cfg)
+    assert account(progress) == [("signals", 12, 6, 4, 2, 0, 0)]
+    assert sorted((r.rows_in, r.rows_read, r.rows_kept) for r in progress.filter("rows_in > 0").collect()) == [(6, 6, 2), (6, 6, 4)]
+    left = read_event_table(spark, cfg.root, "rejected_events")
+    assert left.count() == 6 and sum(read_event_table(spark, cfg.root, t).count() for t in ROUTES) == 6
+    assert {r.message for r in left.filter("outcome = 'rejected'").collect()} == {"not json", "{}", "null", '{"event_type": "FRAUD_SIGNAL"}'}
+
+
+def test_payments_keep_what_they_reject(spark, lake):
+    inbox, cfg = lake
+    drop(inbox, "a.json", [payment("1", "10:00:00"), "broken {", payment("2", "10:00:00", event_type=None), '{"amount": 3}'])
+    assert account(progress_of(spark, start_payments, inbox, cfg)) == [("payment_transactions", 4, 2, 2, 0, 0, 0)]
+    left = read_event_table(spark, cfg.root, "rejected_events").collect()
+    assert {(r.stream, r.outcome, r.message) for r in left} == {("payment_transactions", "rejected", m) for m in ("broken {", '{"amount": 3}')}
+    assert all(r.ingested_at is not None and r.event_date == r.ingested_at.date() for r in left)
+
+
+def test_late_rows_are_counted(spark, lake):
+    inbox, cfg = lake
+    drop(inbox, "a.json", [payment("1", "00:01:00"), payment("2", "00:06:00")])
+    drop(inbox, "b.json", [payment("3", "00:30:00"), "broken"])
+    drop(inbox, "c.json", [payment("4", "00:31:00")])  # closes the windows that b.json has moved the watermark past
+    drop(inbox, "d.json", [payment("5", "00:02:00"), payment("6", "00:07:00"), payment("7", "00:31:00")])
+    for i, name in enumerate("abcd"):  # files are read in the order of their times
+        os.utime(inbox / f"{name}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    progress = progress_of(spark, start_aggregates, inbox, cfg)
+    assert account(progress) == [("payment_agg", 8, 7, 1, 0, 2, 0)]
+    assert progress.agg(F.max("state_rows")).first()[0] >= 2
+
+
+def test_an_older_progress_table_is_widened(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS stream_old")
+    old = list(PROGRESS)[:8]
+    spark.sql("CREATE TABLE stream_old.progress USING parquet AS SELECT " + ", ".join(f"CAST(NULL AS {PROGRESS[c]}) AS {c}" for c in old))
+    log = ProgressLog()
+    log._note("q", "n", 0, "2024-05-02 10:00:00", 5, 1.0, 10, "RUNNING", 5, 3, 1, 1, 2, 9)
+    log.flush(spark, "stream_old.progress")
+    assert account(spark.table("stream_old.progress")) == [("n", 5, 3, 1, 1, 2, 0)]
+
+
+def test_a_trigger_that_ran_twice_counts_once(spark):
+    rows = [("q", "n", 0, f"2024-05-02 10:00:0{i}", 5, 0.0, 10, "RUNNING", 5, 3, 1, 0, None, None) for i in range(2)]
+    rows += [("q", "n", None, "2024-05-02 11:00:00", 0, 0.0, None, "STOPPED"), ("p", "old", 0, "2024-05-02 10:00:00", 5, 0.0, 10, "RUNNING")]
+    assert account(ProgressLog._frame(spark, rows)) == [("n", 5, 3, 1, 0, 0, 1)]
