@@ -178,6 +178,13 @@ def _split(t: DriverTables) -> tuple[DataFrame, DataFrame]:
     return upsert.stage(before, KEY, ORDER, tie_break=TIE), upsert.stage(after, KEY, ORDER, tie_break=TIE)
 
 
+def _extended_intervals(t: DriverTables) -> DataFrame:
+    """Intervals of every other version, extended by the rest: changes that come late, in between and after."""
+    odd = F.col("version_id") % 2 == 1
+    known = history.intervals(t.changelog.filter(odd), KEY, tie_break=TIE)
+    return history.extend_intervals(known, t.changelog.filter(~odd), KEY, tie_break=TIE)
+
+
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, staged = _split(DriverTables(spark, sf_dir))
     return upsert.upsert(target, staged, KEY, ORDER)
@@ -456,6 +463,9 @@ def library_queries() -> dict[str, Query]:
         ),
         # change log
         "state_as_of": _over(lambda t: history.state_as_of(t.changelog, KEY, CUT, tie_break=TIE)),
+        "interval_history": _over(lambda t: history.intervals(t.changelog, KEY, tie_break=TIE)),
+        "state_in_intervals": _over(lambda t: history.state_in_intervals(history.intervals(t.changelog, KEY, tie_break=TIE), CUT)),
+        "extend_intervals": _over(_extended_intervals),
         "commit_history": _over(lambda t: history.commit_history(t.changelog, KEY)),
         "prune_changelog": _over(
             lambda t: history.prune_changelog(t.changelog, KEY, datetime(2001, 1, 1), 5, tie_break=TIE)

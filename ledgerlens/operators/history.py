@@ -1,4 +1,4 @@
-"""Reports over a change log: as-of state, commit history, retention, compaction."""
+"""Reports over a change log: as-of state, validity intervals, commit history, retention, compaction."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.params import moment_like
-from ledgerlens.operators.upsert import publish, stage
+from ledgerlens.operators.upsert import has_keys, publish, stage
 
 
 def state_as_of(
@@ -25,6 +25,55 @@ def state_as_of(
     return stage(seen, keys, committed, tie_break=tie_break)
 
 
+def intervals(
+    changelog: DataFrame, keys: Sequence[str], committed: str = "changed_at", tie_break: Sequence[str] = (), bucket: str = "month"
+) -> DataFrame:
+    """Each version with ``valid_from`` and ``valid_to``: from its commit up to the next one of its key.
+
+    ``valid_to`` is NULL for a key's newest version. Of versions committed at one moment
+    the last by ``tie_break`` is valid, the others end where they begin. Versions without
+    a commit time or a full key are never valid.
+
+    A key's history is linked ``bucket`` by bucket, and buckets by their first moments, so
+    that a key with very many versions is spread over tasks.
+    """
+    dated = changelog.filter(has_keys(keys) & F.col(committed).isNotNull()).withColumn("_bucket", F.date_trunc(bucket, F.col(committed)))
+    oldest_first = [F.col(c).asc_nulls_first() for c in (committed, *tie_break)]
+    within = F.lead(committed).over(Window.partitionBy(*keys, "_bucket").orderBy(*oldest_first))
+    firsts = dated.groupBy(*keys, "_bucket").agg(F.min(committed).alias("_first"))
+    after = firsts.withColumn("_after", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bucket"))).drop("_first")
+    linked = dated.withColumn("_next", within).join(after, [*keys, "_bucket"])
+    valid = linked.select(*changelog.columns, F.col(committed).alias("valid_from"), F.coalesce("_next", "_after").alias("valid_to"))
+    kind = changelog.schema[committed].dataType
+    never = F.lit(None).cast(kind)
+    rest = changelog.filter(~has_keys(keys) | F.col(committed).isNull())
+    return valid.unionByName(rest.withColumns({"valid_from": never, "valid_to": never}))
+
+
+def state_in_intervals(history: DataFrame, moment: datetime) -> DataFrame:
+    """What :func:`state_as_of` gives, from validity intervals: a filter, with nothing to rank or to shuffle."""
+    then = moment_like(history, "valid_from", moment)
+    valid = (F.col("valid_from") <= then) & (F.col("valid_to").isNull() | (F.col("valid_to") > then))
+    return history.filter(valid).drop("valid_from", "valid_to")
+
+
+def extend_intervals(
+    history: DataFrame, changes: DataFrame, keys: Sequence[str], committed: str = "changed_at", tie_break: Sequence[str] = (), bucket: str = "month"
+) -> DataFrame:
+    """``history`` with further versions, late ones included.
+
+    Only versions that are valid at or after the earliest change of their key are linked
+    anew; all others keep their intervals and are not shuffled where the changed keys fit
+    a broadcast.
+    """
+    earliest = changes.filter(has_keys(keys)).groupBy(*keys).agg(F.min(committed).alias("_earliest"))
+    marked = history.join(earliest, list(keys), "left")
+    reaches = F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("_earliest")))
+    again = F.coalesce(F.col("_earliest").isNotNull() & reaches, F.lit(False))
+    relinked = marked.filter(again).select(*changes.columns).unionByName(changes)
+    return marked.filter(~again).select(*history.columns).unionByName(intervals(relinked, keys, committed, tie_break, bucket))
+
+
 def commit_history(changelog: DataFrame, keys: Sequence[str], committed: str = "changed_at") -> DataFrame:
     """Rows and keys touched per commit, with the running row count of the log.
 

@@ -114,6 +114,10 @@ _NEEDS = {name: ["ev"] for name in ("payments", "fraud_alerts", "aml_alerts", "c
 _NEEDS.update({"newest_before": ["changelog"], "newest_after": ["changelog"]})
 
 
+_INTERVALS = """SELECT *, changed_at AS valid_from, lead(changed_at) OVER (PARTITION BY entity_key ORDER BY changed_at, version_id) AS valid_to
+                FROM changelog"""
+
+
 def _q(views: str, body: str, extra: dict[str, str] | None = None) -> str:
     """``body`` with the named views (and those they need) as common table expressions."""
     names: list[str] = []
@@ -784,6 +788,13 @@ ORACLE: dict[str, str] = {
         f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY changed_at DESC, version_id DESC) AS rn
             FROM changelog WHERE changed_at <= {CUT}) WHERE rn = 1""",
     ),
+    "interval_history": _q("changelog", _INTERVALS),
+    "extend_intervals": _q("changelog", _INTERVALS),
+    "state_in_intervals": _q(
+        "changelog",
+        f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY changed_at DESC, version_id DESC) AS rn
+            FROM changelog WHERE changed_at <= {CUT}) WHERE rn = 1""",
+    ),
     "commit_history": _q(
         "changelog",
         """SELECT changed_at, count(*) AS rows_committed, count(DISTINCT entity_key) AS keys_touched,

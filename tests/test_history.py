@@ -61,3 +61,43 @@ def test_compaction_rewrites_only_the_selected_partitions(spark):
     assert sorted(r.v for r in spark.table(table).filter("d = DATE'2024-01-02'").collect()) == list(range(5))
     h.compact(spark, table, ["d"])
     assert {r.file_count for r in partition_stats(spark.table(table), ["d"]).collect()} == {1}
+
+
+def links(df):
+    return sorted((str(r.k), r.v, r.valid_from, r.valid_to) for r in df.collect())
+
+
+def linked_by_hand(data):
+    """Versions (key, value, day) in order, each with the day of the next one of its key."""
+    out = []
+    for k, v, d in data:
+        later = sorted((x[2], x[1]) for x in data if x[0] == k and x[2] is not None and d is not None and (x[2], x[1]) > (d, v))
+        valid = d is not None and k is not None
+        out.append((str(k), v, datetime(2024, 1, d) if valid else None, datetime(2024, 1, later[0][0]) if valid and later else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_intervals_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    data = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), i, rng.choice([None, *range(1, 29)])) for i in range(150)]
+    schema = "k string, v int, changed_at timestamp"
+    whole = spark.createDataFrame([(k, v, d and datetime(2024, 1, d)) for k, v, d in data], schema)
+    history = h.intervals(whole, ["k"], tie_break=["v"], bucket="week")
+    assert sorted(links(history), key=str) == linked_by_hand(data)
+    for day in (1, 9, 15, 28):
+        moment = datetime(2024, 1, day)
+        assert pairs(h.state_in_intervals(history, moment)) == pairs(h.state_as_of(whole, ["k"], moment, tie_break=["v"]))
+    some = rng.randint(1, 140)
+    for first, second in ((F.col("v") < some, F.col("v") >= some), (F.col("v") >= some, F.col("v") < some), (F.col("v") % 3 == 0, F.col("v") % 3 != 0), (F.lit(False), F.lit(True)), (F.lit(True), F.lit(False))):
+        known = h.intervals(whole.filter(first), ["k"], tie_break=["v"])
+        grown = h.extend_intervals(known, whole.filter(second), ["k"], tie_break=["v"], bucket="day")
+        assert sorted(links(grown), key=str) == linked_by_hand(data)
+
+
+def test_a_stored_history_is_filtered_without_shuffle(spark, tmp_path):
+    h.intervals(log(spark, DATA), ["k"], tie_break=["v"]).write.parquet(f"{tmp_path}/history")
+    state = h.state_in_intervals(spark.read.parquet(f"{tmp_path}/history"), datetime(2024, 1, 5))
+    assert pairs(state) == [("a", 2), ("b", 5)] and state.columns == ["k", "v", "changed_at"]
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "LessThanOrEqual(valid_from" in plan
