@@ -220,6 +220,12 @@ FACT_PAYMENT_DAILY = Target(
     watermark="last_txn_at",
 )
 
+REJECTED_LINES = Target(
+    table="rejected_lines",
+    keys=("batch_id", "source"),
+    layout={"batch_id": "string", "source": "string", "source_file": "string", "reason": "string", "line": "string"},
+)
+
 RUN_LOG = Target(
     table="ingestion_audit",
     keys=("batch_id", "source"),

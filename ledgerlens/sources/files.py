@@ -12,22 +12,36 @@ from ledgerlens.operators.upsert import classify_changes, publish, stage, upsert
 from ledgerlens.schemas import ACCOUNT_FILE, CUSTOMER_MASTER, ddl
 
 
-def read_accounts(spark: SparkSession, path: str, pattern: str = "*.csv", batch_ts: datetime | None = None) -> DataFrame:
-    """Account reference files: a full snapshot with its lineage.
+CORRUPT = "_corrupt_line"
+
+
+def account_lines(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+    """Every line of the account files, with its file and, where it does not parse, the line itself in ``CORRUPT``.
 
-    A line that does not parse is left out; it must not blank out an account. A
-    file whose header names other columns, or the same in another order, is an
-    error. Without a change time in the files, the run's own stands in: the last run wins.
+    A file whose header names other columns, or the same in another order, is an error.
+    All columns are parsed, whichever are asked for: a line must not be well formed in
+    one query and malformed in another.
     """
-    rows = (
-        spark.read.schema(ddl(ACCOUNT_FILE))
-        .option("header", "true")
-        .option("enforceSchema", "false")
-        .option("mode", "DROPMALFORMED")
+    return (
+        spark.read.schema(ddl({**ACCOUNT_FILE, CORRUPT: "string"}))
+        .options(header="true", enforceSchema="false", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning="false")
         .option("pathGlobFilter", pattern)
         .csv(path)
-        .filter(F.col("account_id").isNotNull())
         .withColumn("source_file", F.col("_metadata.file_path"))
+    )
+
+
+def read_accounts(spark: SparkSession, path: str, pattern: str = "*.csv", batch_ts: datetime | None = None) -> DataFrame:
+    """Account reference files: a full snapshot with its lineage.
+
+    A line that does not parse or names no account is left to :func:`rejected_lines`; it
+    must not blank out an account. Without a change time in the files, the run's own
+    stands in: the last run wins.
+    """
+    rows = (
+        account_lines(spark, path, pattern)
+        .filter(F.col(CORRUPT).isNull() & F.col("account_id").isNotNull())
+        .drop(CORRUPT)
         .withColumn("source_system", F.lit(f"file://{path}"))
     )
     if batch_ts is None:
@@ -36,6 +50,13 @@ def read_accounts(spark: SparkSession, path: str, pattern: str = "*.csv", batch_
     return stamped.withColumn("src_updated_at", moment_like(stamped, "src_updated_at", batch_ts))
 
 
+def rejected_lines(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+    """source_file, reason, line: what :func:`read_accounts` leaves out. A parsed line without an account is given as JSON."""
+    lines = account_lines(spark, path, pattern).filter(F.col(CORRUPT).isNotNull() | F.col("account_id").isNull())
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise("no account")
+    return lines.select("source_file", reason.alias("reason"), F.coalesce(CORRUPT, F.to_json(F.struct(*ACCOUNT_FILE))).alias("line"))
+
+
 def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
     """The 25-column customer file; empty fields are NULL.
 

@@ -113,6 +113,14 @@ def test_account_files(spark, tmp_path):
     source = ing.accounts_source(str(folder))
     first = ing.ingest(spark, config("ing_acc", 1), source)
     assert counts(first) == ("OK", 2, 2, 0)
+    assert first["message"] == "3 line(s) rejected"
+    left = {(r.source, r.source_file.rsplit("/", 1)[-1], r.reason, r.line) for r in spark.table("ing_acc.rejected_lines").filter("batch_id = 'b1'").collect()}
+    assert left == {
+        ("accounts", "a.csv", "malformed", "ACC-TH-10000002,GOLD,Phuket"), ("accounts", "b.csv", "malformed", "x,y,z,w,extra"),
+        ("accounts", "a.csv", "no account", '{"customer_tier":"GOLD","city":"Bangkok","country":"TH"}'),
+    }
+    dry = ing.ingest(spark, config("ing_acc", 7, dry_run=True), source)
+    assert dry["message"] == "rows were only counted; 3 line(s) rejected" and spark.table("ing_acc.rejected_lines").count() == 3
     second = ing.ingest(spark, config("ing_acc", 2, since=datetime(2024, 1, 1)), source)
     # A full snapshot: the override has no effect, and the log does not claim one.
     assert counts(second) == ("OK", 2, 0, 2) and second["watermark"] is None
