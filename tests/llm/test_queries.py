@@ -68,3 +68,16 @@ def test_pipeline_against_a_plain_version(spark):
     found = corpus_pipeline.run(spark, SF_DIR).collect()
     assert Counter((r["doc_id"], r["start"], tuple(r["ids"])) for r in found) == +want
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near duplicates", "substrings", "mixing", "packing"]
+
+
+def test_pipeline_on_odd_rows_and_an_empty_table(spark, sample, nothing, tmp_path):
+    nothing.write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    sample.unionByName(sample.filter("doc_id IS NULL OR doc_id % 7 = 0")).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    found = corpus_pipeline.run(spark, f"{tmp_path}/odd")
+    judged = corpus_pipeline.quality_stage(spark, sample, "")
+    assert judged.columns == corpus_pipeline.COLUMNS
+    passed = {r["doc_id"] for r in judged.collect()}
+    ids = {r["doc_id"] for r in found.select("doc_id").distinct().collect()}
+    assert ids and ids <= passed
+    assert found.filter("length < 1 OR length > 1024 OR length != size(ids)").count() == 0
