@@ -1,4 +1,12 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage takes what its predecessor has written. Null, empty and blank texts fail the
+first stage's least length. Ids and sources may be null or repeated: of rows with one text
+one stays in the second stage, the one of least id; null is a source of its own, the last.
+Ties between classes, ranks and pieces fall as the operators' own docstrings say. Texts of
+any length are taken whole. Columns other than those of ``documents`` are dropped by the
+first stage, whatever their names. An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
