@@ -14,8 +14,8 @@ signatures do not rule out (by six standard deviations) is compared by its shing
 
 No bucket's members are paired off with each other at first: each meets the bucket's
 first member. Where the classes found so far leave a bucket divided, members outside
-its largest class meet a few of that class, some rounds long, which joins nearly all
-of a large group. What is still divided then meets everything in its bucket that is of
+its largest class meet a few of that class, as long as a round links some of them, which
+joins nearly all of a large group. What is still divided then meets everything in its bucket that is of
 another class, so no link is lost.
 
 A divided bucket's members are paired under a condition that is part of the join: an
@@ -53,8 +53,12 @@ COORDINATES = ROWS * BANDS
 DARTS = math.ceil(COORDINATES * math.log(COORDINATES)) + 2 * COORDINATES
 #: Cells of the plane that are looked at together.
 CELLS = 1 << 17
-#: Edges that one task of a star round takes at least.
-EDGES = 100_000
+#: Edges that one task of a star round takes at least; so many rows of one task need no shuffle.
+EDGES = 500_000
+#: Members of open buckets, with their sketches, that one task takes at least.
+MEMBERS = 100_000
+#: A round that links fewer than this share of the members it opened is followed by the last one.
+WORTHWHILE = 0.01
 #: Pairs whose signatures one task compares at least.
 PAIRS = 5_000
 #: 64-bit words of an odd sketch.
@@ -205,8 +209,8 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("a", "b")], names=["a", "b"])
 
 
-def _sized(rows: DataFrame, n: int, each: int = EDGES) -> DataFrame:
-    """In as many tasks as ``n`` counted rows ask for; a table of many stays as it is."""
+def _sized(rows: DataFrame, n: int, each: int = MEMBERS) -> DataFrame:
+    """In as many tasks as ``n`` counted rows ask for. What one task holds is grouped and joined without a shuffle."""
     return rows.coalesce(max(1, -(-n // each)))
 
 
@@ -242,23 +246,26 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 31))).first()
 
     def few(rows: DataFrame) -> DataFrame:
-        return _sized(rows, seen[0])
+        return _sized(rows, seen[0], EDGES)
 
-    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
-    edges = staged(edges, "star")
+    seen = (links.count(),)
+    edges = few(links).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
+    edges = staged(few(edges), "star")
     seen = mark(edges)
     while seen[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = few(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         least = staged(few(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))), "star-least")
-        large = staged(few(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()), "star")
+        large = staged(few(both.join(few(least), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()), "star")
+        large = few(large)
         least = staged(few(large.groupBy("u").agg(F.min("v").alias("m"))), "star-least")
         ends = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-        small = large.join(least, "u").select(ends.alias("e")).select("e.*").filter("u != v").distinct()
+        small = large.join(few(least), "u").select(ends.alias("e")).select("e.*").filter("u != v").distinct()
         edges = staged(few(small), "star")
         now = mark(edges)
         if now == seen:
             break
         seen = now
+    edges = few(edges)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return staged(few(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)), "components")
 
@@ -277,7 +284,9 @@ def node_classes(texts: DataFrame) -> DataFrame:
     possible = F.expr(
         f"{q} * least(total_x, total) >= {p} * greatest(total_x, total) AND {p + q} * ({_apart('odd_x', 'odd')}) <= {q - p} * (total_x + total)"
     )
-    for attempt in range(ROUNDS + 1):
+    attempt, last = 0, False
+    while True:
+        last = last or attempt == ROUNDS
         classed = members.join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
         classed = staged(classed, "band-classes")
         sizes = classed.groupBy("band", "component").agg(F.count("*").alias("n"))
@@ -292,18 +301,22 @@ def node_classes(texts: DataFrame) -> DataFrame:
         opened = opened.join(signs.select("node", "total", "odd"), "node")
         outside = opened.filter("component != largest").select("band", *(F.col(c).alias(f"{c}_x") for c in ("node", "component", "total", "odd")))
         inside, apart = opened, F.expr("component_x != component AND (component = largest OR node_x < node)")
-        if attempt < ROUNDS:
+        if not last:
             turn = Window.partitionBy("band").orderBy(F.xxhash64("node", F.lit(attempt)), "node")
             inside = opened.filter("component = largest").withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= LEADS)
             inside = staged(_sized(inside.drop("turn"), n), "band-leads")
         met = outside.join(inside, "band").filter(apart & possible).select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b"))
         pairs = met.distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = staged(_sized(pairs, LEADS * n) if attempt < ROUNDS else pairs, "pairs")
+        pairs = staged(pairs if last else _sized(pairs, LEADS * n), "pairs")
         more = _verified(pairs, signs, texts)
         tested = tested.unionByName(pairs)
-        if not more.isEmpty():
+        linked = more.count()
+        if linked:
             known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
             found = components(known.unionByName(more))
+        if last:
+            break
+        attempt, last = attempt + 1, linked < WORTHWHILE * n
     return found
 
 
@@ -312,9 +325,8 @@ def _classes(texts: DataFrame) -> DataFrame:
     keys = texts.select("k1", "k2", "node", "least_id", "copies")
     joined = keys.join(node_classes(texts), "node", "left").withColumn("component", F.coalesce("component", "node"))
     joined = staged(joined, "node-classes")
-    per_class = staged(
-        joined.groupBy("component").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct(F.col("least_id").isNull(), "least_id", "node")).alias("first")),
-        "classes",
+    per_class = joined.groupBy("component").agg(
+        F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct(F.col("least_id").isNull(), "least_id", "node")).alias("first")
     )
     return joined.join(per_class, "component").withColumn("leads", F.col("node") == F.col("first.node")).drop("first")
 
@@ -331,7 +343,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     rows = staged(keyed.select("doc_id", "k1", "k2", (~keyed["text"].rlike(W.WORD_CLASS)).alias("blank"), F.monotonically_increasing_id().alias("row")), "class-rows")
     found = staged(_classes(distinct_texts(docs, doc_id, text)).select("k1", "k2", "class_id", "class_size", "leads"), "text-classes")
     first = rows.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("first"))
-    per_text = staged(found.join(first, ["k1", "k2"]), "text-leads")
+    per_text = found.join(first, ["k1", "k2"])
     own = F.col("blank")
     return rows.join(per_text, ["k1", "k2"]).select(
         "doc_id",
