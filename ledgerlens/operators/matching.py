@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expressions import exact_total, money, percentage
@@ -26,23 +26,37 @@ def _with_known(per_account: DataFrame, master: DataFrame) -> DataFrame:
     )
 
 
-def match_events(events: DataFrame, master: DataFrame, source: str) -> DataFrame:
-    """One row: events with and without a master record.
+def match_events(sources: Mapping[str, DataFrame], master: DataFrame) -> DataFrame:
+    """One row for each source: events with and without a master record.
 
     Events are counted per account before the join, so it carries one row per
-    account however often the account occurs.
+    account however often the account occurs. All sources share one join, so that
+    the master is read and its keys made distinct once; empty sources have a row too.
     """
-    per_account = events.groupBy("account_id").agg(F.count("*").alias("n"))
-    counted = _with_known(per_account, master).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_events"),
-        F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("matched_events"),
-        F.coalesce(F.sum(F.when(~F.col("known"), F.col("n"))), F.lit(0)).alias("unmatched_events"),
+    per_account = union_all(
+        df.groupBy("account_id").agg(F.count("*").alias("n")).withColumn("source", F.lit(name)) for name, df in sources.items()
     )
-    return counted.select(
-        F.lit(source).alias("event_source"),
-        "*",
-        percentage(F.col("matched_events"), F.col("total_events")).alias("match_percentage"),
+
+    def events(name: str, known: bool) -> Column:
+        counts = F.when((F.col("source") == name) & (F.col("known") == known), F.col("n"))
+        return F.coalesce(F.sum(counts), F.lit(0))
+
+    counted = _with_known(per_account, master).agg(
+        *(events(name, known).alias(f"{known}_{i}") for i, name in enumerate(sources) for known in (True, False))
     )
+    rows = []
+    for i, name in enumerate(sources):
+        matched, unmatched = F.col(f"True_{i}"), F.col(f"False_{i}")
+        rows.append(
+            F.struct(
+                F.lit(name).alias("event_source"),
+                (matched + unmatched).alias("total_events"),
+                matched.alias("matched_events"),
+                unmatched.alias("unmatched_events"),
+                percentage(matched, matched + unmatched).alias("match_percentage"),
+            )
+        )
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def match_accounts(events: DataFrame, master: DataFrame, source: str) -> DataFrame:
@@ -60,7 +74,7 @@ def match_accounts(events: DataFrame, master: DataFrame, source: str) -> DataFra
 
 
 def match_rate_events(sources: Mapping[str, DataFrame], master: DataFrame) -> DataFrame:
-    return union_all(match_events(df, master, name) for name, df in sources.items())
+    return match_events(sources, master)
 
 
 def match_rate_accounts(sources: Mapping[str, DataFrame], master: DataFrame) -> DataFrame:

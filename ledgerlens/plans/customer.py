@@ -32,6 +32,8 @@ from ledgerlens.operators.matching import unmatched_accounts as without_master
 
 PROFILE_COLUMNS = ("customer_id", "account_id", "full_name")
 EPOCH = datetime(1970, 1, 1)
+#: Parts of an account's events that a shuffled join keeps apart.
+SLICES = 16
 
 
 def _or_zero(column: str) -> Column:
@@ -99,12 +101,28 @@ def _foremost_per_account(events: DataFrame, order: Sequence[Column], n: int) ->
     return events.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def _alert_detail(customers: DataFrame, alerts: DataFrame, profile: Sequence[Column | str], limit: object) -> DataFrame:
+def _events_of(customers: DataFrame, events: DataFrame) -> DataFrame:
+    """Events of these customers' accounts, so that only those are ranked.
+
+    An account is joined slice by slice: where the join is shuffled, a busy account
+    is spread over tasks, and each of them cuts its part before the ranking's shuffle.
+    """
+    slices = customers.select("account_id", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("_slice"))
+    sliced = events.withColumn("_slice", F.pmod(F.xxhash64("event_id"), F.lit(SLICES)).cast("int"))
+    return sliced.join(slices, ["account_id", "_slice"], "left_semi").drop("_slice")
+
+
+def _alert_detail(
+    customers: DataFrame, alerts: DataFrame, profile: Sequence[Column | str], limit: object, watched: bool = True
+) -> DataFrame:
+    """``watched``: the customers are a selection, so alerts of others are left out before the ranking."""
     n = row_limit(limit, DEFAULT_LIMIT)
     order = desc("ml_score", "alert_timestamp", "event_id")
     detail = alerts.select(
         "account_id", "event_id", F.col("timestamp").alias("alert_timestamp"), "fraud_type", "ml_score", "action", "case_id"
     )
+    if watched:
+        detail = _events_of(customers, detail)
     joined = customers.select(*profile).join(_foremost_per_account(detail, order, n), "account_id")
     # The tie-break on customer_id matters only for a master with repeated accounts.
     first = joined.orderBy(*order, *asc("customer_id")).limit(n)
@@ -128,7 +146,7 @@ def customer_fraud_360(customers: DataFrame, alerts: DataFrame, *, as_of: dateti
         "kyc_status",
         "pep_flag",
     )
-    return _alert_detail(customers, since(alerts, as_of, hours), profile, limit)
+    return _alert_detail(customers, since(alerts, as_of, hours), profile, limit, watched=False)
 
 
 def pep_high_fraud(

@@ -121,9 +121,17 @@ def lineage(dim: DataFrame, limit=None) -> DataFrame:
     return files.orderBy(*order).transform(first_rows, limit)
 
 
-def _check(frame: DataFrame, name: str, passed: Column, detail: Column) -> DataFrame:
-    status = F.when(F.coalesce(passed, F.lit(False)), "PASS").otherwise("FAIL")
-    return frame.select(F.lit(name).alias("check_name"), status.alias("status"), detail.alias("detail"))
+def _checks(frame: DataFrame, *checks: tuple[str, Column, Column]) -> DataFrame:
+    """Checks ``(name, passed, detail)`` on one row of figures, unfolded so that the figures are computed once."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.when(F.coalesce(passed, F.lit(False)), "PASS").otherwise("FAIL").alias("status"),
+            detail.alias("detail"),
+        )
+        for name, passed, detail in checks
+    ]
+    return frame.select(F.inline(F.array(*rows)))
 
 
 def match_rate_gate(sources: Mapping[str, DataFrame], master: DataFrame, min_pct: float = MIN_MATCH_PCT) -> DataFrame:
@@ -134,7 +142,7 @@ def match_rate_gate(sources: Mapping[str, DataFrame], master: DataFrame, min_pct
     detail = F.when(F.col("sources") == 0, "no events").otherwise(
         F.concat(F.lit("worst source matches "), F.col("worst").cast("decimal(5,2)").cast("string"), F.lit(" %"))
     )
-    return _check(worst, "event match rate", F.col("worst") >= min_pct, detail)
+    return _checks(worst, ("event match rate", F.col("worst") >= min_pct, detail))
 
 
 def quality_report(
@@ -157,13 +165,16 @@ def quality_report(
     keys = key_uniqueness(master)
     total, duplicates = F.col("total_rows"), F.col("duplicate_accounts")
     checks = [
-        _check(keys, "master size", total >= min_customers, F.concat(total.cast("string"), F.lit(" rows"))),
-        _check(keys, "master key is unique", duplicates == 0, F.concat(duplicates.cast("string"), F.lit(" duplicates"))),
+        _checks(
+            keys,
+            ("master size", total >= min_customers, F.concat(total.cast("string"), F.lit(" rows"))),
+            ("master key is unique", duplicates == 0, F.concat(duplicates.cast("string"), F.lit(" duplicates"))),
+        )
     ]
     for name, rows in analyses.items():
         n = F.col("n")
         counted = rows.agg(F.count("*").alias("n"))
-        checks.append(_check(counted, name, n > 0, F.concat(n.cast("string"), F.lit(" rows joined"))))
+        checks.append(_checks(counted, (name, n > 0, F.concat(n.cast("string"), F.lit(" rows joined")))))
     checks.append(match_rate_gate(sources, master, min_pct))
     return union_all(checks)
 

@@ -116,6 +116,10 @@ def _finish(spark: SparkSession, home: str, table: str) -> None:
 def compact_days(spark: SparkSession, root: str, table: str, days: Iterable[date]) -> None:
     """Merge the small files of some days into files of the advisory size; one run at a time for a table.
 
+    The files of a partition are ranges of accounts, sorted, so that a look-up of one
+    account skips nearly all of them by their statistics. Ranges go on to the event,
+    so that a very busy account is several files.
+
     The batches of a day are listed once. Their rows go to a new batch beside them,
     and only those folders are deleted, so a batch that arrives meanwhile stays.
     Each stream's newest batch of the day is left alone, as it may be written
@@ -132,7 +136,9 @@ def compact_days(spark: SparkSession, root: str, table: str, days: Iterable[date
         layout = ddl({**EVENT_LAYOUTS[table], BATCH: "string"})
         rows = spark.read.schema(layout).option("basePath", home).parquet(of_day).filter(F.col(BATCH).isin(*settled))
         _note(spark, home, merged, "pending", day, [merged])
-        arranged = rows.drop("event_date").withColumn(BATCH, F.lit(merged)).hint("rebalance", *inner)
+        merged_rows = rows.drop("event_date").withColumn(BATCH, F.lit(merged))
+        by = [*inner, *(c for c in ("account_id", "event_id") if c in EVENT_LAYOUTS[table])]
+        arranged = merged_rows.repartitionByRange(*by).sortWithinPartitions(*by)
         arranged.write.mode("append").partitionBy(*inner).parquet(of_day)
         _note(spark, home, merged, "ready", day, settled)
         _finish(spark, home, table)

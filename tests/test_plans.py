@@ -37,6 +37,28 @@ def test_ranking_is_cut_on_both_sides_of_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit[^\n]*Final", text) and re.search(r"WindowGroupLimit[^\n]*Partial", text)
 
 
+@pytest.mark.parametrize("name", ["high_risk_fraud", "pep_high_fraud"])
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_only_alerts_of_watched_accounts_are_ranked(spark, name, broadcast):
+    """Also where the join is shuffled, an account's alerts are cut before the shuffle of the ranking."""
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        text = plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    final, partial = re.search(r"WindowGroupLimit[^\n]*Final", text).end(), re.search(r"WindowGroupLimit[^\n]*Partial", text).start()
+    assert "Exchange hashpartitioning(account_id" in text[final:partial]
+    assert "LeftSemi" in text[partial:].split("events.parquet")[0] and "LeftSemi" not in text[:partial]
+
+
+def test_master_is_read_once_for_all_sources(spark):
+    """One scan for the match rates; the report adds one for the master's own checks and one or two for each analysis."""
+    scan = r"Scan parquet[^\n]*customer\.parquet"
+    assert len(re.findall(scan, plan(spark, "match_rate_events"))) == 1
+    assert len(re.findall(scan, plan(spark, "quality_report"))) <= 5
+
+
 @pytest.mark.parametrize("name", ["top_customers", "risk_exposure", "channel_comparison", "match_rate_events", "fraud_by_city", "attribute_agreement"])
 def test_events_are_aggregated_before_the_join(spark, name):
     """Every scan of events lies below a partial aggregate and its shuffle, whatever is joined above."""

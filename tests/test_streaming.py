@@ -5,6 +5,7 @@ import os
 from datetime import date
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +161,32 @@ def test_compaction_keeps_every_event_once(spark, tmp_path, monkeypatch, stop):
     assert list_folders(spark, f"{root}/{table}/{tables.NOTES}") == []
 
 
+def test_compacted_days_are_looked_up_by_account(spark, tmp_path):
+    """Of eight files of a day, a filter on one account can match the statistics of two at most."""
+    root, table, day = str(tmp_path), "customer_events", date(2024, 5, 1)
+    for n in range(3):
+        number = F.xxhash64("id", F.lit(n)) % 2000
+        values = {"event_id": F.concat_ws("-", F.lit(n), "id"), "event_date": F.lit("2024-05-01"), "account_id": F.format_string("ACC-TH-%08d", number + 3000)}
+        rows = spark.range(8000).select(*(values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in EVENT_LAYOUTS[table].items()))
+        replace_batch(rows, root, table, "s", n)
+    before = read_event_table(spark, root, table).groupBy("account_id").count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        compact_days(spark, root, table, [day])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(read_event_table(spark, root, table).groupBy("account_id").count().collect()) == sorted(before)
+    ranges = []
+    for file in (Path(root) / table).rglob(f"*{tables.COMPACTED}*/*.parquet"):
+        footer = pq.ParquetFile(file).metadata
+        at = footer.schema.names.index("account_id")
+        of_groups = [footer.row_group(i).column(at).statistics for i in range(footer.num_row_groups)]
+        ranges.append((min(s.min for s in of_groups), max(s.max for s in of_groups)))
+    assert len(ranges) == 8
+    for account in (before[0].account_id, before[len(before) // 2].account_id):
+        assert 1 <= sum(low <= account <= high for low, high in ranges) <= 2
+
+
 def test_windows_with_late_events(spark, lake):
     """A window is written once the watermark passes its end; later events for it are dropped."""
     inbox, cfg = lake
