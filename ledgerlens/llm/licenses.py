@@ -1,12 +1,13 @@
 """License scans: a positional index of rare words, verified by mandatory phrases.
 
 1. Document counts of all licence words are taken over all documents; they give each
-   word's weight (inverse document frequency, in thousandths).
-2. A file that holds a phrase some template must hold looks up all its licence words in
-   the postings of those templates. Places of file and template are subtracted; words of
-   one template that agree in the difference stand as they stand in the template. Their
-   weight, against that of the template's own ``RAREST`` words, is the score: it depends
-   on no other template and on no other word of the file.
+   word's weight (inverse document frequency, in thousandths). A template posts its
+   ``RAREST`` words of highest weight, each with its place.
+2. A file that holds a phrase some template must hold looks up its words in those
+   postings. Places of file and template are subtracted; words of one template that agree
+   in the difference stand as they stand in the template. Their weight, against that of
+   all the template posts, is the score: it depends on no other template and on no other
+   word of the file. Words that no template finds rare enough to post are not looked up.
 3. A template that scores ``ENOUGH`` counts.
 
 Base labels come from phrases alone. Files without the first word of any phrase skip
@@ -19,6 +20,7 @@ give equal results, an empty table gives an empty result. Only the two named col
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,10 +55,16 @@ TEMPLATES = [
     Template("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
     Template("cc-by-nc", "creative commons attribution noncommercial 4 0 international license", "creative commons attribution noncommercial"),
     Template("cc-by", "creative commons attribution 4 0 international license", "creative commons attribution 4"),
+    Template("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind", "warranties or conditions of any kind"),
+    Template("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "endorse or promote products"),
+    Template("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", "lesser general public license"),
+    Template("agpl", "under the terms of the gnu affero general public license as published by the free software foundation", "affero general public license"),
+    Template("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    Template("zlib", "in no event will the authors be held liable for any damages arising from the use of this software", "liable for any damages arising from the use"),
     Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 ]
 
-#: Words of a template, those of highest weight, whose weight together is a full score.
+#: Words that a template posts, those of highest weight.
 RAREST = 12
 #: Part of a template's weight that must be found in place, in hundredths.
 ENOUGH = 60
@@ -64,11 +72,17 @@ ENOUGH = 60
 
 def words_of(text: Column) -> Column:
     lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
-    pieces = F.split(lowered, BETWEEN_CLASS + "+")
-    # Only the first and the last piece can be empty.
-    return F.when(F.size(pieces) == 1, F.filter(pieces, lambda w: w != "")).otherwise(
-        F.slice(pieces, F.when(pieces[0] == "", 2).otherwise(1), F.size(pieces) - (pieces[0] == "").cast("int") - (F.get(pieces, F.size(pieces) - 1) == "").cast("int"))
-    )
+    return F.array_remove(F.split(lowered, BETWEEN_CLASS + "+"), "")
+
+
+def postings(weight: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """Word, template, place, weight and the template's whole weight, of each template's ``RAREST`` places; the first places on a tie."""
+    rows = []
+    for number, t in enumerate(TEMPLATES):
+        rarest = sorted(enumerate(t.text.split()), key=lambda at: (-weight[at[1]], at[0]))[:RAREST]
+        whole = sum(weight[w] for _, w in rarest)
+        rows += [(w, number, place, weight[w], whole) for place, w in rarest]
+    return rows
 
 
 def _places(words: str, phrase: str) -> str:
@@ -102,13 +116,10 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     held = {r["word"]: r["n"] for r in files.select(F.explode("known").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     weight = {w: 1 + round(1000 * max(0.0, math.log((n_files + 1) / (held.get(w, 0) + 1)))) for w in vocabulary}
 
-    postings = []
-    for number, t in enumerate(TEMPLATES):
-        words = t.text.split()
-        best = sum(sorted((weight[w] for w in words), reverse=True)[:RAREST])
-        postings += [(w, number, place, weight[w], best) for place, w in enumerate(words)]
-    # As many rows as the templates have words.
-    index = spark.createDataFrame(postings, "word string, template int, at int, weight bigint, best bigint")
+    posted = postings(weight)
+    # At most RAREST rows for each template.
+    index = spark.createDataFrame(posted, "word string, template int, at int, weight bigint, best bigint")
+    rare = ", ".join(f"'{w}'" for w in sorted({row[0] for row in posted}))
 
     candidates = files.filter("w IS NOT NULL")
     base = F.array_sort(F.flatten(F.array(*(F.expr(_places("w", p)) for p in BASE_PHRASES))))
@@ -118,11 +129,11 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
     # Templates whose phrase is missing cannot count, so only the others are aligned.
     possible = judged.filter(F.exists("verified", lambda v: v))
-    looked_up = possible.select("row", "verified", F.posexplode("w").alias("place", "word")).filter(f"word IN ({listed})")
+    looked_up = possible.select("row", "verified", F.posexplode("w").alias("place", "word")).filter(f"word IN ({rare})")
     at_word = F.broadcast(index.withColumnRenamed("word", "_word"))
     aligned = looked_up.join(at_word, (F.col("word") == F.col("_word")) & F.get("verified", F.col("template"))).groupBy("row", "template", (F.col("place") - F.col("at")).alias("shift"))
     sums = aligned.agg(F.sum("weight").alias("weight"), F.max("best").alias("best"))
-    scores = sums.withColumn("score", F.least(F.lit(1.0), F.col("weight") / F.col("best")))
+    scores = sums.withColumn("score", F.col("weight") / F.col("best"))
     one = Window.partitionBy("row", "template").orderBy(F.col("score").desc(), "shift")
     scores = scores.withColumn("nth", F.row_number().over(one)).filter("nth = 1")
     label_of = F.array(*(F.lit(t.label) for t in TEMPLATES))

@@ -215,3 +215,33 @@ def loopy(own, chain_edges, skip_edges, chain, skip, sweeps, damp):
         total = [math.exp(o[a] + sum(messages[k][a] for k, x in enumerate(edges) if x[1] == i)) for a in range(size)]
         chances.append([x / sum(total) for x in total])
     return chances
+
+
+def license_rows(texts, templates, phrases, rarest=12, enough=60):
+    """Labels, score and matches (label, place, score, template) of each text by its rarest licence words, place by place."""
+    files = [terms(t) for t in texts]
+    vocabulary = {w for t in templates for w in t.text.split()}
+    held = Counter(w for f in files for w in set(f) & vocabulary)
+    weight = {w: 1 + round(1000 * max(0.0, math.log((len(files) + 1) / (held[w] + 1)))) for w in vocabulary}
+
+    def holds(file, phrase):
+        p = phrase.split()
+        return any(file[i : i + len(p)] == p for i in range(len(file) - len(p) + 1))
+
+    rows = []
+    for file in files:
+        matches = []
+        for number, t in enumerate(templates):
+            posted = sorted(enumerate(t.text.split()), key=lambda at: (-weight[at[1]], at[0]))[:rarest]
+            if not holds(file, t.must_hold):
+                continue
+            whole = sum(weight[w] for _, w in posted)
+            best = (0.0, 0)
+            for shift in range(-len(t.text.split()), len(file)):
+                found = sum(weight[w] for at, w in posted if 0 <= shift + at < len(file) and file[shift + at] == w)
+                best = max(best, (found / whole, -shift))
+            if best[0] * 100 >= enough:
+                matches.append((t.label, -best[1], best[0], number))
+        labels = {m[0] for m in matches} | {label for p, label in phrases.items() if holds(file, p)}
+        rows.append((",".join(sorted(labels)), max((m[2] for m in matches), default=0.0), sorted(matches)))
+    return rows

@@ -226,6 +226,36 @@ def test_licenses_are_recognised_by_position(spark):
     assert labels == {0: "bsd", 1: "", 2: "cc-by-nc", 3: ""}
 
 
+def test_license_labels_scores_and_matches(sample):
+    """All labels, scores and places, of whole, broken, cut, mixed and repeated notices among common words."""
+    rng = random.Random(6)
+    notices = [t.text for t in licenses.TEMPLATES]
+    texts = [r["text"] for r in _rows(sample) if len(r["text"] or "") < 20000]
+    for notice in notices:
+        w = notice.split()
+        changed = [rng.choice(["the", "of", x, x, x]) for x in w]
+        texts += [f"of the {notice} the of", " ".join(changed), " ".join(w[2:]), " ".join(w[:-2]), f"{notice} {notice}", f"{' '.join(w[:4])} and {' '.join(w[4:])}", notice.upper()]
+    texts += [None, "", "the of in and", *(f"{a}. {b}" for a, b in zip(notices, notices[1:]))]
+    docs = sample.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r["doc_id"]: r for r in licenses.scanned(docs).collect()}
+    for k, (labels, score, matches) in enumerate(brute.license_rows(texts, licenses.TEMPLATES, licenses.BASE_PHRASES)):
+        got = found[k]
+        assert (got["labels"], round(got["score"], 12)) == (labels, round(score, 12)), texts[k]
+        assert [(m["label"], m["place"], m["template"]) for m in got["matches"] or []] == [(a, b, d) for a, b, _, d in matches], texts[k]
+
+
+def test_a_template_posts_its_rarest_words_only():
+    """However many words a template has, it posts a bounded number; common ones only where it has no others."""
+    vocabulary = {w for t in licenses.TEMPLATES for w in t.text.split()}
+    weight = {w: 5 if w in {"the", "of", "in", "or", "and", "to", "is"} else 5000 for w in vocabulary}
+    posted = licenses.postings(weight)
+    for number, t in enumerate(licenses.TEMPLATES):
+        mine = [p for p in posted if p[1] == number]
+        n_rare = sum(weight[w] > 5 for w in t.text.split())
+        assert len(mine) == min(licenses.RAREST, len(t.text.split()))
+        assert sum(p[3] > 5 for p in mine) == min(licenses.RAREST, n_rare)
+
+
 def test_every_license_of_a_text_is_found(spark):
     notices = [t.text for t in licenses.TEMPLATES]
     pairs = [f"{a} and also {b}" for a in notices for b in notices]
