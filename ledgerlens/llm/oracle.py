@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm.quality import BASE_RULES, RULES, STOP_WORDS
+from ledgerlens.llm.quality import BASE_RULES, CAPITAL, RULES, SHORT_WORD, SMALL, STOP_WORDS
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -31,8 +31,10 @@ WITH docs AS (
   SELECT doc_id, 1 AS one, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
-    len(list_filter(w, lambda x: lower(x) IN ({_STOP_WORDS}))) AS n_stop_words,
-    len(list_filter(w, lambda x: suffix(x, '!!'))) AS n_shouted
+    greatest(len(list_filter(w, lambda x: lower(x) IN ({_STOP_WORDS}))),
+      len(list_filter(w, lambda x: regexp_matches(x, '{SHORT_WORD}')))
+      - len(list_distinct(list_filter(w, lambda x: regexp_matches(x, '{SHORT_WORD}'))))) AS n_function_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '{CAPITAL}') AND NOT regexp_matches(x, '{SMALL}') AND length(x) > 1)) AS n_shouted
   FROM docs JOIN lined USING (r) LEFT JOIN repeats USING (r)
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,

@@ -4,6 +4,11 @@ Every measure is a built-in function of the one text, so nothing is shuffled and
 user function runs. A null, empty or blank text has no words and fails the least
 length; repeated rows are judged alike, each for itself; other columns pass through.
 Texts longer than 2^31 characters are beyond what a column can hold.
+
+No rule asks for a language: function words are listed ones, or short words that the text
+itself repeats, whichever are more; words in capitals are shouted whatever follows them, and
+scripts without capitals have none. Text of a script written without spaces is few, long
+words and fails the least length or the bound on word length.
 """
 
 from __future__ import annotations
@@ -36,9 +41,9 @@ BASE_RULES = [
 RULES = [
     Rule("word length", "word_chars", "n_words", 150, 1500),
     Rule("symbols", "n_symbols", "n_words", None, 25),
-    Rule("stop words", "n_stop_words", "n_words", 4, None),
+    Rule("function words", "n_function_words", "n_words", 4, None),
     Rule("repeated lines", "n_dup_lines", "n_lines", None, 40),
-    Rule("shouted lines", "n_shouted", "n_words", None, 40),
+    Rule("shouted words", "n_shouted", "n_words", None, 40),
 ]
 
 # Frequent function words of English, German, French and Spanish.
@@ -49,6 +54,10 @@ STOP_WORDS = [
     "el", "y", "los", "se", "del", "las", "por", "no", "con", "su", "una", "es", "para", "al", "lo",
 ]
 
+# A short word: one to four letters and their marks. A shouted word: a capital and no small letter.
+SHORT_WORD = r"^[\p{L}\p{M}]{1,4}$"
+CAPITAL, SMALL = r"\p{Lu}", r"\p{Ll}"
+
 # Characters of markup and tables that count as symbols.
 SYMBOLS = "#*$%&|<>"
 _SEPARATORS = " \t\n\x0b\x0c\r"
@@ -113,6 +122,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     wide = wide.withColumn("_exact", F.expr(_marks("_grams", "false", same_words).replace("ELSE 2", "ELSE 0")))
+    wide = wide.withColumn("_short", F.filter("_w", lambda w: w.rlike(SHORT_WORD)))
     wide = wide.withColumn("_lines", F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD_CLASS)))
     counts = {
         "one": F.lit(1).cast("bigint"),
@@ -125,8 +135,10 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             f"CASE WHEN _grams IS NOT NULL THEN {_covered('_grams', 'x.i', '_exact')}"
             f" WHEN array_contains(_marks, 1) THEN {_covered('_keys', at, '_marks')} ELSE 0L END"
         ),
-        "n_stop_words": F.expr(f"size(filter(_w, w -> lower(w) IN ({stop_words})))").cast("bigint"),
-        "n_shouted": F.expr("size(filter(_w, w -> endswith(w, '!!')))").cast("bigint"),
+        "n_function_words": F.greatest(
+            F.expr(f"size(filter(_w, w -> lower(w) IN ({stop_words})))"), F.size("_short") - F.size(F.array_distinct("_short"))
+        ).cast("bigint"),
+        "n_shouted": F.size(F.filter("_w", lambda w: w.rlike(CAPITAL) & ~w.rlike(SMALL) & (F.length(w) > 1))).cast("bigint"),
     }
     # A generator, so that a filter on a measure stays above it and measures nothing twice.
     measured = F.explode(F.array(F.struct(*(c.alias(n) for n, c in counts.items()))))

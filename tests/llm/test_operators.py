@@ -39,6 +39,30 @@ def test_clean_documents_are_kept(sample):
     assert judged.count() == 0
 
 
+CLEAN = {
+    "pl": "Rano poszedł do sklepu i kupił chleb, a potem wrócił do domu, bo na dworze było zimno. Matka czekała na niego w kuchni i robiła herbatę. Nie było już mleka, więc poszedł do sąsiadki, która dała mu szklankę mleka i trochę sera. Wieczorem do domu wrócił ojciec i razem zjedli kolację, a potem poszli spać, bo było już późno.",
+    "sv": "Han gick till affären på morgonen och köpte bröd, och sedan gick han hem för att det var kallt ute. Hans mor satt i köket och väntade på honom. Det fanns ingen mjölk kvar, så han gick till grannen som gav honom ett glas mjölk och lite ost. På kvällen kom hans far hem och de åt middag, och sedan gick de och lade sig.",
+    "sw": "Asubuhi alikwenda dukani na akanunua mkate na maziwa kwa ajili ya familia yake. Mama yake alikuwa jikoni na alikuwa akipika chai ya asubuhi. Baba alirudi nyumbani jioni na wote walikula chakula cha jioni pamoja. Watoto walicheza nje ya nyumba na baadaye walilala kwa sababu ilikuwa usiku. Siku ya pili walikwenda shule ya kijiji na kurudi nyumbani mchana kwa chakula cha mchana.",
+    "ru": "Утром он пошел в магазин и купил хлеб, а потом вернулся домой, потому что на улице было холодно. Мать ждала его на кухне и варила чай. Молока уже не было, и он пошел к соседке, которая дала ему стакан молока и немного сыра. Вечером домой вернулся отец, и они вместе поужинали, а потом легли спать, потому что было уже поздно.",
+}
+
+
+@pytest.mark.parametrize("lang", sorted(CLEAN))
+def test_quality_rules_ask_for_no_language(spark, lang):
+    text = CLEAN[lang]
+    texts = [text, text.upper(), " ".join(w + "!" for w in text.upper().split()), text.replace(". ", "!! ")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    failed = {r["doc_id"]: r["failed_rules"] for r in quality.judged(docs).collect()}
+    assert failed[0] == failed[3] == [] and failed[1] == ["shouted words"] and "shouted words" in failed[2]
+
+
+def test_words_without_function_words_are_rejected(spark):
+    rng = random.Random(1)
+    salad = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(5, 9))) for _ in range(200))
+    docs = spark.createDataFrame([(1, salad)], "doc_id int, text string")
+    assert quality.judged(docs).first()["failed_rules"] == ["function words"]
+
+
 @pytest.mark.parametrize("window", [2, 5, 35])
 def test_substring_dedup(sample, nothing, window):
     rows = _rows(sample)

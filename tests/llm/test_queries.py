@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+import regex
 
 import corpus_pipeline
 from ledgerlens.llm import queries
@@ -38,8 +39,9 @@ def _kept(text):
     n, chars, symbols, twice, repeats = brute.quality_counts(text)
     w = brute.words(text)
     lines = [x for x in text.split("\n") if brute.WORD.search(x)]
-    stop = sum(x.lower() in STOP_WORDS for x in w)
-    shouted = sum(x.endswith("!!") for x in w)
+    short = [x for x in w if regex.fullmatch(r"[\p{L}\p{M}]{1,4}", x)]
+    stop = max(sum(x.lower() in STOP_WORDS for x in w), len(short) - len(set(short)))
+    shouted = sum(len(x) > 1 and bool(regex.search(r"\p{Lu}", x)) and not regex.search(r"\p{Ll}", x) for x in w)
     return (
         n >= 50 and 100 * repeats <= 50 * n and 150 * n <= 100 * chars <= 1500 * n and 100 * symbols <= 25 * n
         and 4 * n <= 100 * stop and 100 * twice <= 40 * len(lines) and 100 * shouted <= 40 * n
