@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
-from ledgerlens.llm.staging import distinct_texts, keyed_texts, over_batches, staged
+from ledgerlens.llm.staging import distinct_texts, keyed_texts, over_batches, settled, staged
 
 SHINGLE = 5
 #: Similarity from which two texts are near copies, as a fraction.
@@ -341,7 +341,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     # Blank texts are left out of the grouping: copies of nothing are no copies.
     keyed = keyed_texts(docs, doc_id, text)
     rows = staged(keyed.select("doc_id", "k1", "k2", (~keyed["text"].rlike(W.WORD_CLASS)).alias("blank"), F.monotonically_increasing_id().alias("row")), "class-rows")
-    found = staged(_classes(distinct_texts(docs, doc_id, text)).select("k1", "k2", "class_id", "class_size", "leads"), "text-classes")
+    columns = ["k1", "k2", "class_id", "class_size", "leads"]
+    found = settled(docs.sparkSession, "text-classes", lambda: _classes(distinct_texts(docs, doc_id, text)).select(*columns))
     first = rows.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("first"))
     per_text = found.join(first, ["k1", "k2"])
     own = F.col("blank")
@@ -356,7 +357,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One whole row of each class: the one with the least id. Of blank texts, one row for each different text stays."""
     texts = distinct_texts(docs, doc_id, text, with_rows=True)
-    leads = staged(_classes(texts).filter("leads").select("k1", "k2"), "leads")
+    leads = settled(docs.sparkSession, "leads", lambda: _classes(texts).filter("leads").select("k1", "k2"))
     kept = texts.join(leads, ["k1", "k2"], "left_semi")
     columns = [F.when(~F.col("absent"), F.col("text")).alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
     return kept.select(*columns)

@@ -6,17 +6,27 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import scratch_path
+from ledgerlens.session import remove_folder, scratch_path
 
 
 # Applications whose workers have this package.
 _shipped: set[str] = set()
 
+# Folder and catalog entry (or none) of what was staged for the innermost ``settled``.
+_within: ContextVar[list[tuple[str, str | None]] | None] = ContextVar("_within", default=None)
+
+
+def _remember(path: str, table: str | None = None) -> None:
+    made = _within.get()
+    if made is not None:
+        made.append((path, table))
+
 
 def _ship(spark: SparkSession) -> None:
     """Send this package to the workers, wherever the driver has found it; Spark serves the file from the driver."""
@@ -43,9 +53,31 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _remember(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of ``build()`` as staged. What was staged to get them is deleted once they are written.
+
+    Nothing else may read what ``build`` stages. After a failure the folders stay.
+    """
+    made: list[tuple[str, str | None]] = []
+    outer = _within.set(made)
+    try:
+        rows = build()
+        path = scratch_path(spark, label)
+        rows.write.parquet(path)
+    finally:
+        _within.reset(outer)
+    for folder, table in made:
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove_folder(spark, folder)
+    _remember(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def staged_buckets(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """As ``staged``, laid out by the keys: joins and groups on them move no row of this table.
 
@@ -54,7 +86,9 @@ def staged_buckets(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.option("path", scratch_path(spark, label)).format("parquet").bucketBy(n, *keys).saveAsTable(name)
+    path = scratch_path(spark, label)
+    df.write.option("path", path).format("parquet").bucketBy(n, *keys).saveAsTable(name)
+    _remember(path, name)
     return spark.table(name)
 
 

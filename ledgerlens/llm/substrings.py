@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
-from ledgerlens.llm.staging import distinct_texts, keyed_texts, over_batches, staged
+from ledgerlens.llm.staging import distinct_texts, keyed_texts, over_batches, settled, staged
 
 WINDOW = 35
 #: A longer text is looked at in parts of so many words.
@@ -243,7 +244,8 @@ def removals(texts: DataFrame, window: int = WINDOW, with_text: bool = True) ->
         candidates = state if number == 1 else state.filter(f"s{number - 1 if number < 4 else 2} IS NOT NULL")
         columns = ["k1", "k2", "text", "copies", *(f"s{i}" for i in range(1, number)), *["lead"] * (number == 4)]
         found = over_batches(candidates.select(*columns), _emit(number, window), "h bigint, c int, g bigint, k1 bigint, k2 bigint, n int")
-        state = state.join(staged(_survivors(found, number), f"survivors-{number}"), ["k1", "k2"], "left")
+        survivors = settled(texts.sparkSession, f"survivors-{number}", partial(_survivors, found, number))
+        state = state.join(survivors, ["k1", "k2"], "left")
     schema = "k1 bigint, k2 bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, spans array<array<bigint>>"
     done = over_batches(state.select("k1", "k2", "text", "copies", "s1", "s2", "s3", "s4"), _finish(window), schema)
     return done if with_text else done.drop("kept_text", "spans")
@@ -251,20 +253,19 @@ def removals(texts: DataFrame, window: int = WINDOW, with_text: bool = True) ->
 
 def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` with a struct column ``dedup``: n_words, n_removed, kept_sha256, kept_text, spans."""
-    found = removals(distinct_texts(docs, doc_id, text), window)
+    results = settled(docs.sparkSession, "removals", lambda: removals(distinct_texts(docs, doc_id, text), window))
     kept = [c for c in docs.columns if c != "dedup"]
-    return _joined(docs, found, kept, text)
+    return _joined(docs, results, kept, text)
 
 
 def digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row; kept texts are not moved."""
-    found = staged(removals(distinct_texts(docs, doc_id, text), window, with_text=False), "removals")
+    found = settled(docs.sparkSession, "removals", lambda: removals(distinct_texts(docs, doc_id, text), window, with_text=False))
     rows = keyed_texts(docs, doc_id, text).select("doc_id", "k1", "k2")
     return rows.join(found, ["k1", "k2"]).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-def _joined(docs: DataFrame, found: DataFrame, kept: list[str], text: str) -> DataFrame:
-    results = staged(found, "removals")
+def _joined(docs: DataFrame, results: DataFrame, kept: list[str], text: str) -> DataFrame:
     digest_of = F.sha2(F.coalesce(docs[text].cast("string"), F.lit("")), 256)
     keys = [F.conv(F.substring(digest_of, at, 16), 16, -10).cast("bigint").alias(k) for at, k in ((1, "_k1"), (17, "_k2"))]
     rows = docs.select(F.struct(*(docs[c] for c in kept)).alias("_row"), *keys)
