@@ -11,12 +11,13 @@ first stage, whatever their names. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import minhash, mixing, packing, quality, substrings
-from ledgerlens.llm.staging import staged
+from ledgerlens.llm.staging import settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -67,5 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        docs = settled(spark, f"stage-{name.replace(' ', '-')}", partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
