@@ -340,9 +340,9 @@ def library_queries() -> dict[str, Query]:
         "stage_without_order": _over(lambda t: upsert.stage(_gappy(t), KEY, None, tie_break=["version_id"])),
         "incremental_filter": _over(lambda t: upsert.incremental(t.changelog, "changed_at", CUT)),
         "rollup_lookback": _over(
-            lambda t: _daily(activity.payments_daily(upsert.lookback(t.payments_bulk, datetime(1999, 1, 1), 1)))
+            lambda t: _daily(activity.payments_daily(upsert.lookback(t.payments_bulk, datetime(1999, 1, 1), 1), t.bulk_tasks))
         ),
-        "payments_daily": _over(lambda t: _daily(activity.payments_daily(t.payments_bulk))),
+        "payments_daily": _over(lambda t: _daily(activity.payments_daily(t.payments_bulk, t.bulk_tasks))),
         "shard_counts": _over(
             lambda t: t.customers.groupBy(shard_of(F.col("customer_id"), 16).alias("shard")).agg(F.count("*").alias("customers"))
         ),
@@ -422,7 +422,7 @@ def library_queries() -> dict[str, Query]:
                 {
                     "dim_customer": (t.customers, ["customer_id"]),
                     "changelog": (t.changelog, ["entity_key"]),
-                    "fact_payment_daily": (activity.payments_daily(t.payments_bulk), ["event_date", "account_id"]),
+                    "fact_payment_daily": (activity.payments_daily(t.payments_bulk, t.bulk_tasks), ["event_date", "account_id"]),
                 }
             )
         ),

@@ -28,6 +28,7 @@ from ledgerlens.functions.expressions import (
 from ledgerlens.functions.params import DEFAULT_LIMIT, first_rows, on_day, score_threshold, since, since_minutes
 from ledgerlens.operators.aggregates import logins
 from ledgerlens.operators.matching import union_all
+from ledgerlens.operators.tasks import dealt
 
 # Outcomes and columns the reports show.
 OUTCOMES = ("BLOCK_AND_ALERT", "FLAG_REVIEW", "STEP_UP_AUTH")
@@ -230,9 +231,14 @@ def daily_rollup_measures() -> list[Column]:
     ]
 
 
-def payments_daily(payments: DataFrame) -> DataFrame:
-    """One row per day and account."""
-    return payments.groupBy("event_date", "account_id").agg(
+def payments_daily(payments: DataFrame, tasks: int | None = None) -> DataFrame:
+    """One row per day and account.
+
+    Payments are combined before the shuffle. Where an account has a payment or two a day,
+    that saves nothing and holds every payment's group in memory: with ``tasks`` the
+    payments are first dealt to so many tasks.
+    """
+    return dealt(payments, tasks, "event_date", "account_id").groupBy("event_date", "account_id").agg(
         *daily_rollup_measures(),
         F.min("timestamp").alias("first_txn_at"),
         F.max("timestamp").alias("last_txn_at"),

@@ -13,6 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.operators.tasks import dealt, tasks_for
 from ledgerlens.schemas import Layout, ddl
 
 # Column names and types of the files.
@@ -208,9 +209,14 @@ class DriverTables:
     def payments(self) -> DataFrame:
         return self.events.filter(IS_PAYMENT).selectExpr(*PAYMENT)
 
+    @cached_property
+    def bulk_tasks(self) -> int | None:
+        return tasks_for(self.raw("lineitem"))
+
     @cached_property
     def payments_bulk(self) -> DataFrame:
-        lineitem, orders = self.raw("lineitem"), self.raw("orders")
+        lineitem = dealt(self.raw("lineitem"), self.bulk_tasks, "l_orderkey")
+        orders = dealt(self.raw("orders"), self.bulk_tasks, "o_orderkey")
         return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).selectExpr(*BULK_PAYMENT)
 
     @cached_property
